@@ -2,7 +2,7 @@
 
 from functools import reduce
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from caselode import profile as P
 
@@ -14,21 +14,29 @@ def let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def computed(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add columns that are evaluated exactly once per row.
+
+    The optimizer copies a plain derived column into every filter and every
+    use of it.  For text work that repeats whole chains of patterns, and a
+    filter drags them below a repartitioning.  It does not look through a generator.
+    """
+    row = F.struct(*(c.alias(name) for name, c in columns.items()))
+    return df.select("*", F.inline(F.array(row)))
+
+
 def strip(c: Column) -> Column:
     """Remove white space of every kind from both ends."""
-    s = P.SPACE
-    return F.regexp_replace(c, rf"(?U)\A{s}++|(?<!{s}){s}++\z", "")
+    return F.btrim(c, F.lit(P.SPACES))
 
 
 def words(c: Column) -> Column:
-    """Number of runs of non-blank characters."""
+    """Number of runs of non-blank characters; 0 for null."""
 
-    def blank_edge(ch):
-        return F.when(ch.rlike(f"(?U){P.SPACE}"), 1).otherwise(0)
+    def count(t):
+        return F.when(F.coalesce(t, F.lit("")) == "", 0).otherwise(F.size(F.split(t, _SPLITTER)))
 
-    pieces = F.size(F.split(c, _SPLITTER))
-    edges = blank_edge(F.substring(c, 1, 1)) + blank_edge(F.substring(c, -1, 1))
-    return F.when(F.coalesce(c, F.lit("")) == "", 0).otherwise(pieces - edges)
+    return let(strip(c), count)
 
 
 def remove_literals(c: Column, literals=P.BOILERPLATE_LITERALS) -> Column:
@@ -70,16 +78,14 @@ def tokens(c: Column) -> Column:
 
 
 def content_words(c: Column) -> Column:
-    """Words outside boilerplate lines (TXT-7).
+    """Words outside boilerplate lines (TXT-7)."""
 
-    Dropping those lines leaves their line breaks, which are white space, so
-    the words of what remains are the sum over the remaining lines.
-    """
-    nb, s = P.NOT_LINE_BREAK, P.INLINE_SPACE
-    markers = "|".join(m.replace(".", r"\.") for m in P.BOILERPLATE_MARKERS)
-    marked = f"{nb}*?(?:{markers}){nb}*+"
-    headline = f"{s}*+(?:republik{s}+indonesia{s}*+)++(?!{nb})"
-    return words(F.regexp_replace(c, f"(?iU)(?<!{nb})(?:{marked}|{headline})", ""))
+    def kept(line):
+        marked = reduce(lambda a, b: a | b, (line.contains(m) for m in P.BOILERPLATE_MARKERS))
+        return ~(marked | line.rlike(P.HEADLINE))
+
+    lines = F.filter(F.split(F.lower(c), P.LINE_BREAK), kept)
+    return words(F.array_join(lines, "\n"))
 
 
 def completeness(raw: Column, cleaned: Column) -> Column:

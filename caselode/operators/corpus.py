@@ -7,36 +7,32 @@ from caselode.functions import html, text as T
 
 
 def measured(df: DataFrame, raw: str = "raw_text") -> DataFrame:
-    """Clean, normalise and measure one text per row; narrow, no shuffle.
+    """Clean and measure one raw text per row; narrow, no shuffle.
 
-    A raw text below the word limit counts as an image scan: its cleaned and
-    normalised text are empty and ``status`` says so (TXT-10).
+    A raw text below the word limit counts as an image scan: its cleaned text
+    is empty and ``status`` says so (TXT-10).
     """
-    df = (
-        df.withColumn(raw, F.coalesce(raw, F.lit("")))
-        .withColumn("raw_words", T.words(F.col(raw)))
-        .withColumn(
-            "cleaned",
-            F.when(F.col("raw_words") >= P.MIN_RAW_WORDS, T.clean(F.col(raw))).otherwise(""),
-        )
-        .withColumn("normalised", T.normalise(F.col("cleaned")))
-        .withColumn("jumlah_kata", T.words(F.col("cleaned")))
-        .withColumn("jumlah_token", F.size(T.tokens(F.col("normalised"))))
-        .withColumn("score", T.completeness(F.col(raw), F.col("cleaned")))
-    )
-    return (
-        df.withColumn("keutuhan_teks", F.bround("score", 4))
-        .withColumn("valid_min_200_kata", T.is_valid(F.col("jumlah_kata"), F.col("score")))
-        .withColumn(
-            "status",
-            F.when(F.col(raw) == "", "no_text")
-            .when(F.col("raw_words") < P.MIN_RAW_WORDS, "scan_skip")
-            .otherwise("text"),
-        )
-        .drop("score")
+    text, cleaned, score = F.col(raw), F.col("cleaned"), F.col("score")
+    long_enough = F.col("raw_words") >= P.MIN_RAW_WORDS
+    df = df.withColumn(raw, F.coalesce(raw, F.lit("")))
+    df = T.computed(df, raw_words=T.words(text))
+    df = T.computed(df, cleaned=F.when(long_enough, T.clean(text)).otherwise(""))
+    df = T.computed(df, jumlah_kata=T.words(cleaned), score=T.completeness(text, cleaned))
+    kind = F.when(text == "", "no_text").when(~long_enough, "scan_skip").otherwise("text")
+    return df.select(
+        *(c for c in df.columns if c != "score"),
+        F.bround(score, 4).alias("keutuhan_teks"),
+        T.is_valid(F.col("jumlah_kata"), score).alias("valid_min_200_kata"),
+        kind.alias("status"),
     )
 
 
+def normalised(df: DataFrame, cleaned: str = "cleaned") -> DataFrame:
+    """Add the normalised text and its number of tokens (TXT-4 .. TXT-6)."""
+    df = T.computed(df, normalised=T.normalise(F.col(cleaned)))
+    return df.withColumn("jumlah_token", F.size(T.tokens(F.col("normalised"))))
+
+
 def longest_per_key(df: DataFrame, key: str, size: str, id_col: str) -> DataFrame:
     """One row per key, the longest, ties by id; rows without a key all stay (TXT-11).
 

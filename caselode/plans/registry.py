@@ -56,10 +56,8 @@ def text_counts(spark, folder):
 
 @query
 def text_completeness(spark, folder):
-    rows = views.case_texts(spark, folder).select(
-        "doc_id", "raw_text", T.clean(F.col("raw_text")).alias("cleaned")
-    )
-    score = T.completeness(F.col("raw_text"), F.col("cleaned"))
+    rows = views.case_texts(spark, folder).select("doc_id", "raw_text")
+    score = T.completeness(F.col("raw_text"), T.clean(F.col("raw_text")))
     return rows.select(
         "doc_id",
         T.content_words(F.col("raw_text")).alias("content_words"),
@@ -69,7 +67,7 @@ def text_completeness(spark, folder):
 
 @query
 def text_valid(spark, folder):
-    return views.metadata(spark, folder).select(
+    return corpus.normalised(views.measured(spark, folder)).select(
         "case_id", "jumlah_kata", "jumlah_token", "keutuhan_teks", "valid_min_200_kata"
     )
 
@@ -202,8 +200,8 @@ def qa_categories(spark, folder):
 
 @query
 def qa_sample(spark, folder):
-    rows = views.measured(spark, folder).select("case_id", "valid_min_200_kata", "normalised")
-    rows = staged(rows, "texts")
+    rows = corpus.normalised(views.measured(spark, folder))
+    rows = staged(rows.select("case_id", "valid_min_200_kata", "normalised"), "texts")
     have = views.inventories(spark, folder)["raw"]
     return quality.random_sample(rows, rows.join(have, "case_id", "left_semi"))
 
@@ -228,8 +226,7 @@ def qa_flags(spark, folder):
 
 
 def _normalised(spark, folder):
-    rows = views.measured(spark, folder).filter("valid_min_200_kata")
-    return rows.select("case_id", "amar", "normalised")
+    return views.valid_texts(spark, folder).select("case_id", "amar", "normalised")
 
 
 @query

@@ -72,7 +72,7 @@ FROM {pages}
 _META = (
     "case_id", "no_perkara", "tanggal_register", "klasifikasi", "amar", "hakim_ketua",
     "judul", "jenis_perkara", "pengadilan", "url_pdf", "raw_words", "jumlah_kata",
-    "jumlah_token", "keutuhan_teks", "valid_min_200_kata", "status",
+    "keutuhan_teks", "valid_min_200_kata", "status",
 )
 
 
@@ -100,6 +100,12 @@ def metadata(spark: SparkSession, folder: str) -> DataFrame:
     return measured(spark, folder).select("doc_id", *_META)
 
 
+def valid_texts(spark: SparkSession, folder: str) -> DataFrame:
+    """Normalised text of the valid cases; the others are dropped before that work."""
+    valid = measured(spark, folder).filter("valid_min_200_kata").drop("raw_text")
+    return corpus.normalised(valid).drop("cleaned")
+
+
 def staged_metadata(spark: SparkSession, folder: str) -> DataFrame:
     return staged(metadata(spark, folder), "metadata")
 
@@ -124,8 +130,7 @@ def cases(spark: SparkSession, folder: str) -> DataFrame:
     Text and metadata come from the same row here; ``represent.valid_with_text``
     joins them where they are stored apart.
     """
-    rows = measured(spark, folder).filter("valid_min_200_kata").filter(F.col("normalised") != "")
-    return represent.case_records(rows)
+    return represent.case_records(valid_texts(spark, folder).filter(F.col("normalised") != ""))
 
 
 def case_features(spark: SparkSession, folder: str) -> DataFrame:

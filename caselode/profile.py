@@ -9,9 +9,12 @@ which matches the same text and keeps the matcher off the call stack.
 # --- Fixed values: white space and line breaks ------------------------------
 # ``\s`` under (?U) lacks the four separators U+001C..U+001F.
 SPACE = r"[\s\x1c-\x1f]"
+SPACES = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 LINE_BREAK = r"[\n\r\x0b\x0c\x1c-\x1e\x85\x{2028}\x{2029}]"
-NOT_LINE_BREAK = r"[^\n\r\x0b\x0c\x1c-\x1e\x85\x{2028}\x{2029}]"
-INLINE_SPACE = r"[\s\x1c-\x1f&&[^\n\r\x0b\x0c\x1c-\x1e\x85\x{2028}\x{2029}]]"
 
 # --- Fixed values: literal boilerplate, removed in this order ---------------
 BOILERPLATE_LITERALS = (
@@ -50,6 +53,7 @@ BOILERPLATE_MARKERS = (
     "direktori", "putusan.go.id", "putusan..go.id",
     "kepaniteraan", "disclaimer", "inakurasi",
 )
+HEADLINE = r"(?U)\A[\s\x1c-\x1f]*+(?:republik[\s\x1c-\x1f]+indonesia[\s\x1c-\x1f]*+)++\z"
 KEPT_CHARACTERS = r"\x20-\x7e\xc0-\xff\n"
 WORD_TOKEN = r"[a-zA-Z0-9]++(?:[-'][a-zA-Z0-9]++)*+"
 TERM_TOKEN = r"[\p{L}\p{N}_]{2,}"
