@@ -14,6 +14,13 @@ from caselode.functions.text import let
 BROADCAST_TERMS = 1_000_000
 
 
+def _tasks(df: DataFrame) -> int:
+    """A fixed number: merging small text partitions would undo the parallel term work."""
+    spark = df.sparkSession
+    wanted = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(wanted, spark.sparkContext.defaultParallelism)
+
+
 def _exploded(docs: DataFrame, id_col: str, text: str) -> DataFrame:
     """(id, term): words of two or more characters and pairs of neighbours."""
     words = F.regexp_extract_all(
@@ -27,7 +34,7 @@ def _exploded(docs: DataFrame, id_col: str, text: str) -> DataFrame:
         )
         return F.concat(w, pairs)
 
-    return docs.select(id_col, text).repartition(id_col).select(
+    return docs.select(id_col, text).repartition(_tasks(docs), id_col).select(
         id_col, F.explode_outer(let(words, with_pairs)).alias("term")
     )
 
@@ -78,9 +85,10 @@ def vectors(
         .agg(((1 + F.log(tf)) * F.col("idf")).alias("w"))
     )
     entry = F.when(F.col("idx").isNotNull(), F.struct("idx", "w"))
-    gathered = counted.groupBy(id_col).agg(F.array_sort(F.collect_list(entry)).alias("e"))
-    length = F.sqrt(F.aggregate("e", F.lit(0.0), lambda s, x: s + x["w"] * x["w"]))
-    return gathered.withColumn("len", length).select(
+    gathered = counted.groupBy(id_col).agg(
+        F.array_sort(F.collect_list(entry)).alias("e"), F.sqrt(F.sum(F.col("w") ** 2)).alias("len")
+    )
+    return gathered.select(
         id_col,
         F.transform("e", lambda x: x["idx"]).alias("indices"),
         F.transform("e", lambda x: x["w"] / F.col("len")).alias("values"),
