@@ -18,30 +18,50 @@ def _find_all(c: Column, pattern: str, group: int) -> Column:
     return F.regexp_extract_all(c, F.lit(f"(?id){pattern}"), F.lit(group))
 
 
-def _names_before(text: Column, anchor: str, link: str) -> Column:
-    """Names that stand before ``anchor``.
+def _name(anchor: str, link: str) -> str:
+    return f"([A-Z]{P.NAME_CHARACTER}+?){link}{anchor}"
+
+
+def _names_in_runs(runs: Column, anchor: str, link: str) -> Column:
+    """Names that stand before ``anchor`` inside one run of name characters each.
 
     The lazy name pattern retries from every letter, which is quadratic in the
-    length of a run of name characters.  Cutting the text into runs that end at
-    their last anchor first gives the same names in linear time: no name can
-    start behind the last anchor of its run.
+    length of a run.  Cutting the run behind its last anchor first leaves the
+    same names, since no name can start behind it, and takes linear time.
     """
+    cut = rf"(?id)\A{P.NAME_CHARACTER}*{link}{anchor}"
+    return F.flatten(
+        F.transform(
+            runs, lambda r: _find_all(F.regexp_extract(r, cut, 0), _name(anchor, link), 1)
+        )
+    )
+
+
+def _names_across_runs(text: Column, anchor: str, link: str) -> Column:
+    """The same for an anchor that may leave the run; ``\\G`` goes on inside a run."""
     ch = P.NAME_CHARACTER
-    runs = _find_all(text, rf"(?:\G|(?<!{ch})){ch}*{link}{anchor}", 0)
-    name = f"([A-Z]{ch}+?){link}{anchor}"
-    return F.flatten(F.transform(runs, lambda run: _find_all(run, name, 1)))
+    cuts = _find_all(text, rf"(?:\G|(?<!{ch})){ch}*{link}{anchor}", 0)
+    return F.flatten(F.transform(cuts, lambda r: _find_all(r, _name(anchor, link), 1)))
 
 
 def party_names(text: Column, party: str, alias: str) -> Column:
     """Up to five distinct names of one party, in order of appearance by rule."""
-    found = F.concat(
-        _names_before(text, P.NAMED_HEREAFTER.format(party=party), r"\s*,?\s*"),
-        _names_before(text, P.NAMED_AS.format(party=party), r"\s*"),
-        _find_all(text, P.NAMED_AFTER.format(party=party), 1),
-    )
+    hereafter, named_as = P.NAMED_HEREAFTER.format(party=party), P.NAMED_AS.format(party=party)
+    runs = F.filter(F.split(text, P.NAME_GAP), lambda r: r.contains(party))
+
+    def found(rs):
+        as_party = F.when(
+            text.contains(P.REPRESENTED), _names_across_runs(text, named_as, r"\s*")
+        ).otherwise(_names_in_runs(rs, named_as, r"\s*"))
+        return F.concat(
+            _names_in_runs(rs, hereafter, r"\s*,?\s*"),
+            as_party,
+            _find_all(text, P.NAMED_AFTER.format(party=party), 1),
+        )
+
     names = F.slice(
         F.array_distinct(
-            F.filter(F.transform(found, _strip), lambda n: F.length(n) > 3)
+            F.filter(F.transform(let(runs, found), _strip), lambda n: F.length(n) > 3)
         ),
         1,
         P.MAX_PARTIES,

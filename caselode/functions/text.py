@@ -64,7 +64,7 @@ def normalise(c: Column) -> Column:
     Blank lines collapse *before* the blanks around line ends go, so some
     runs of line ends survive; later stages rely on that order.
     """
-    c = F.regexp_replace(F.lower(c), f"[^{P.KEPT_CHARACTERS}]", " ")
+    c = F.regexp_replace(F.lower(c), P.DROPPED_CHARACTERS, " ")
     c = F.regexp_replace(c, r"([.,;:])\1+", "$1")
     c = F.regexp_replace(c, " +", " ")
     c = F.regexp_replace(c, "\n{3,}", "\n\n")
@@ -88,13 +88,13 @@ def content_words(c: Column) -> Column:
     return words(F.array_join(lines, "\n"))
 
 
-def completeness(raw: Column, cleaned: Column) -> Column:
-    """Share of the raw content words that survive cleaning, 0 to 1 (TXT-8)."""
-    return let(
-        F.struct(content_words(raw).alias("all"), words(cleaned).alias("kept")),
-        lambda n: F.when((n["all"] == 0) | (n["kept"] == 0), F.lit(0.0)).otherwise(
-            F.least(n["kept"] / n["all"], F.lit(1.0))
-        ),
+def completeness(kept: Column, all_words: Column) -> Column:
+    """Share of the raw content words that survive cleaning, 0 to 1 (TXT-8).
+
+    A blank text has no words, so the two zero cases cover it.
+    """
+    return F.when((all_words == 0) | (kept == 0), F.lit(0.0)).otherwise(
+        F.least(kept / all_words, F.lit(1.0))
     )
 
 

@@ -12,15 +12,16 @@ def measured(df: DataFrame, raw: str = "raw_text") -> DataFrame:
     A raw text below the word limit counts as an image scan: its cleaned text
     is empty and ``status`` says so (TXT-10).
     """
-    text, cleaned, score = F.col(raw), F.col("cleaned"), F.col("score")
+    text, cleaned = F.col(raw), F.col("cleaned")
     long_enough = F.col("raw_words") >= P.MIN_RAW_WORDS
+    kind = F.when(text == "", "no_text").when(~long_enough, "scan_skip").otherwise("text")
     df = df.withColumn(raw, F.coalesce(raw, F.lit("")))
     df = T.computed(df, raw_words=T.words(text))
     df = T.computed(df, cleaned=F.when(long_enough, T.clean(text)).otherwise(""))
-    df = T.computed(df, jumlah_kata=T.words(cleaned), score=T.completeness(text, cleaned))
-    kind = F.when(text == "", "no_text").when(~long_enough, "scan_skip").otherwise("text")
+    df = T.computed(df, jumlah_kata=T.words(cleaned), _content=T.content_words(text))
+    score = T.completeness(F.col("jumlah_kata"), F.col("_content"))
     return df.select(
-        *(c for c in df.columns if c != "score"),
+        *(c for c in df.columns if c != "_content"),
         F.bround(score, 4).alias("keutuhan_teks"),
         T.is_valid(F.col("jumlah_kata"), score).alias("valid_min_200_kata"),
         kind.alias("status"),

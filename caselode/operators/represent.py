@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from caselode import profile as P
 from caselode.functions import extract as X
-from caselode.functions.text import computed, words
+from caselode.functions.text import words
 
 
 def valid_with_text(meta: DataFrame, texts: DataFrame, text: str = "normalised") -> DataFrame:
@@ -17,17 +17,18 @@ def valid_with_text(meta: DataFrame, texts: DataFrame, text: str = "normalised")
 
 
 def extracted(df: DataFrame, text: str = "normalised", disposition: str = "amar") -> DataFrame:
-    """Add the extracted fields; one narrow pass over the text."""
+    """Add the extracted fields; narrow, and fields that nobody reads are not computed."""
     t = F.col(text)
-    return computed(
-        df,
-        _plaintiff=X.parties(t, P.PLAINTIFF, P.PLAINTIFF_ALIAS),
-        _defendant=X.parties(t, P.DEFENDANT, P.DEFENDANT_ALIAS),
-        ringkasan_fakta=X.facts(t),
-        argumen_hukum=X.arguments(t),
-        pasal=X.statutes(t),
-        amar_putusan=F.coalesce(disposition, F.lit("")),
-        decision_type=X.decision(F.col(disposition), t),
+    return df.withColumns(
+        {
+            "_plaintiff": X.parties(t, P.PLAINTIFF, P.PLAINTIFF_ALIAS),
+            "_defendant": X.parties(t, P.DEFENDANT, P.DEFENDANT_ALIAS),
+            "ringkasan_fakta": X.facts(t),
+            "argumen_hukum": X.arguments(t),
+            "pasal": X.statutes(t),
+            "amar_putusan": F.coalesce(disposition, F.lit("")),
+            "decision_type": X.decision(F.col(disposition), t),
+        }
     )
 
 

@@ -56,13 +56,13 @@ def text_counts(spark, folder):
 
 @query
 def text_completeness(spark, folder):
-    rows = views.case_texts(spark, folder).select("doc_id", "raw_text")
-    score = T.completeness(F.col("raw_text"), T.clean(F.col("raw_text")))
-    return rows.select(
-        "doc_id",
-        T.content_words(F.col("raw_text")).alias("content_words"),
-        F.bround(score, 4).alias("keutuhan_teks"),
+    raw = F.col("raw_text")
+    rows = T.computed(
+        views.case_texts(spark, folder),
+        content_words=T.content_words(raw), kept=T.words(T.clean(raw)),
     )
+    score = T.completeness(F.col("kept"), F.col("content_words"))
+    return rows.select("doc_id", "content_words", F.bround(score, 4).alias("keutuhan_teks"))
 
 
 @query

@@ -54,7 +54,8 @@ BOILERPLATE_MARKERS = (
     "kepaniteraan", "disclaimer", "inakurasi",
 )
 HEADLINE = r"(?U)\A[\s\x1c-\x1f]*+(?:republik[\s\x1c-\x1f]+indonesia[\s\x1c-\x1f]*+)++\z"
-KEPT_CHARACTERS = r"\x20-\x7e\xc0-\xff\n"
+# all but line ends, printable ASCII and U+00C0..U+00FF; a negated class is ten times slower
+DROPPED_CHARACTERS = r"[\x00-\x09\x0b-\x1f\x7f-\xbf\x{100}-\x{10ffff}]++"
 WORD_TOKEN = r"[a-zA-Z0-9]++(?:[-'][a-zA-Z0-9]++)*+"
 TERM_TOKEN = r"[\p{L}\p{N}_]{2,}"
 
@@ -105,6 +106,9 @@ FLAG_REASONS = (
 PLAINTIFF, PLAINTIFF_ALIAS = "penggugat", "pemohon"
 DEFENDANT, DEFENDANT_ALIAS = "tergugat", "termohon"
 NAME_CHARACTER = r"[A-Za-z0-9\s.,\-/]"
+# everything but name characters, for normalised text
+NAME_GAP = r"[\x21-\x2b\x3a-\x40\x5b-\x60\x7b-\x{10ffff}]+"
+REPRESENTED = "dalam hal ini diwakili"
 NAMED_HEREAFTER = r"selanjutnya\s+disebut\s+(?:sebagai\s+)?{party}"
 NAMED_AS = r"(?:dalam hal ini diwakili\s+oleh\s+.+?)?\s*sebagai\s+{party}"
 NAMED_AFTER = r"{party}\s*(?:adalah|:)?\s*([A-Z][A-Za-z0-9\s.,\-/]{{3,60}})"

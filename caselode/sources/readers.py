@@ -35,7 +35,7 @@ def corpus(spark: SparkSession, folder: str, suffix: str = ".txt") -> DataFrame:
 
 
 def inventory(spark: SparkSession, folder: str, suffix: str) -> DataFrame:
-    """Ids that have a file; lists names only, file contents are not read."""
+    """Ids that have a file with content; names only, the contents are not read."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", f"*{suffix}").load(folder)
     return files.select(F.regexp_extract("path", rf"([^/]*)\{suffix}$", 1).alias("case_id"))
 
