@@ -5,10 +5,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from caselode import profile as P
 from caselode.functions.extract import merged_label
 from caselode.functions.text import strip
+from caselode.session import staged
 
 FEATURE_COLUMNS = ("ringkasan_fakta", "argumen_hukum", "pasal", "amar_putusan")
 MAX_CLASSES = 10_000
-_HASH_BUCKETS = 65_536
 
 
 def combined_text(columns=FEATURE_COLUMNS) -> Column:
@@ -45,13 +45,16 @@ def label_codes(df: DataFrame, label: str = "label") -> DataFrame:
     return df.withColumn("label_encoded", (F.array_position(names, F.col(label)) - 1).cast("int"))
 
 
-def class_quotas(df: DataFrame, label: str = "label", share: float = P.TEST_SHARE) -> DataFrame:
+def class_sizes(df: DataFrame, label: str = "label") -> DataFrame:
+    return df.groupBy(label).agg(F.count("*").alias("n_class"))
+
+
+def class_quotas(sizes: DataFrame, label: str = "label", share: float = P.TEST_SHARE) -> DataFrame:
     """Test rows per class: floor of the proportional share, rest by largest remainder.
 
-    When a class has a single row there is one group for all rows (VEC-4).
-    All windows here run over one row per class.
+    ``sizes`` is the table of ``class_sizes``.  When a class has a single row
+    there is one group for all rows (VEC-4).  All windows run over one row per class.
     """
-    sizes = df.groupBy(label).agg(F.count("*").alias("n_class"))
     every = Window.partitionBy()
     by_rest = Window.orderBy(F.desc("rest"), label)
     exact = F.col("n_class") * F.col("n_test")
@@ -76,34 +79,37 @@ def stratified_split(
     Ranking a whole class in one window would put it into one task.  Instead
     a histogram over the first hash digits finds, per class, the bucket where
     the quota runs out; only the rows of that bucket are ranked, about one in
-    65,536.
+    65,536.  The histogram and the limits are written once: two small tables,
+    bounded by classes times buckets.
     """
-    quotas = class_quotas(df, label, share)
-    group = F.when(F.col("stratified"), F.col(label)).otherwise(F.lit(""))
-    limits = (
-        quotas.withColumn("grp", group)
-        .groupBy("grp")
-        .agg(F.max("stratified").alias("stratified"), F.sum("quota").alias("quota"))
-    )
-    one_group = ~F.any_value("stratified")
-    whole = quotas.agg(one_group.alias("whole"))
-    keyed = (
-        df.select(F.col(id_col), F.col(label))
-        .withColumn("h", F.md5(F.concat(F.col(id_col).cast("string"), F.lit(f":{seed}"))))
-        .withColumn("bucket", F.conv(F.substring("h", 1, 4), 16, 10).cast("int"))
-        .withColumn("grp", F.when(whole.scalar(), F.lit("")).otherwise(F.col(label)))
+    hashed = F.md5(F.concat(F.col(id_col).cast("string"), F.lit(f":{seed}")))
+    keyed = df.select(
+        id_col, label, hashed.alias("h"),
+        F.conv(F.substring(hashed, 1, 4), 16, 10).cast("int").alias("bucket"),
     )
+    histogram = staged(keyed.groupBy(label, "bucket").agg(F.count("*").alias("n")), "histogram")
+    quotas = class_quotas(histogram.groupBy(label).agg(F.sum("n").alias("n_class")), label, share)
+    group = F.when(F.col("stratified"), F.col(label)).otherwise(F.lit(""))
+    groups = quotas.select(label, "quota", group.alias("grp"))
     running = Window.partitionBy("grp").orderBy("bucket")
-    edge = (
-        keyed.groupBy("grp", "bucket").agg(F.count("*").alias("n"))
+    before = F.col("upto") - F.col("n")
+    edges = (
+        histogram.join(groups.select(label, "grp"), label)
+        .groupBy("grp", "bucket")
+        .agg(F.sum("n").alias("n"))
         .withColumn("upto", F.sum("n").over(running))
-        .join(limits.select("grp", "quota"), "grp")
+        .join(groups.groupBy("grp").agg(F.sum("quota").alias("quota")), "grp")
         .filter(F.col("upto") >= F.col("quota"))
         .groupBy("grp")
-        .agg(F.min(F.struct("bucket", (F.col("quota") - F.col("upto") + F.col("n")).alias("left"))).alias("e"))
-        .select("grp", F.col("e.bucket").alias("edge"), F.col("e.left").alias("left"))
+        .agg(F.min(F.struct("bucket", (F.col("quota") - before).alias("left"))).alias("e"))
+    )
+    limits = staged(
+        groups.join(edges, "grp").select(
+            label, "grp", F.col("e.bucket").alias("edge"), F.col("e.left").alias("left")
+        ),
+        "limits",
     )
-    placed = keyed.join(F.broadcast(edge), "grp")  # one row per class
+    placed = keyed.join(F.broadcast(limits), label)  # one row per class
     split = F.when(F.col("test"), "test").otherwise("train").alias("split")
     clear = placed.filter(F.col("bucket") != F.col("edge")).withColumn(
         "test", F.col("bucket") < F.col("edge")

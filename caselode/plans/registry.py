@@ -308,7 +308,7 @@ def split_stratified(spark, folder):
 
 @query
 def split_quotas(spark, folder):
-    return features.class_quotas(views.labelled_documents(spark, folder).select("label"))
+    return features.class_quotas(features.class_sizes(views.labelled_documents(spark, folder)))
 
 
 def _document_vocabulary(spark, folder):
@@ -535,7 +535,7 @@ def _nb_predictions(spark, folder):
     rows, test, _, terms, priors = _nb(spark, folder)
     pred = classify.nb_predict(test, terms, priors)
     truth = test.select("case_id", F.col("label").alias("true_label"))
-    return rows, truth.join(pred, "case_id")
+    return rows, staged(truth.join(pred, "case_id"), "predictions")
 
 
 @query

@@ -29,7 +29,7 @@ def test_quotas_by_largest_remainder(spark):
 
 def test_a_single_member_turns_stratification_off(spark):
     rows = labelled(spark, a=20, b=1)
-    quotas = features.class_quotas(rows).collect()
+    quotas = features.class_quotas(features.class_sizes(rows)).collect()
     assert not any(r.stratified for r in quotas)
     split = features.stratified_split(rows).collect()
     assert sum(r.split == "test" for r in split) == 5 and len(split) == 21
