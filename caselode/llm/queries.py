@@ -28,3 +28,4 @@ QUERIES = {
     "op3_decontaminate": op3_decontaminate,
     "op4_quality_rules": op4_quality_rules,
 }
+ORACLE_SQL = {}
