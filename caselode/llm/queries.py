@@ -1,9 +1,14 @@
 """Registered queries of the subpackage: thin uses of the operators on the tables of a folder."""
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import decontaminate as decon
+from caselode.session import shared_folder
+
+from . import line_dedup, mixing, warc
 from . import quality_rules as rules
 from .common import table
 
@@ -24,8 +29,32 @@ def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix_sizes(table(spark, folder, "documents"))
+
+
+def op9_warc(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages")
+    path = f"{shared_folder(spark)}/caselode/warc-{uuid.uuid4().hex}"
+    warc.write_archives(pages, path)
+    rows = warc.with_referred_pages(warc.captures(warc.read_records(spark, path, with_payload=False)))
+    kind = pages.schema["page_id"].dataType
+    return rows.select(
+        F.col("page").cast(kind).alias("page_id"), "response.payload_bytes", "response.payload_digest",
+        F.col("response.kind").alias("record_type"), F.col("refers_to").cast(kind).alias("refers_to"),
+    )
+
+
+def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    cleaned = line_dedup.line_dedup(table(spark, folder, "documents"))
+    return cleaned.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("text_sha256"))
+
+
 QUERIES = {
     "op3_decontaminate": op3_decontaminate,
     "op4_quality_rules": op4_quality_rules,
+    "op5_mixing": op5_mixing,
+    "op9_warc": op9_warc,
+    "op10_line_dedup": op10_line_dedup,
 }
 ORACLE_SQL = {}
