@@ -8,11 +8,15 @@ from pyspark.sql import functions as F
 from . import decontaminate as decon
 from caselode.session import shared_folder
 
-from . import line_dedup, mixing, warc
+from . import jaccard_join, line_dedup, mixing, warc
 from . import quality_rules as rules
 from .common import table
 
 
+def op2_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_join.jaccard_join(table(spark, folder, "documents"))
+
+
 def op3_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     found = decon.scan_benchmark(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     return found.select(
@@ -51,6 +55,7 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_jaccard_join": op2_jaccard_join,
     "op3_decontaminate": op3_decontaminate,
     "op4_quality_rules": op4_quality_rules,
     "op5_mixing": op5_mixing,
