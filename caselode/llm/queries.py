@@ -8,11 +8,18 @@ from pyspark.sql import functions as F
 from . import decontaminate as decon
 from caselode.session import shared_folder
 
-from . import jaccard_join, line_dedup, mixing, warc
+from . import jaccard_join, line_dedup, mixing, token_output, warc
 from . import quality_rules as rules
 from .common import table
 
 
+def tokenizer_file() -> str:
+    """The vocabulary file of the installed public tokenizers."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 def op2_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_join.jaccard_join(table(spark, folder, "documents"))
 
@@ -37,6 +44,12 @@ def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_sizes(table(spark, folder, "documents"))
 
 
+def op6_token_output(spark: SparkSession, folder: str) -> DataFrame:
+    path = f"{shared_folder(spark)}/caselode/tokens-{uuid.uuid4().hex}"
+    token_output.write_tokens(table(spark, folder, "documents"), path, tokenizer_file())
+    return token_output.token_digests(spark, path)
+
+
 def op9_warc(spark: SparkSession, folder: str) -> DataFrame:
     pages = table(spark, folder, "pages")
     path = f"{shared_folder(spark)}/caselode/warc-{uuid.uuid4().hex}"
@@ -59,6 +72,7 @@ QUERIES = {
     "op3_decontaminate": op3_decontaminate,
     "op4_quality_rules": op4_quality_rules,
     "op5_mixing": op5_mixing,
+    "op6_token_output": op6_token_output,
     "op9_warc": op9_warc,
     "op10_line_dedup": op10_line_dedup,
 }
