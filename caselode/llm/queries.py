@@ -9,6 +9,7 @@ from . import decontaminate as decon
 from caselode.session import shared_folder
 
 from . import jaccard_join, line_dedup, mixing, token_output, warc
+from . import quality_classifier as classifier
 from . import quality_rules as rules
 from .common import table
 
@@ -20,6 +21,10 @@ def tokenizer_file() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    return classifier.score_quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op2_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_join.jaccard_join(table(spark, folder, "documents"))
 
@@ -68,6 +73,7 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_quality_classifier": op1_quality_classifier,
     "op2_jaccard_join": op2_jaccard_join,
     "op3_decontaminate": op3_decontaminate,
     "op4_quality_rules": op4_quality_rules,
