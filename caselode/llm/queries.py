@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from . import decontaminate as decon
 from caselode.session import shared_folder
 
-from . import jaccard_join, line_dedup, mixing, token_output, warc
+from . import jaccard_join, line_dedup, mixing, pii, token_output, warc
 from . import quality_classifier as classifier
 from . import quality_rules as rules
 from .common import table
@@ -55,6 +55,21 @@ def op6_token_output(spark: SparkSession, folder: str) -> DataFrame:
     return token_output.token_digests(spark, path)
 
 
+def op8_pii(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    found = pii.find_pii(docs, pii.trained_field(docs))
+    rank = F.create_map(*[F.lit(x) for i, k in enumerate(pii.KINDS) for x in (k, i)])
+    written = lambda spans: F.array_join(F.transform(
+        F.array_sort(F.transform(spans, lambda s: F.struct(s["start"], rank[s["kind"]], s["end"], s["kind"]))),
+        lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string")),
+    ), ",")
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select(
+        "doc_id", *map(count, pii.KINDS), F.sha2(written(F.col("base")), 256).alias("base_sha256"),
+        written(F.concat("base", "added")).alias("spans"),
+    )
+
+
 def op9_warc(spark: SparkSession, folder: str) -> DataFrame:
     pages = table(spark, folder, "pages")
     path = f"{shared_folder(spark)}/caselode/warc-{uuid.uuid4().hex}"
@@ -79,6 +94,7 @@ QUERIES = {
     "op4_quality_rules": op4_quality_rules,
     "op5_mixing": op5_mixing,
     "op6_token_output": op6_token_output,
+    "op8_pii": op8_pii,
     "op9_warc": op9_warc,
     "op10_line_dedup": op10_line_dedup,
 }
