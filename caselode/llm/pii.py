@@ -27,7 +27,7 @@ TRAIN_DOCS, SAMPLED_DOCS = 400, 20_000
 MOST_TOKENS, MARGIN = 16, 2
 #: How much better than outside an added span must score.
 LEAST_GAIN = 2.0
-EPOCHS, RATE, DECAY = 30, 0.2, 0.02
+EPOCHS, RATE, DECAY = 150, 0.2, 0.004
 
 # The patterns of the base spans. Possessive runs and borders keep them linear; they
 # match what the plain forms `[0-9]+(\.[0-9]+){3}` and so on match.
@@ -110,11 +110,19 @@ def zones(text: str):
         tokens.append(m.span())
     out, i = [], 0
     while i < len(marked):
-        first = last = marked[i]
-        while i + 1 < len(marked) and marked[i + 1] - last <= 2 * MARGIN:
-            i += 1
-            last = marked[i]
-        out.append(tokens[max(0, first - MARGIN - 1) : last + MARGIN + 2])
+        first, end = marked[i], marked[i]
+        while True:  # marked tokens near by, and what is joined to them without a space
+            if i + 1 < len(marked) and marked[i + 1] - end <= 2 * MARGIN:
+                i += 1
+                end = marked[i]
+            elif end + 1 < len(tokens) and tokens[end + 1][0] == tokens[end][1] and end - marked[i] < MOST_TOKENS:
+                end += 1
+            else:
+                break
+        before = first
+        while before and tokens[before - 1][1] == tokens[before][0] and first - before < MOST_TOKENS:
+            before -= 1
+        out.append(tokens[max(0, before - MARGIN) : end + MARGIN + 1])
         i += 1
     return out
 
@@ -141,7 +149,7 @@ def candidates(text, tokens):
                 n_digits += b - a if last_digit else 0
                 if last_digit and n_digits <= 19 and j > i or last_digit and 12 <= n_digits <= 19:
                     span = text[start:b]
-                    if digit and j - i == 6 and " " not in span and span.count(".") == 3:
+                    if digit and j - i == 6 and " " not in span and span.count(".") == 3 and all(map(_byte, span.split("."))):
                         out.append((i, j + 1, 1, _ip_features(text, start, b, span)))
                     if digit and 12 <= n_digits and not set(span) - set("0123456789 -"):
                         out.append((i, j + 1, 2, _card_features(text, start, b, span, j + 1 - i)))
@@ -182,8 +190,7 @@ def _email_features(text, start, end, span):
 
 def _ip_features(text, start, end, span):
     parts = span.split(".")
-    ok = all(map(_byte, parts))
-    return _row(1, text, start, end, 0, ok, not any(len(p) > 1 and p[0] == "0" for p in parts), 0, 0, 0)
+    return _row(1, text, start, end, 0, 0, not any(len(p) > 1 and p[0] == "0" for p in parts), 0, 0, 0)
 
 
 def _card_features(text, start, end, span, tokens):
