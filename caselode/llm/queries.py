@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from . import decontaminate as decon
 from caselode.session import shared_folder
 
-from . import jaccard_join, line_dedup, mixing, pii, token_output, warc
+from . import jaccard_join, license_scan, line_dedup, mixing, pii, token_output, warc
 from . import quality_classifier as classifier
 from . import quality_rules as rules
 from .common import table
@@ -55,6 +55,16 @@ def op6_token_output(spark: SparkSession, folder: str) -> DataFrame:
     return token_output.token_digests(spark, path)
 
 
+def op7_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    scanned = license_scan.license_scan(table(spark, folder, "documents"))
+    return scanned.select(
+        "doc_id", "n_sentences", F.size("found").cast("long").alias("n_found"), license_scan.licenses().alias("licenses"),
+        F.round(F.array_max(F.transform("found", lambda x: x["saved"])), 4).alias("best_saved"),
+        F.coalesce(F.aggregate("found", F.lit(0).cast("long"), lambda n, x: n + F.size(x["differing"])), F.lit(0))
+        .alias("n_differing"),
+    )
+
+
 def op8_pii(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     found = pii.find_pii(docs, pii.trained_field(docs))
@@ -94,6 +104,7 @@ QUERIES = {
     "op4_quality_rules": op4_quality_rules,
     "op5_mixing": op5_mixing,
     "op6_token_output": op6_token_output,
+    "op7_license_scan": op7_license_scan,
     "op8_pii": op8_pii,
     "op9_warc": op9_warc,
     "op10_line_dedup": op10_line_dedup,
