@@ -9,7 +9,7 @@ shingles (the short ones) at least one must hold the partner, the T - 1 longest
    the lists of its first n - T + 1. Lists with one kind of document are dropped.
 2. Stars. In every list the documents of like size are paired with the list's smallest only, so a
    group of m near copies gives m pairs. Pairs are searched, and links joined to components.
-3. Rest. Documents of one list that are still in different components are compared by 512 bits
+3. Rest. Documents of one list that are still in different components are compared by 256 bits
    inside the task; only pairs which these cannot rule out leave it, and are searched.
 4. Search. A query document's shingles become inverted lists over its candidates; the short lists are
    merged, candidates with T - L occurrences are probed in the L long lists, and those that reach
@@ -40,7 +40,8 @@ SEEN_IN_BATCH, FREQUENT = 3, 16
 #: The most frequent shingles go last in the order. The order decides on cost only, never on the
 #: result, so their table has a fixed size: 2**17 hashes, one megabyte.
 ORDERED = 1 << 17
-BITS = 512
+#: Parity bits of a set: a few that travel with every list entry, and many for pairs.
+BITS, WIDE_BITS = 256, 2048
 #: Documents of one list that are compared with each other in one go; longer lists go in blocks.
 BLOCK = 4096
 #: Candidates of one query that are searched together.
@@ -109,14 +110,19 @@ def short_lists(keys, first, frequent, ranks):
     return keys[order][chosen], np.concatenate([[0], np.cumsum(take)])
 
 
-def parity_bits(keys, first) -> np.ndarray:
-    """BITS bits of each text: the parity of its shingles by hash. Sets that differ in d shingles
-    differ in d bits at most."""
+def parity_bits(keys, first, bits) -> np.ndarray:
+    """Bits of each text, as rows of bytes: the parity of its shingles by hash. Sets that differ in d
+    shingles differ in d bits at most."""
     n = len(first) - 1
     texts = np.repeat(np.arange(n), np.diff(first))
-    place = texts * BITS + (w.mixed(keys ^ np.uint64(w.BYTE_BASE)) >> np.uint64(64 - 9)).astype(np.int64)
-    bits = np.bincount(place, minlength=n * BITS) & 1
-    return np.packbits(bits.astype(np.uint8).reshape(n, BITS), axis=1)
+    place = texts * bits + (w.mixed(keys ^ np.uint64(w.BYTE_BASE)) & np.uint64(bits - 1)).astype(np.int64)
+    odd = np.bincount(place, minlength=n * bits) & 1
+    return np.packbits(odd.astype(np.uint8).reshape(n, bits), axis=1)
+
+
+def _binary(rows: np.ndarray) -> pa.Array:
+    kind = pa.binary(rows.shape[1])
+    return pa.FixedSizeBinaryArray.from_buffers(kind, len(rows), [None, pa.py_buffer(rows.tobytes())]).cast(pa.binary())
 
 
 def _frequent(rows: DataFrame):
@@ -138,7 +144,7 @@ def _frequent(rows: DataFrame):
 
 
 def _described(rows: DataFrame, frequent) -> DataFrame:
-    """(id, n, c, shingles, bits): set size, class, short-list shingles and bits of every row."""
+    """(id, mark, n, c, shingles, bits, wide): set size, class, short-list shingles and bits of every row."""
     shared = rows.sparkSession.sparkContext.broadcast(frequent)
 
     def describe(batch):
@@ -148,16 +154,21 @@ def _described(rows: DataFrame, frequent) -> DataFrame:
             short, cut = short_lists(keys, first, known, ranks)
             yield {
                 "id": batch.column("id")[a:b],
+                "mark": batch.column("mark")[a:b],
                 "n": np.diff(first),
                 "c": set_class(keys, first),
                 "shingles": pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(short.view(np.int64))),
-                "bits": pa.FixedSizeBinaryArray.from_buffers(
-                    pa.binary(BITS // 8), b - a, [None, pa.py_buffer(parity_bits(keys, first).tobytes())]
-                ).cast(pa.binary()),
+                "bits": _binary(parity_bits(keys, first, BITS)),
+                "wide": _binary(parity_bits(keys, first, WIDE_BITS)),
             }
 
     id_type = rows.schema["id"].dataType.simpleString()
-    return map_batches(rows, describe, f"id {id_type}, n int, c long, shingles array<long>, bits binary")
+    schema = f"id {id_type}, mark long, n int, c long, shingles array<long>, bits binary, wide binary"
+    return map_batches(_marked(rows), describe, schema)
+
+
+def _marked(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("mark", F.xxhash64("id"))
 
 
 def _lists(described: DataFrame) -> DataFrame:
@@ -181,26 +192,32 @@ def _may_link(n, m, bits_n, bits_m) -> np.ndarray:
 
 
 def _bit_rows(column) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint64).reshape(len(column), BITS // 64)
+    rows = column.to_pylist()
+    return np.frombuffer(b"".join(rows), np.uint64).reshape(len(rows), -1)
 
 
-def _star_pairs(lists: DataFrame, bits: DataFrame) -> DataFrame:
-    """(q, c): every document of a list with the smallest one of like size, where bits allow a link."""
-    size = F.floor(F.log("n") / F.lit(-math.log(PERCENT / 100)))
-    by = lists.withColumn("size", size)
-    first = by.groupBy("shingle", "size").agg(
-        F.min(F.struct("n", "c")).alias("p"), F.min("c").alias("one"), F.max("c").alias("other")
-    ).filter("one != other")
-    pairs = by.join(first, ["shingle", "size"]).select(F.col("p.c").alias("q"), "c").filter("q != c").distinct()
-    a = bits.select(F.col("c").alias("q"), F.col("n").alias("nq"), F.col("bits").alias("bq"))
+def _open_pairs(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (q, c) that sizes and the many bits do not rule out."""
+    a = sets.select("c", "n", "wide")
+    b = sets.select(F.col("c").alias("q"), F.col("n").alias("nq"), F.col("wide").alias("wide_q"))
 
     def near(batches):
         for x in batches:
             if x.num_rows:
-                ok = _may_link(x["n"].to_numpy(), x["nq"].to_numpy(), _bit_rows(x["bits"]), _bit_rows(x["bq"]))
+                ok = _may_link(x["n"].to_numpy(), x["nq"].to_numpy(), _bit_rows(x["wide"]), _bit_rows(x["wide_q"]))
                 yield x.select(["q", "c"]).filter(pa.array(ok))
 
-    return pairs.join(bits, "c").join(a, "q").mapInArrow(near, "q long, c long")
+    return pairs.join(a, "c").join(b, "q").mapInArrow(near, "q long, c long")
+
+
+def _star_pairs(lists: DataFrame) -> DataFrame:
+    """(q, c): every document of a list with the smallest one of like size."""
+    size = F.floor(F.log("n") / F.lit(-math.log(PERCENT / 100)))
+    by = lists.withColumn("size", size)
+    first = by.groupBy("shingle", "size").agg(
+        F.min(F.struct("n", "c")).alias("p"), F.min("c").alias("one"), F.max("c").alias("other")
+    ).filter("one != other")
+    return by.join(first, ["shingle", "size"]).select(F.col("p.c").alias("q"), "c").filter("q != c").distinct()
 
 
 def _rest_pairs(lists: DataFrame, bits: DataFrame, roots: DataFrame) -> DataFrame:
@@ -215,7 +232,7 @@ def _rest_pairs(lists: DataFrame, bits: DataFrame, roots: DataFrame) -> DataFram
     rows = rows.withColumn("own", F.pmod(F.hash("c"), "blocks"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rows = rows.withColumn("group", F.xxhash64("shingle", F.least("own", "other"), F.greatest("own", "other")))
-    rows = rows.select("group", "c", "root").join(bits, "c").select("group", "c", "n", "root", "bits")
+    rows = rows.select("group", "c", "root").join(bits.select("c", "n", "bits"), "c").select("group", "c", "n", "root", "bits")
     schema = pa.schema([("q", pa.int64()), ("c", pa.int64())])
 
     def compare(batches):
@@ -291,67 +308,78 @@ def divide_skip(query, candidates):
     return found[reached], total[reached]
 
 
-def _picked_sets(rows: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(c, s): the shingle sets of the classes in `pairs`, read again from the texts.
+def _picked_sets(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(c, s): the shingle sets of the documents in `wanted` (c, mark), read again from the texts.
 
     A filter of a fixed number of bits keeps most other texts from leaving their task; when the
     corpus outgrows it, more sets are sent, with the same result.
     """
-    wanted = pairs.select("c").union(pairs.select("q")).distinct()
-    slot = F.pmod(F.col("c"), F.lit(PICK_BITS))
-    bytes_of = wanted.select(F.floor(slot / 8).alias("at"), F.expr("shiftleft(1, cast(pmod(c, 8) AS int))").alias("bit"))
-    bits = np.zeros(PICK_BITS // 8, np.uint8)
-    packed = bytes_of.groupBy(F.floor(F.col("at") / 8).alias("word")).agg(
-        *[F.bit_or(F.when(F.col("at") % 8 == i, F.col("bit")).otherwise(0)).alias(f"b{i}") for i in range(8)]
-    )
+    slot = F.pmod(F.col("c").bitwiseXOR(F.col("mark")), F.lit(PICK_BITS))
+    packed = wanted.select(F.floor(slot / 64).alias("word"), F.pmod(slot, F.lit(64)).cast("int").alias("bit"))
+    packed = packed.groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits"))
+    pick = np.zeros(PICK_BITS // 64, np.int64)
     for r in packed.collect():  # PICK_BITS / 64 rows at most
-        bits[8 * r["word"] : 8 * r["word"] + 8] = r[1:]
-    shared = rows.sparkSession.sparkContext.broadcast(bits)
+        pick[r["word"]] = r["bits"]
+    shared = rows.sparkSession.sparkContext.broadcast(pick.view(np.uint64))
 
     def read(batch):
-        pick, done = shared.value, set()
-        for _, _, data, borders in w.pieces(batch.column("text")):
+        pick = shared.value
+        mark = batch.column("mark").to_numpy()
+        for a, b, data, borders in w.pieces(batch.column("text")):
             keys, first = shingle_sets(data, borders)
             c = set_class(keys, first)
-            slot = c & (PICK_BITS - 1)
-            hit = ((pick[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1).astype(bool) & (np.diff(first) > 0)
-            chosen = []
-            for t in np.flatnonzero(hit).tolist():
-                if int(c[t]) not in done:
-                    done.add(int(c[t]))
-                    chosen.append(t)
-            if chosen:
-                size = np.diff(first)[chosen]
+            slot = (c ^ mark[a:b]) & (PICK_BITS - 1)
+            hit = (pick[slot >> 6] >> (slot & 63).astype(np.uint64)) & np.uint64(1)
+            chosen = np.flatnonzero(hit.astype(bool) & (np.diff(first) > 0))
+            if len(chosen):
                 values = np.concatenate([keys[first[t] : first[t + 1]] for t in chosen]).view(np.int64)
-                cut = pa.array(np.concatenate([[0], np.cumsum(size)]), pa.int32())
+                cut = pa.array(np.concatenate([[0], np.cumsum(np.diff(first)[chosen])]), pa.int32())
                 yield {"c": c[chosen], "s": pa.ListArray.from_arrays(cut, pa.array(values))}
 
-    found = map_batches(rows.select("text"), read, "c long, s array<long>")
-    return found.join(wanted, "c", "left_semi").groupBy("c").agg(F.first("s").alias("s"))
+    return map_batches(_marked(rows).select("mark", "text"), read, "c long, s array<long>")
 
 
-def _links(rows: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(a, b): the pairs (q, c) that link, found by searching each query's candidates."""
-    sets = staged(_picked_sets(rows, pairs), "sets")
-    parts = pairs.groupBy("q").agg(F.ceil(F.count("*") / CANDIDATES).alias("parts"))
-    dealt = pairs.join(parts, "q").withColumn("part", F.pmod(F.hash("c"), "parts"))
-    candidates = (
-        dealt.join(sets, "c").groupBy("q", "part").agg(F.collect_list(F.struct("c", "s")).alias("candidates"))
-        .join(sets.select(F.col("c").alias("q"), "s"), "q").select("q", "s", "candidates")
+def _links(rows: DataFrame, pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """(a, b): the pairs (q, c) that link, found by searching each query's candidates.
+
+    A query with many candidates is searched in parts of about CANDIDATES; its set goes to each.
+    """
+    parts = pairs.groupBy("q").agg(F.ceil(F.count("*") / CANDIDATES).cast("int").alias("parts"))
+    dealt = pairs.join(parts, "q").select("q", F.pmod(F.hash("c"), "parts").alias("part"), "c")
+    dealt = dealt.select("q", "part", "c", F.lit(1).alias("role")).union(
+        dealt.select("q", "part", F.col("q").alias("c"), F.lit(0).alias("role")).distinct()
     )
+    wanted = dealt.select("c").distinct().join(classes.select("c", "mark"), "c")
+    sets = _picked_sets(rows, wanted)
+    grouped = dealt.join(sets, "c").repartition("q", "part").sortWithinPartitions("q", "part", "role")
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def search(batches):
+        key, query, c, s = None, None, [], []
 
-    def search(batch):
-        a, b = [], []
-        for i in range(batch.num_rows):
-            query = np.asarray(batch.column("s")[i].values).view(np.uint64)
-            listed = batch.column("candidates")[i].values
-            c, s = listed.field("c").to_numpy(), listed.field("s")
-            found, _ = divide_skip(query, [np.asarray(x.values).view(np.uint64) for x in s])
-            a.append(np.full(len(found), batch.column("q")[i].as_py(), np.int64))
-            b.append(c[found])
-        yield {"a": np.concatenate(a), "b": np.concatenate(b)}
+        def found():
+            if query is not None and s:
+                at, _ = divide_skip(query, s)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(at), key[0], np.int64)), pa.array(np.array(c, np.int64)[at])], schema=schema
+                )
 
-    return map_batches(candidates, search, "a long, b long")
+        for batch in batches:
+            q, part, role, node = (batch.column(x).to_pylist() for x in ("q", "part", "role", "c"))
+            lists = batch.column("s")
+            for i in range(batch.num_rows):
+                if (q[i], part[i]) != key:
+                    yield from found()
+                    key, query, c, s = (q[i], part[i]), None, [], []
+                own = np.asarray(lists[i].values).view(np.uint64)
+                if role[i] == 0:
+                    query = own
+                else:
+                    c.append(node[i])
+                    s.append(own)
+        yield from found()
+
+    return grouped.select("q", "part", "role", "c", "s").mapInArrow(search, "a long, b long")
 
 
 def jaccard_join(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
@@ -364,21 +392,47 @@ def jaccard_join(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame
     """
     rows = id_and_text(docs, id_col, text_col)
     described = staged(_described(rows, _frequent(rows)), "described")
-    bits = described.filter("n > 0").select("c", "n", "bits").dropDuplicates(["c"])
+    some = described.filter("n > 0")
+    classes = staged(some.groupBy("c").agg(F.min(F.struct(F.isnull("id"), "id", "mark")).alias("x")).select("c", "x.id", "x.mark"), "classes")
+    sets = some.select("c", "n", "bits", "wide").dropDuplicates(["c"])
     lists = staged(_lists(described), "lists")
-    pairs = staged(_star_pairs(lists, bits), "star-pairs")
-    stars = staged(_links(rows, pairs), "stars")
+    pairs = staged(_open_pairs(_star_pairs(lists), sets), "star-pairs")
+    stars = staged(_links(rows, pairs, classes), "stars")
     roots = components(stars)
-    pairs = staged(_rest_pairs(lists, bits, roots), "rest-pairs")
-    rest = staged(_links(rows, pairs), "rest")
+    pairs = staged(_open_pairs(_rest_pairs(lists, sets, roots), sets), "rest-pairs")
+    rest = staged(_links(rows, pairs, classes), "rest")
     # the stars are components already; their trees stand for them
     roots = components(rest.union(roots.select("node", "root")))
-    classes = described.filter("n > 0").groupBy("c").agg(F.min("id").alias("least"))
-    classes = classes.join(roots.withColumnRenamed("node", "c"), "c", "left").withColumn("root", F.coalesce("root", "c"))
-    named = classes.groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = classes.join(named, "root").select("c", "component_id")
+    named = classes.join(roots.withColumnRenamed("node", "c"), "c", "left").select(
+        "c", "id", F.coalesce("root", "c").alias("root")
+    )
+    least = named.groupBy("root").agg(F.min("id").alias("component_id"))
+    named = named.join(least, "root").select("c", "component_id")
     return (
-        described.filter("n > 0").select("id", "n", "c").join(classes, "c").select("id", "n", "component_id")
+        some.select("id", "n", "c").join(named, "c").select("id", "n", "component_id")
         .union(described.filter("n = 0").select("id", "n", "id"))
         .select(F.col("id").alias(id_col), F.col("n").cast("long").alias("n_shingles"), "component_id")
     )
+
+
+def keep_one(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
+    """The rows of `docs`, with all columns, of one document of each component: that with its smallest id.
+
+    Documents without shingles all stay. Rows that repeat an id are one document and leave one row,
+    if they are in one component; of a component without any id all rows stay.
+    """
+    found = staged(jaccard_join(docs, id_col, text_col), "components").select(
+        F.col(f"`{id_col}`").alias("id"), "n_shingles", "component_id"
+    )
+    n, n_ids = found.agg(F.count("id"), F.count_distinct("id")).first()
+    names = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+    packed = docs.select(*[F.col(f"`{c}`").alias(x) for c, x in names.items()])
+    key = F.col(names[id_col])
+    gone = found.filter(~F.col("id").eqNullSafe(F.col("component_id"))).select(F.col("id").alias("gone")).distinct()
+    kept = packed.join(gone.hint("shuffle_hash"), key.eqNullSafe(F.col("gone")), "left_anti")
+    if n_ids < n:  # some id repeats: one row of each text that has words
+        blank = F.coalesce(F.length(F.regexp_replace(F.col(names[text_col]), "[\\x20\\x09-\\x0D]", "")), F.lit(0)) == 0
+        own = Window.partitionBy(key).orderBy(names[text_col], F.to_json(F.struct(*names.values())))
+        numbered = kept.withColumn("_n", F.row_number().over(own))
+        kept = numbered.filter((F.col("_n") == 1) | blank | key.isNull()).drop("_n")
+    return kept.select(*[F.col(x).alias(c) for c, x in names.items()])

@@ -12,6 +12,7 @@ from . import jaccard_join, license_scan, line_dedup, mixing, pii, token_output,
 from . import quality_classifier as classifier
 from . import quality_rules as rules
 from .common import table
+from .sql import ORACLE_SQL  # noqa: F401
 
 
 def tokenizer_file() -> str:
@@ -109,4 +110,3 @@ QUERIES = {
     "op9_warc": op9_warc,
     "op10_line_dedup": op10_line_dedup,
 }
-ORACLE_SQL = {}

@@ -19,8 +19,8 @@ SOURCE_BITS, INNER_BITS, ZERO_BITS = 12, 16, 15
 TOTAL_BITS = SOURCE_BITS + INNER_BITS
 #: Order 0 is counted again after so many ids of a block.
 RECOUNT = (256, 1024, 4096)
-HASH_BITS = 11
-LANES = 1024
+HASH_BITS = 10
+LANES = 2048
 #: Steps whose model-independent values are laid out together.
 STRETCH = 256
 
@@ -46,13 +46,21 @@ _LOWER_SHIFT = np.array(_FIELD, _U)
 
 
 def _zero_frequencies(ids):
-    """(distinct ids, borders): order 0 after some ids, in shares of 2**ZERO_BITS."""
-    count = np.bincount(ids)
-    found = np.flatnonzero(count)
-    count = count[found]
-    share = 1 + count * ((1 << ZERO_BITS) - len(found)) // len(ids)
-    share[np.argmax(count)] += (1 << ZERO_BITS) - share.sum()
-    return found, np.concatenate([[0], np.cumsum(share)])
+    """(distinct ids, borders) of every lane: order 0 after some ids (steps by lanes), in shares of
+    2**ZERO_BITS. `borders` has one more entry than there are ids."""
+    ordered = np.sort(np.ascontiguousarray(ids.T, np.uint16), axis=1)
+    n = ordered.shape[1]
+    last = np.ones(ordered.shape, bool)
+    last[:, :-1] = ordered[:, 1:] != ordered[:, :-1]
+    for lane in range(len(ordered)):
+        at = np.flatnonzero(last[lane])
+        count = np.diff(at, prepend=-1)
+        share = count * ((1 << ZERO_BITS) - len(at)) // n + 1
+        borders = np.zeros(len(at) + 1, np.int64)
+        np.cumsum(share, out=borders[1:])
+        # what rounding leaves goes to the last id
+        borders[-1] = 1 << ZERO_BITS
+        yield ordered[lane, at].astype(np.int64), borders
 
 
 class _Model:
@@ -127,8 +135,7 @@ def _zero_values(ids, begin, stop, lanes):
     in the inner interval and its share of it; 0 for ids that are new to the block."""
     start, share = np.zeros((stop - begin, lanes), np.int32), np.zeros((stop - begin, lanes), np.int32)
     start_of, share_of = np.zeros(MAX_ID + 1, np.int32), np.zeros(MAX_ID + 1, np.int32)
-    for lane in range(lanes):
-        found, borders = _zero_frequencies(ids[:begin, lane])
+    for lane, (found, borders) in enumerate(_zero_frequencies(ids[:begin, :lanes])):
         start_of[found], share_of[found] = borders[:-1] << 1, np.diff(borders) << 1
         own = ids[begin:stop, lane]
         start[:, lane], share[:, lane] = start_of[own], share_of[own]
@@ -236,8 +243,7 @@ def _decode(parts, sizes):
             n, counted = int(alive[begin]), begin
             slots = np.zeros((n, 1 << ZERO_BITS), np.uint16)
             known, edges = np.zeros((n, begin), np.int32), np.zeros((n, begin + 1), np.int64)
-            for lane in range(n):
-                found, borders = _zero_frequencies(ids[2 : 2 + begin, lane])
+            for lane, (found, borders) in enumerate(_zero_frequencies(ids[2 : 2 + begin, :n])):
                 known[lane, : len(found)], edges[lane, : len(borders)] = found, borders << 1
                 slots[lane] = np.repeat(np.arange(len(found), dtype=np.uint16), np.diff(borders))
             slots, known, edges = slots.ravel(), known.ravel(), edges.ravel()

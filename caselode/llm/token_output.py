@@ -23,7 +23,7 @@ from .common import id_and_text, map_batches
 MAGIC = b"CLTOK1\0\0"
 END_ID = 0
 #: Ids of one block, and of one segment (more where a document is longer).
-BLOCK_IDS, LEAST_BLOCK_IDS, SEGMENT_IDS = 8192, 1024, range_coder.LANES * 8192
+BLOCK_IDS, LEAST_BLOCK_IDS, SEGMENT_IDS = 4096, 512, range_coder.LANES * 4096
 #: Distinct pieces of text whose ids a worker keeps, about 100 MB; beyond that it starts anew.
 KEPT_PIECES = 2_000_000
 #: Bytes of text that are encoded together.
@@ -60,7 +60,7 @@ class PieceEncoder:
         """Keep the ids of new pieces; `keys` are sorted."""
         if len(self.keys) + len(keys) > KEPT_PIECES:
             self._forget()
-        encoded = [e.ids for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        encoded = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         size = np.fromiter(map(len, encoded), np.int32, len(encoded))
         ids = np.fromiter(chain.from_iterable(encoded), np.int32, int(size.sum()))
         begin = (len(self.ids) + np.cumsum(size) - size).astype(np.int32)
@@ -122,21 +122,24 @@ def _piece_starts(data, borders):
     return np.flatnonzero(mark[:-1])
 
 
+_SUSPECT = np.zeros(256, bool)
+_SUSPECT[[0, *range(0x1C, 0x20), 0x3C, 0xC2, 0xE1, 0xE2, 0xE3]] = True
+
+
 def _odd_texts(data, borders):
     """Texts with other than ASCII white space, separators 1C to 1F, NUL, or "<|"."""
-    n = len(data)
-    hit = np.zeros(n, bool)
-    if n:
-        a = data
-        b = np.append(a[1:], 0)
-        c = np.append(a[2:], [0, 0])[:n]
-        hit = ((a < 0x20) & (a >= 0x1C)) | (a == 0) | ((a == 0x3C) & (b == 0x7C))
-        hit |= (a == 0xC2) & ((b == 0x85) | (b == 0xA0))
-        hit |= (a == 0xE1) & ((b == 0x9A) | (b == 0xA0))
-        hit |= (a == 0xE2) & (b == 0x80) & (((c >= 0x80) & (c <= 0x8F)) | (c == 0xA8) | (c == 0xA9) | (c == 0xAF))
-        hit |= (a == 0xE2) & (b == 0x81) & ((c == 0x9F) | (c == 0xA0))
-        hit |= (a == 0xE3) & (b == 0x80) & (c == 0x80)
-    return w.per_text(hit, borders) > 0
+    at = np.flatnonzero(_SUSPECT[data])
+    padded = np.append(data, [0, 0])
+    a, b, c = data[at], padded[at + 1], padded[at + 2]
+    hit = (a < 0x20) | (a == 0x3C) & (b == 0x7C)
+    hit |= (a == 0xC2) & ((b == 0x85) | (b == 0xA0))
+    hit |= (a == 0xE1) & ((b == 0x9A) | (b == 0xA0))
+    hit |= (a == 0xE2) & (b == 0x80) & (((c >= 0x80) & (c <= 0x8F)) | (c == 0xA8) | (c == 0xA9) | (c == 0xAF))
+    hit |= (a == 0xE2) & (b == 0x81) & ((c == 0x9F) | (c == 0xA0))
+    hit |= (a == 0xE3) & (b == 0x80) & (c == 0x80)
+    odd = np.zeros(len(borders) - 1, bool)
+    odd[np.searchsorted(borders, at[hit], "right") - 1] = True
+    return odd
 
 
 _encoders = {}
@@ -151,7 +154,7 @@ def _encoder(path) -> PieceEncoder:
 
 def pack(ids) -> bytes:
     """A segment: its ids as coded blocks with checksums."""
-    size = min(BLOCK_IDS, max(LEAST_BLOCK_IDS, -(-len(ids) // 256)))
+    size = min(BLOCK_IDS, max(LEAST_BLOCK_IDS, -(-len(ids) // 512)))
     blocks = [ids[i : i + size] for i in range(0, len(ids), size)]
     out = [_HEAD.pack(MAGIC, len(ids), len(blocks))]
     for block, coded in zip(blocks, range_coder.encode(blocks)):
@@ -232,7 +235,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, id_col="doc_id
         if held:
             yield row()
 
-    ordered = rows.repartitionByRange("id", "text").sortWithinPartitions("id", "text")
+    ordered = rows.repartitionByRange("id").sortWithinPartitions("id", "text")
     ordered.mapInArrow(encode, schema).write.option("compression", "none").parquet(path)
 
 

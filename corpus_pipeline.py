@@ -1,18 +1,69 @@
 """The corpus pipeline: stages from raw documents to encoded token ids.
 
-Every stage works on all documents that the stage before kept.
+Every stage works on all documents that the stage before kept, and its decisions take effect. The
+stages share no state: each reads what it needs from its documents and from the tables of the folder.
 """
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from caselode.llm import decontaminate, jaccard_join, mixing, quality_classifier, token_output
+from caselode.llm.queries import tokenizer_file
+from caselode.session import shared_folder
+
+
+def _table(spark, sf_dir, name):
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def classify_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the co-trained classifier does not reject."""
+    return quality_classifier.keep_good(docs, _table(spark, sf_dir, "labels"))
+
+
+def join_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group that links of 85 % and more hold together: the one with the smallest id."""
+    return jaccard_join.keep_one(docs)
+
+
+def remove_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of which less than one word in 20 lies in a window of the benchmark."""
+    return decontaminate.decontaminate(docs, _table(spark, sf_dir, "benchmark"))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The sources in the target shares; documents that are taken twice are two rows."""
+    return mixing.mix(docs).withColumn("n_chars", F.length("text").cast("long"))
+
+
+def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix as token segments; one row per document, as read back from them."""
+    path = f"{shared_folder(spark)}/caselode/tokens-{uuid.uuid4().hex}"
+    token_output.write_tokens(docs, path, tokenizer_file())
+    return token_output.token_digests(spark, path)
+
 
-STAGES = []
+STAGES = [
+    ("quality classifier", classify_quality),
+    ("n-gram Jaccard join", join_near_duplicates),
+    ("benchmark decontamination", remove_contaminated),
+    ("mixing sources to target weights", mix_sources),
+    ("token-ID / binary output", write_tokens),
+]
 
 #: Training and the token coder cannot be written as SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
+    """The rows of the last stage for the documents of a folder; each stage is written and read again."""
+    docs = _table(spark, sf_dir, "documents")
+    for i, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
+        if i + 1 < len(STAGES):
+            path = f"{shared_folder(spark)}/caselode/stage-{i}-{uuid.uuid4().hex}"
+            docs.write.parquet(path)
+            docs = spark.read.parquet(path)
     return docs

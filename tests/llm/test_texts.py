@@ -1,0 +1,304 @@
+"""Operators that judge or change one text at a time, against plain Python."""
+
+import collections
+import hashlib
+import random
+import re
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from caselode.llm import decontaminate as decon
+from caselode.llm import license_scan, pii, quality_rules, words
+
+SPACE_WORD = re.compile(r"[^\x20\x09-\x0D]+")
+LETTER_WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def documents(spark, folder):
+    return spark.read.parquet(f"{folder}/documents.parquet")
+
+
+def lower(text):
+    return re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+
+
+def test_words_and_windows_stay_in_their_text():
+    data, borders = words.text_bytes(pa.array(["a b", None, "", "b c d\x0be", " x "]))
+    found = words.Words(data, borders, words.space_words())
+    assert found.count.tolist() == [2, 0, 0, 4, 1]
+    keys, at = words.windows(found.hashes(), found.first, 2)
+    assert at.tolist() == [0, 2, 3, 4] and len(set(keys.tolist())) == 4
+    wide, at = words.windows(found.hashes(), found.first, 13)
+    assert len(wide) == len(at) == 0
+
+
+def test_equal_words_have_equal_hashes_wherever_they_are():
+    data, borders = words.text_bytes(pa.array(["ab cd", "xx ab", "cd", "a bcd"]))
+    h = words.Words(data, borders, words.space_words()).hashes()
+    assert h[0] == h[3] and h[1] == h[4] and len(set(h.tolist())) == 5
+
+
+def test_pieces_keep_long_texts_whole():
+    texts = ["x" * 3_000_000, "a", "", "b" * 10]
+    got = [(a, b, len(d)) for a, b, d, _ in words.pieces(pa.array(texts))]
+    assert got == [(0, 1, 3_000_000), (1, 4, 11)]
+
+
+# quality rules
+
+
+def plain_counts(text):
+    ws = SPACE_WORD.findall(text or "")
+    grams = [tuple(ws[i : i + 5]) for i in range(len(ws) - 4)]
+    often = collections.Counter(grams)
+    hit = {i + j for i, g in enumerate(grams) if often[g] > 1 for j in range(5)}
+    seen, again = set(), 0
+    for line in (text or "").split("\n"):
+        if SPACE_WORD.search(line):
+            again += line in seen
+            seen.add(line)
+    return len(ws), sum(map(len, ws)), len(re.findall(r"[#*$%&|<>]", text or "")), again, len(hit)
+
+
+BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+
+
+@pytest.mark.parametrize("source", ["tables", "edges"])
+def test_rule_counts_equal_plain_counts(spark, folder, edge_docs, source):
+    docs = documents(spark, folder) if source == "tables" else edge_docs
+    texts = collections.Counter((r.doc_id, plain_counts(r.text)) for r in docs.collect())
+    judged = quality_rules.quality_rules(docs).collect()
+    assert collections.Counter((r.doc_id, tuple(r[c] for c in BASE)) for r in judged) == texts
+    for r in judged:
+        failed = r.n_words < 10 or 100 * r.n_repeat_words > 20 * r.n_words
+        assert r.base_failed == failed and r.kept == (not failed and r.posterior >= 0.5)
+
+
+def test_random_texts_count_alike():
+    rng = random.Random(3)
+    texts = ["".join(rng.choice("ab \n\t|é#") for _ in range(rng.randint(0, 60))) for _ in range(2000)]
+    data, borders = words.text_bytes(pa.array(texts))
+    got = quality_rules.counts(data, borders)
+    assert [tuple(int(got[c][i]) for c in BASE) for i in range(len(texts))] == list(map(plain_counts, texts))
+
+
+def test_estimation_finds_the_accuracies_of_made_up_rules():
+    rng = np.random.default_rng(5)
+    truth = rng.random(20_000) < 0.5
+    votes = np.full((20_000, 5), quality_rules.ABSTAIN)
+    for j, accuracy in enumerate([0.95, 0.9, 0.8, 0.75, 0.6]):
+        said = np.where(rng.random(20_000) < accuracy, truth, ~truth)
+        cast = rng.random(20_000) < 0.8
+        votes[cast, j] = np.where(said, quality_rules.GOOD, quality_rules.BAD)[cast]
+    patterns, weight = np.unique(votes, axis=0, return_counts=True)
+    posterior, accuracy = quality_rules.estimate(patterns, weight)
+    assert np.abs(accuracy - [0.95, 0.9, 0.8, 0.75, 0.6]).max() < 0.03
+    assert (np.diff(accuracy) < 0).all() and 0 <= posterior.min() <= posterior.max() <= 1
+
+
+def test_rules_agree_with_the_labels(spark, folder):
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{folder}/labels.parquet").collect()}
+    judged = [(labels[r.doc_id], r.kept) for r in quality_rules.quality_rules(documents(spark, folder)).collect() if r.doc_id in labels]
+    assert sum(kept for good, kept in judged if good) >= 0.9 * sum(good for good, _ in judged)
+    assert sum(kept for good, kept in judged if not good) <= 0.2 * sum(not good for good, _ in judged)
+
+
+def test_rules_on_an_empty_table(no_docs):
+    assert quality_rules.quality_rules(no_docs).count() == 0
+
+
+# decontamination
+
+
+def plain_hits(texts, items):
+    windows = collections.defaultdict(set)
+    for i, t in items:
+        ws = LETTER_WORD.findall(lower(t))
+        k = min(13, len(ws))
+        for j in range(len(ws) - k + 1 if k else 0):
+            windows[tuple(ws[j : j + k])].add(str(i))
+    for i, t in texts:
+        ws = LETTER_WORD.findall(lower(t))
+        hit, of = set(), set()
+        for k in {len(x) for x in windows}:
+            for j in range(len(ws) - k + 1):
+                if found := windows.get(tuple(ws[j : j + k])):
+                    hit.update(range(j, j + k))
+                    of |= found
+        yield i, len(ws), len(hit), tuple(sorted(of)), bool(hit) and 20 * len(hit) >= len(ws)
+
+
+ITEMS = [(1, "one two three"), (2, None), (3, ""), (4, "B c, D! e f g h i j k l m n o p"), (5, "one two three"), (4, "word")]
+
+
+@pytest.mark.parametrize("source", ["tables", "edges"])
+@pytest.mark.parametrize("block", [None, 20])
+def test_hits_equal_plain_hits(spark, folder, edge_docs, monkeypatch, source, block):
+    if block:  # several blocks of the benchmark
+        monkeypatch.setattr(decon, "BLOCK_BYTES", block if source == "edges" else 4000)
+    if source == "tables":
+        docs, bench = documents(spark, folder), spark.read.parquet(f"{folder}/benchmark.parquet")
+    else:
+        docs, bench = edge_docs, spark.createDataFrame(ITEMS, "item_id long, text string")
+    rows, items = docs.collect(), bench.collect()
+    want = collections.Counter(plain_hits([(r.doc_id, r.text) for r in rows], [(r.item_id, r.text) for r in items]))
+    got = decon.scan_benchmark(docs, bench).collect()
+    assert collections.Counter((r.doc_id, r.n_words, r.n_hit, tuple(r["items"]), r.contaminated) for r in got) == want
+    if source == "edges":
+        assert sum(r.n_hit for r in got) > 0
+    clean = decon.decontaminate(docs, bench).collect()
+    assert collections.Counter(clean) == collections.Counter(
+        r for r, w in zip(rows, plain_hits([(r.doc_id, r.text) for r in rows], [(r.item_id, r.text) for r in items])) if not w[4]
+    )
+
+
+def test_spans_are_cut_and_nothing_else(spark):
+    docs = spark.createDataFrame([(1, "Say: ONE, two; three! end"), (2, None), (3, "clean")], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, "one two three")], "item_id long, text string")
+    got = {r.doc_id: r.text for r in decon.decontaminate(docs, bench, remove="spans").collect()}
+    assert got == {1: "Say: ! end", 2: None, 3: "clean"}
+    with pytest.raises(ValueError):
+        decon.decontaminate(docs, bench, remove="words")
+
+
+def test_empty_tables_are_clean(edge_docs, no_docs, spark):
+    none = spark.createDataFrame([], "item_id long, text string")
+    assert decon.scan_benchmark(edge_docs, none).filter("n_hit > 0 or contaminated").count() == 0
+    assert decon.scan_benchmark(no_docs, spark.createDataFrame(ITEMS, "item_id long, text string")).count() == 0
+
+
+def test_digest_of_items():
+    assert decon.items_digest(["10", "9"]) == hashlib.sha256(b"10,9").hexdigest()
+
+
+# personal data
+
+PATTERNS = [
+    re.compile(x)
+    for x in (
+        r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+        r"[0-9]([\x20-]?[0-9])+", r"\+[0-9][\x20().0-9-]+[0-9]",
+    )
+]
+
+
+def valid(kind, text):
+    digits = re.sub("[^0-9]", "", text)
+    if kind == 1:
+        return all(int(p) <= 255 for p in text.split("."))
+    if kind == 2:
+        doubled = [int(c) * (1 + i % 2) for i, c in enumerate(reversed(digits))]
+        return 12 <= len(digits) <= 19 and sum(v - 9 if v > 9 else v for v in doubled) % 10 == 0
+    return kind == 0 or 9 <= len(digits) <= 15
+
+
+def plain_spans(text):
+    return sorted((m.start(), k, m.end()) for k, p in enumerate(PATTERNS) for m in p.finditer(text) if valid(k, m[0]))
+
+
+def test_base_spans_equal_the_patterns(spark, folder):
+    rng = random.Random(7)
+    parts = ["1", "12", "255", "4539148803436467", "+", "+1", "(", ")", " ", "-", ".", "@", "a", "b.c", "x@y.z", "é", "\n"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 14))) for _ in range(5000)]
+    texts += [r.text for r in documents(spark, folder).collect()]
+    for text in texts:
+        assert pii.base_spans(text) == plain_spans(text), text
+
+
+def test_likelihood_gradient_is_the_slope():
+    rng = np.random.default_rng(1)
+    text = "x 10.0.0.1, 4539148803436467, +1 (988) 555-2485, a.b@c.org 12 y"
+    (tokens,) = pii.zones(text)
+    found = pii.candidates(text, tokens)
+    number = {(i, j, k): n for n, (i, j, k, _) in enumerate(found)}
+    gold = [number[key] for key in pii._in_zone(tokens, pii.base_spans(text))]
+    assert len(gold) == 4
+    field = pii.Field(rng.normal(size=len(pii.FEATURES)))
+    log, grad = field.gradient(len(tokens), found, gold)
+    for f in range(len(grad)):
+        step = np.zeros(len(grad))
+        step[f] = 1e-5
+        up, _ = pii.Field(field.weights + step).gradient(len(tokens), found, gold)
+        down, _ = pii.Field(field.weights - step).gradient(len(tokens), found, gold)
+        assert abs((up - down) / 2e-5 - grad[f]) < 1e-4
+
+
+def test_best_segmentation_equals_trying_all():
+    rng = np.random.default_rng(2)
+    for _ in range(200):
+        found = []
+        for _ in range(rng.integers(1, 9)):
+            i = int(rng.integers(0, 6))
+            found.append((i, int(rng.integers(i + 1, 8)), 0, [(int(rng.integers(0, 9)), float(rng.normal() * 5))]))
+        field = pii.Field(np.append(rng.normal(size=len(pii.FEATURES) - 1) * 2, -0.5))
+
+        def value(chosen):
+            spans = sorted((found[k][0], found[k][1]) for k in chosen)
+            if any(a[1] > b[0] for a, b in zip(spans, spans[1:])):
+                return -np.inf
+            if any(field.score(found[k][3]) <= pii.LEAST_GAIN for k in chosen):
+                return -np.inf
+            return sum(field.score(found[k][3]) for k in chosen) - 0.5 * sum(a[1] == b[0] for a, b in zip(spans, spans[1:]))
+
+        every = [[k for k in range(len(found)) if m >> k & 1] for m in range(1 << len(found))]
+        assert abs(value(field.segment(7, found)) - max(map(value, every))) < 1e-9
+
+
+def test_field_adds_what_the_patterns_drop(spark, folder):
+    docs = spark.read.parquet(f"{folder}/../sf0.01/documents.parquet")
+    field = pii.trained_field(docs)
+    added = lambda t: [(pii.KINDS[k], t[a:b]) for a, k, b in pii.all_spans(t, field)[1]]
+    assert added("ask +1 (826) 555-4081 190.137.223.204 now") == [("phone", "+1 (826) 555-4081")]
+    assert added("pay 4539148803436467 7 times") == [("card", "4539148803436467")]
+    assert added("Version 2.0 of 2024-01-02, 12 345 678") == []
+    clean = [r.text for r in docs.filter("not text rlike '[0-9@]'").limit(200).collect()]
+    assert not any(any(pii.all_spans(t, field)) for t in clean)
+
+
+def test_pii_on_edges_and_empty_tables(edge_docs, no_docs):
+    field = pii.trained_field(edge_docs)
+    got = collections.Counter((r.doc_id, tuple((s.kind, s.start, s.end) for s in r.base)) for r in pii.find_pii(edge_docs, field).collect())
+    want = collections.Counter(
+        (r.doc_id, tuple((pii.KINDS[k], a, b) for a, k, b in pii.base_spans(r.text or ""))) for r in edge_docs.collect()
+    )
+    assert got == want
+    assert pii.trained_field(no_docs) is None and pii.find_pii(no_docs, None).count() == 0
+
+
+# licenses
+
+
+def test_notices_are_told_apart():
+    scanner = license_scan.Scanner()
+    for name, text in (
+        ("Apache-2.0", b"Licensed under the Apache License, Version 2.0."), ("MIT", b"Released under the MIT License."),
+        ("GPL-3.0", b"This work is licensed under the GNU General Public License, version 3."),
+        ("GPL-2.0", b"This work is licensed under the GNU General Public License, version 2."),
+        ("CC-BY-NC-4.0", b"Licensed under CC BY-NC 4.0."), ("CC-BY-4.0", b"Licensed under CC BY 4.0."),
+    ):
+        assert scanner.winner(text)[0] == name
+        assert scanner.winner(text)[2] == []
+    for text in (b"He lost his driving license in 2020.", b"Licensed under the Apache License, Version 1.1.", b"Licensed under CC BY-ND 4.0."):
+        assert scanner.winner(text) is None
+
+
+def test_every_template_wins_its_own_sentences():
+    scanner = license_scan.Scanner()
+    for name, text in license_scan.TEMPLATES.items():
+        assert scanner.winner(text.encode())[0] == name
+
+
+def test_license_rows(edge_docs, no_docs, spark, folder):
+    rows = {r.doc_id: r for r in license_scan.license_scan(edge_docs).collect()}
+    assert [x.license for x in rows[17].found] == ["Apache-2.0", "MIT"]
+    text = dict(r[:2] for r in edge_docs.select("doc_id", "text").collect())[17]
+    assert [text[x.start : x.end] for x in rows[17].found] == text.split("\n")
+    assert all(not r.found for i, r in rows.items() if i != 17)
+    assert license_scan.license_scan(edge_docs).count() == edge_docs.count()
+    assert license_scan.license_scan(no_docs).count() == 0
+    docs = documents(spark, folder)
+    found = {r.doc_id: len(r.found) for r in license_scan.license_scan(docs).collect()}
+    notice = re.compile(r"(Licensed under the Apache License, Version 2\.0\.|Released under the MIT License\.|GNU General Public License, version 3\.|Licensed under CC BY-NC 4\.0\.)")
+    assert found == {r.doc_id: len(notice.findall(r.text)) for r in docs.collect()}
