@@ -7,8 +7,8 @@ shingles (the short ones) at least one must hold the partner, the T - 1 longest
 
 1. Short lists. Shingles are put in one order for all, frequent ones last; every document enters
    the lists of its first n - T + 1. Lists with one kind of document are dropped.
-2. Stars. In every list the documents of like size are paired with the list's smallest only, so a
-   group of m near copies gives m pairs. Pairs are searched, and links joined to components.
+2. Stars. In every list the documents of like size are paired with one of them only, so a group of m
+   near copies gives m pairs. Pairs are searched, and links joined to components.
 3. Rest. Documents of one list that are still in different components are compared by 256 bits
    inside the task; only pairs which these cannot rule out leave it, and are searched.
 4. Search. A query document's shingles become inverted lists over its candidates; the short lists are
@@ -44,6 +44,8 @@ ORDERED = 1 << 17
 BITS, WIDE_BITS = 256, 2048
 #: Documents of one list that are compared with each other in one go; longer lists go in blocks.
 BLOCK = 4096
+#: Rounds of pairs with one document of a list, before the rest is compared.
+STAR_ROUNDS = 1
 #: Candidates of one query that are searched together.
 CANDIDATES = 32
 #: Bits of the filter that picks the documents to read again: 2 MB whatever the corpus.
@@ -172,20 +174,25 @@ def _marked(rows: DataFrame) -> DataFrame:
 
 
 def _lists(described: DataFrame) -> DataFrame:
-    """(shingle, c, n) of the short lists with documents of two classes or more."""
-    rows = described.filter("n > 0").select("c", "n", F.explode("shingles").alias("shingle"))
+    """(shingle, c, n, p) of the short lists with documents of two classes or more; p is the shingle's
+    place in the document's order."""
+    rows = described.filter("n > 0").select("c", "n", F.posexplode("shingles").alias("p", "shingle"))
     by = Window.partitionBy("shingle")
     return (
         rows.withColumn("one", F.min("c").over(by)).withColumn("other", F.max("c").over(by))
-        .filter("one != other").select("shingle", "c", "n").distinct()
+        .filter("one != other").select("shingle", "c", "n", "p").distinct()
     )
 
 
+def _most_different(n, m):
+    """How many shingles may be in one set only if sets of n and m link: 15 / 185 of the sum."""
+    return (n + m) * (100 - PERCENT) / (100 + PERCENT)
+
+
 def _may_link(n, m, bits_n, bits_m) -> np.ndarray:
     """Whether size and bits leave the link of two sets open, for arrays of pairs."""
     n, m = n.astype(np.int64), m.astype(np.int64)
     differ = np.bitwise_count(bits_n ^ bits_m).sum(1, dtype=np.int64)
-    # a link has 85 % in common: |a - b| <= 15 / 185 of the sizes' sum
     return (np.minimum(n, m) * 100 >= np.maximum(n, m) * PERCENT) & (
         differ * (100 + PERCENT) <= (n + m) * (100 - PERCENT)
     )
@@ -196,10 +203,32 @@ def _bit_rows(column) -> np.ndarray:
     return np.frombuffer(b"".join(rows), np.uint64).reshape(len(rows), -1)
 
 
+def _picked(spark, slots: DataFrame):
+    """A broadcast set of PICK_BITS bits with those of the column `slot`."""
+    packed = slots.select(F.floor(F.col("slot") / 64).alias("word"), F.pmod("slot", F.lit(64)).cast("int").alias("bit"))
+    packed = packed.groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits"))
+    pick = np.zeros(PICK_BITS // 64, np.int64)
+    for r in packed.collect():  # PICK_BITS / 64 rows at most
+        pick[r["word"]] = r["bits"]
+    return spark.sparkContext.broadcast(pick.view(np.uint64))
+
+
+def _has(pick, slot):
+    return ((pick[slot >> 6] >> (slot & 63).astype(np.uint64)) & np.uint64(1)).astype(bool)
+
+
 def _open_pairs(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (q, c) that sizes and the many bits do not rule out."""
-    a = sets.select("c", "n", "wide")
-    b = sets.select(F.col("c").alias("q"), F.col("n").alias("nq"), F.col("wide").alias("wide_q"))
+    """The pairs (q, c) that sizes and the many bits do not rule out.
+
+    Sets that are in no pair are sorted out by a filter of fixed size before they are joined.
+    """
+    pairs = staged(pairs, "all-pairs")
+    ends = pairs.select("c").union(pairs.select("q"))
+    shared = _picked(pairs.sparkSession, ends.select(F.pmod("c", F.lit(PICK_BITS)).alias("slot")))
+
+    def in_pairs(batches):
+        for x in batches:
+            yield x.filter(pa.array(_has(shared.value, x["c"].to_numpy() & (PICK_BITS - 1))))
 
     def near(batches):
         for x in batches:
@@ -207,23 +236,40 @@ def _open_pairs(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                 ok = _may_link(x["n"].to_numpy(), x["nq"].to_numpy(), _bit_rows(x["wide"]), _bit_rows(x["wide_q"]))
                 yield x.select(["q", "c"]).filter(pa.array(ok))
 
+    a = sets.select("c", "n", "wide").mapInArrow(in_pairs, "c long, n int, wide binary")
+    b = a.select(F.col("c").alias("q"), F.col("n").alias("nq"), F.col("wide").alias("wide_q"))
     return pairs.join(a, "c").join(b, "q").mapInArrow(near, "q long, c long")
 
 
-def _star_pairs(lists: DataFrame) -> DataFrame:
-    """(q, c): every document of a list with the smallest one of like size."""
-    size = F.floor(F.log("n") / F.lit(-math.log(PERCENT / 100)))
-    by = lists.withColumn("size", size)
-    first = by.groupBy("shingle", "size").agg(
-        F.min(F.struct("n", "c")).alias("p"), F.min("c").alias("one"), F.max("c").alias("other")
+def _with_roots(lists: DataFrame, roots: DataFrame | None) -> DataFrame:
+    if roots is None:
+        return lists.withColumn("root", F.col("c"))
+    found = lists.join(roots.withColumnRenamed("node", "c"), "c", "left")
+    return found.withColumn("root", F.coalesce("root", "c"))
+
+
+def _star_pairs(lists: DataFrame, roots: DataFrame | None) -> DataFrame:
+    """(q, c): in every list, documents of like size with one of another component.
+
+    That is the one with the fewest shingles before the list's, all rarer: of near copies of a text, the
+    least changed. Once there are components, it is chosen from the one with the smallest root.
+    """
+    rows = _with_roots(lists, roots).withColumn("size", F.floor(F.log("n") / F.lit(-math.log(PERCENT / 100))))
+    order = F.struct("p", "n", "c", "root") if roots is None else F.struct("root", "p", "n", "c")
+    first = rows.groupBy("shingle", "size").agg(
+        F.min(order).alias("q"), F.min("root").alias("one"), F.max("root").alias("other")
     ).filter("one != other")
-    return by.join(first, ["shingle", "size"]).select(F.col("p.c").alias("q"), "c").filter("q != c").distinct()
+    pairs = rows.join(first, ["shingle", "size"]).filter(F.col("q.root") != F.col("root"))
+    return pairs.select(F.col("q.c").alias("q"), "c").distinct()
 
 
 def _rest_pairs(lists: DataFrame, bits: DataFrame, roots: DataFrame) -> DataFrame:
-    """(q, c): documents of one list in different components which size and bits do not rule out."""
-    rows = lists.select("shingle", "c").join(roots.withColumnRenamed("node", "c"), "c", "left")
-    rows = rows.withColumn("root", F.coalesce("root", "c"))
+    """(q, c): documents of one list in different components which size, places and bits do not rule out.
+
+    At the first shingle that two documents share, all before it are in one set only. So a link shows
+    in a list where the two places add up to no more than may differ; other lists need not look.
+    """
+    rows = _with_roots(lists.select("shingle", "c", "p"), roots)
     kinds = rows.groupBy("shingle").agg(
         F.min("root").alias("one"), F.max("root").alias("other"), F.count("*").alias("m")
     ).filter("one != other")
@@ -232,7 +278,7 @@ def _rest_pairs(lists: DataFrame, bits: DataFrame, roots: DataFrame) -> DataFram
     rows = rows.withColumn("own", F.pmod(F.hash("c"), "blocks"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rows = rows.withColumn("group", F.xxhash64("shingle", F.least("own", "other"), F.greatest("own", "other")))
-    rows = rows.select("group", "c", "root").join(bits.select("c", "n", "bits"), "c").select("group", "c", "n", "root", "bits")
+    rows = rows.select("group", "c", "p", "root").join(bits.select("c", "n", "bits"), "c").select("group", "c", "n", "p", "root", "bits")
     schema = pa.schema([("q", pa.int64()), ("c", pa.int64())])
 
     def compare(batches):
@@ -256,7 +302,7 @@ def _rest_pairs(lists: DataFrame, bits: DataFrame, roots: DataFrame) -> DataFram
 def _compared(rows: pa.Table, schema):
     """Pairs of classes of rows that are sorted by group and size; the smaller set comes first."""
     rows = rows.combine_chunks()
-    group, c, n, root = (rows.column(k).to_numpy() for k in ("group", "c", "n", "root"))
+    group, c, n, p, root = (rows.column(k).to_numpy() for k in ("group", "c", "n", "p", "root"))
     bits = _bit_rows(rows.column("bits"))
     change = np.flatnonzero(group[1:] != group[:-1]) + 1
     stops = np.append(change, len(group))
@@ -268,6 +314,7 @@ def _compared(rows: pa.Table, schema):
         if not len(at):
             return
         a = at[root[at] != root[at + step]]
+        a = a[p[a] + p[a + step] <= _most_different(n[a], n[a + step])]
         a = a[_may_link(n[a], n[a + step], bits[a], bits[a + step])]
         if len(a):
             yield pa.RecordBatch.from_arrays([pa.array(c[a]), pa.array(c[a + step])], schema=schema)
@@ -315,12 +362,7 @@ def _picked_sets(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     corpus outgrows it, more sets are sent, with the same result.
     """
     slot = F.pmod(F.col("c").bitwiseXOR(F.col("mark")), F.lit(PICK_BITS))
-    packed = wanted.select(F.floor(slot / 64).alias("word"), F.pmod(slot, F.lit(64)).cast("int").alias("bit"))
-    packed = packed.groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits"))
-    pick = np.zeros(PICK_BITS // 64, np.int64)
-    for r in packed.collect():  # PICK_BITS / 64 rows at most
-        pick[r["word"]] = r["bits"]
-    shared = rows.sparkSession.sparkContext.broadcast(pick.view(np.uint64))
+    shared = _picked(rows.sparkSession, wanted.select(slot.alias("slot")))
 
     def read(batch):
         pick = shared.value
@@ -328,9 +370,7 @@ def _picked_sets(rows: DataFrame, wanted: DataFrame) -> DataFrame:
         for a, b, data, borders in w.pieces(batch.column("text")):
             keys, first = shingle_sets(data, borders)
             c = set_class(keys, first)
-            slot = (c ^ mark[a:b]) & (PICK_BITS - 1)
-            hit = (pick[slot >> 6] >> (slot & 63).astype(np.uint64)) & np.uint64(1)
-            chosen = np.flatnonzero(hit.astype(bool) & (np.diff(first) > 0))
+            chosen = np.flatnonzero(_has(pick, (c ^ mark[a:b]) & (PICK_BITS - 1)) & (np.diff(first) > 0))
             if len(chosen):
                 values = np.concatenate([keys[first[t] : first[t + 1]] for t in chosen]).view(np.int64)
                 cut = pa.array(np.concatenate([[0], np.cumsum(np.diff(first)[chosen])]), pa.int32())
@@ -382,6 +422,12 @@ def _links(rows: DataFrame, pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return grouped.select("q", "part", "role", "c", "s").mapInArrow(search, "a long, b long")
 
 
+def _joined(roots: DataFrame | None, links: DataFrame) -> DataFrame:
+    """Components of links and of what is joined already, whose trees stand for their links."""
+    links = staged(links, "links")
+    return components(links if roots is None else links.union(roots.select("node", "root")))
+
+
 def jaccard_join(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
     """One row per row of `docs`: id, n_shingles (size of the set), component_id.
 
@@ -394,15 +440,14 @@ def jaccard_join(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame
     described = staged(_described(rows, _frequent(rows)), "described")
     some = described.filter("n > 0")
     classes = staged(some.groupBy("c").agg(F.min(F.struct(F.isnull("id"), "id", "mark")).alias("x")).select("c", "x.id", "x.mark"), "classes")
-    sets = some.select("c", "n", "bits", "wide").dropDuplicates(["c"])
+    sets = staged(some.select("c", "n", "bits", "wide").dropDuplicates(["c"]), "sets")
     lists = staged(_lists(described), "lists")
-    pairs = staged(_open_pairs(_star_pairs(lists), sets), "star-pairs")
-    stars = staged(_links(rows, pairs, classes), "stars")
-    roots = components(stars)
+    roots = None
+    for _ in range(STAR_ROUNDS):
+        pairs = staged(_open_pairs(_star_pairs(lists, roots), sets), "star-pairs")
+        roots = _joined(roots, _links(rows, pairs, classes))
     pairs = staged(_open_pairs(_rest_pairs(lists, sets, roots), sets), "rest-pairs")
-    rest = staged(_links(rows, pairs, classes), "rest")
-    # the stars are components already; their trees stand for them
-    roots = components(rest.union(roots.select("node", "root")))
+    roots = _joined(roots, _links(rows, pairs, classes))
     named = classes.join(roots.withColumnRenamed("node", "c"), "c", "left").select(
         "c", "id", F.coalesce("root", "c").alias("root")
     )

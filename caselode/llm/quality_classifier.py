@@ -2,7 +2,7 @@
 
 One classifier sees the text's content, one the page's metadata (source, language, length). Both start from
 the labelled documents; in every round each hands the documents of which it is confident, with the label
-it gives them, to the other. In the end each view is calibrated on labelled documents kept out of
+it gives them, to the other, unless that is as sure of the opposite. In the end each view is calibrated on labelled documents kept out of
 training, and the calibrated views are combined to score all documents.
 
 Classifiers are fitted on a bounded number of labelled and pooled documents, by Spark's own logistic
@@ -114,13 +114,13 @@ def _with_meta(rows, hasher):
     return hasher.transform(named)
 
 
-def _raw(rows, hasher, text_model, meta_model):
+def _raw(rows, hasher, text_model, meta_model, keep_vectors=False):
     """Log-odds of both views as `_text` and `_meta`."""
     vectors = _with_meta(rows, hasher)
     for name, model in (("_text", text_model), ("_meta", meta_model)):
         vectors = model.transform(vectors).withColumn(name, vector_to_array(F.col("_raw"))[1])
         vectors = vectors.drop("_raw", "_probability", "_prediction")
-    return vectors.drop("_s", "_l", "_n", "_x", "_m")
+    return vectors if keep_vectors else vectors.drop("_s", "_l", "_n", "_x", "_m")
 
 
 def _sampled(rows: DataFrame, n_rows: int, most: int) -> DataFrame:
@@ -159,14 +159,14 @@ def cotrain(rows: DataFrame, labels: DataFrame, rounds=ROUNDS) -> CoTrained:
     ).fit(df.select(view, "y"))
     vectors = _with_meta(base, hasher)
     labelled = vectors.filter("label is not null and not held_out").withColumn("y", F.col("label"))
-    pool = vectors.filter("label is null")
     text, meta = fit("_x", labelled), fit("_m", labelled)
     odds = float(np.log(CONFIDENT / (1 - CONFIDENT)))
     for _ in range(rounds):
+        both = _raw(base.filter("label is null"), hasher, text, meta, keep_vectors=True)
+        # a document on which the other view is as sure of the opposite teaches neither
+        agreed = both.filter(~((F.least("_text", "_meta") <= -odds) & (F.greatest("_text", "_meta") >= odds)))
         from_text, from_meta = (
-            model.transform(pool.drop("_raw")).withColumn("_odds", vector_to_array(F.col("_raw"))[1])
-            .filter(F.abs("_odds") >= odds).withColumn("y", (F.col("_odds") > 0).cast("double"))
-            for model in (text, meta)
+            agreed.filter(F.abs(c) >= odds).withColumn("y", (F.col(c) > 0).cast("double")) for c in ("_text", "_meta")
         )
         text, meta = (
             fit("_x", labelled.select("_x", "y").union(from_meta.select("_x", "y"))),
