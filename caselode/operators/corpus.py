@@ -1,10 +1,13 @@
 """Building the corpus: measured texts, link lists, deduplication, stopping rule."""
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from caselode import profile as P
 from caselode.functions import html, text as T
 
+# Parts of the order column's range in which the stopping row is sought.
+BUCKETS = 65_536
+
 
 def measured(df: DataFrame, raw: str = "raw_text") -> DataFrame:
     """Clean and measure one raw text per row; narrow, no shuffle.
@@ -40,15 +43,14 @@ def longest_per_key(df: DataFrame, key: str, size: str, id_col: str) -> DataFram
     An aggregate, not a window: each task keeps one row per key before the
     shuffle, so a key that holds a third of all rows costs nothing extra.
     """
+    # a row without a key is a group of its own
     keyless = T.is_empty(F.col(key))
     row = F.struct(*df.columns)
-    kept = (
-        df.filter(~keyless)
-        .groupBy(F.col(key).alias("_key"))
+    return (
+        df.groupBy(F.when(~keyless, F.col(key)).alias("_key"), F.when(keyless, F.col(id_col)).alias("_id"))
         .agg(F.min_by(row, F.struct(-F.col(size), F.col(id_col))).alias("_row"))
         .select("_row.*")
     )
-    return kept.unionByName(df.filter(keyless))
 
 
 def run_summary(df: DataFrame) -> DataFrame:
@@ -68,26 +70,30 @@ def until_enough_valid(
 
     Recorded ids are skipped; their valid rows count first.  A row is taken
     while fewer than ``target`` valid rows stand before it, that is up to the
-    row that is the target-th valid one: a top-n finds it, no running sum over
-    one task is needed.
+    row that is the last one wanted.  A histogram over the order column finds
+    the bucket where that row lies, and only this bucket is numbered.
     """
     valid = F.col("valid_min_200_kata")
     fresh = new.join(recorded.select(id_col), id_col, "left_anti")
-    seen = recorded.filter(valid).select(F.lit(0).alias("turn"), F.lit(0).cast("long").alias("at"))
-    coming = fresh.filter(valid).select(F.lit(1).alias("turn"), F.col(order).cast("long").alias("at"))
-    last = (
-        seen.unionByName(coming)
-        .orderBy("turn", "at")
-        .limit(target)
-        .agg(F.count("*").alias("n"), F.max(F.struct("turn", "at")).alias("last"))
-    )
-    # no bound while the target is missed; nothing once recorded rows reach it
-    bound = last.select(
-        F.when(F.col("n") < target, F.lit(2**63 - 1))
-        .when(F.col("last.turn") == 0, F.lit(-(2**63)))
-        .otherwise(F.col("last.at"))
+    left = F.lit(target) - recorded.filter(valid).agg(F.count("*")).scalar()
+    at = F.col(order).cast("long")
+    coming = fresh.filter(valid).select(at.alias("at"))
+    ends = coming.agg(F.min("at").alias("lo"), F.max("at").alias("hi"))
+    low, high = ends.select("lo").scalar(), ends.select("hi").scalar()
+    bucket = F.floor((F.col("at") - low).cast("double") * BUCKETS / (high - low + 1))
+    counted = coming.select("at", bucket.alias("bucket"))
+    histogram = counted.groupBy("bucket").agg(F.count("*").alias("n"))
+    upto = F.sum("n").over(Window.orderBy("bucket"))  # BUCKETS rows at most
+    edge = (
+        histogram.select("bucket", (upto - F.col("n")).alias("before"), upto.alias("upto"))
+        .filter(F.col("upto") >= left).agg(F.min(F.struct("bucket", "before")).alias("e"))
     )
-    return fresh.filter(F.col(order) <= bound.scalar())
+    inside = counted.join(edge.select("e.*"), "bucket")
+    place = F.col("before") + F.row_number().over(Window.partitionBy("bucket").orderBy("at"))
+    last = inside.withColumn("place", place).filter(F.col("place") <= left).agg(F.max("at"))
+    # nothing once recorded rows reach the target; no bound while it is missed
+    bound = F.when(left <= 0, F.lit(-(2**63))).otherwise(F.coalesce(last.scalar(), F.lit(2**63 - 1)))
+    return fresh.filter(at <= bound)
 
 
 def listing_links(

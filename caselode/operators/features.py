@@ -8,7 +8,6 @@ from caselode.functions.text import strip
 from caselode.session import staged
 
 FEATURE_COLUMNS = ("ringkasan_fakta", "argumen_hukum", "pasal", "amar_putusan")
-MAX_CLASSES = 10_000
 
 
 def combined_text(columns=FEATURE_COLUMNS) -> Column:
@@ -25,24 +24,17 @@ def case_features(cases: DataFrame) -> DataFrame:
 
 
 def classes(df: DataFrame, label: str = "label") -> DataFrame:
-    """One row: the sorted array of distinct labels.
-
-    The array grows with the number of classes, not of rows; a column that is
-    no class label fails here instead of filling the driver.
-    """
-    few = df.select(label).distinct().limit(MAX_CLASSES + 1)
-    names = few.agg(F.array_sort(F.collect_list(label)).alias("names"))
-    return names.select(
-        F.when(
-            F.size("names") > MAX_CLASSES, F.raise_error(F.lit("too many distinct labels"))
-        ).otherwise(F.col("names")).alias("names")
-    )
+    """(label, code): one row per distinct label, numbered in alphabetical order from 0."""
+    names = df.filter(F.col(label).isNotNull()).select(F.col(label).alias("label")).distinct()
+    place = F.row_number().over(Window.orderBy("label")) - 1  # one row per class
+    return names.select("label", place.alias("code"))
 
 
 def label_codes(df: DataFrame, label: str = "label") -> DataFrame:
-    """Add ``label_encoded``: the label's place in alphabetical order (VEC-3)."""
-    names = classes(df, label).scalar()
-    return df.withColumn("label_encoded", (F.array_position(names, F.col(label)) - 1).cast("int"))
+    """Add ``label_encoded``: the label's place in alphabetical order (VEC-3); null for none."""
+    codes = classes(df, label).select(F.col("label").alias("_label"), F.col("code").alias("label_encoded"))
+    joined = df.join(codes, F.col(label) == F.col("_label"), "left")
+    return joined.select(*df.columns, "label_encoded")
 
 
 def class_sizes(df: DataFrame, label: str = "label") -> DataFrame:
@@ -109,7 +101,7 @@ def stratified_split(
         ),
         "limits",
     )
-    placed = keyed.join(F.broadcast(limits), label)  # one row per class
+    placed = keyed.join(limits, label)
     split = F.when(F.col("test"), "test").otherwise("train").alias("split")
     clear = placed.filter(F.col("bucket") != F.col("edge")).withColumn(
         "test", F.col("bucket") < F.col("edge")

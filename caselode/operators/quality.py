@@ -76,22 +76,15 @@ def incomplete_documents(df: DataFrame) -> DataFrame:
     return df.filter((c > 0) & (c < P.MIN_COMPLETENESS)).select("case_id", "keutuhan_teks")
 
 
-def duplicated_rows(df: DataFrame, key: str = "no_perkara", salts: int = 64) -> DataFrame:
+def duplicated_rows(df: DataFrame, key: str = "no_perkara") -> DataFrame:
     """Every row whose key occurs more than once, with the number of copies (QA-6).
 
-    Counting combines before the shuffle.  The way back from keys to rows is
-    salted: each repeated key is copied once per salt, so the rows of one hot
-    key spread over that many tasks.  Groups stay long rows, never one array.
+    Counting combines before the shuffle, and the join back may split the rows of a hot key.
+    Groups stay long rows, never one array.
     """
     keyed = df.filter(~is_empty(F.col(key))).select(key, "case_id")
-    repeated = (
-        keyed.groupBy(key)
-        .agg(F.count("*").alias("n_copies"))
-        .filter(F.col("n_copies") > 1)
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    )
-    salted = keyed.withColumn("_salt", F.pmod(F.hash("case_id"), F.lit(salts)))
-    return salted.join(repeated, [key, "_salt"]).drop("_salt")
+    repeated = keyed.groupBy(key).agg(F.count("*").alias("n_copies")).filter(F.col("n_copies") > 1)
+    return keyed.join(repeated, key)
 
 
 def missing_rates(df: DataFrame, columns=P.CHECKED_COLUMNS) -> DataFrame:
@@ -117,17 +110,15 @@ def categories(df: DataFrame, column: str = "jenis_perkara") -> DataFrame:
     return df.groupBy(column).agg(F.count("*").alias("n_rows")).withColumn("retired", _retired(column))
 
 
-def random_sample(
-    df: DataFrame, texts: DataFrame, n: int = 5, seed: int = P.SEED, text: str = "normalised"
-) -> DataFrame:
-    """n valid ids in seeded hash order with size and preview; no text, no preview (QA-9)."""
-    drawn = (
-        df.filter(_VALID)
-        .select("case_id")
-        .orderBy(F.md5(F.concat("case_id", F.lit(f":{seed}"))), "case_id")
-        .limit(n)
-    )
-    return drawn.join(texts.select("case_id", text), "case_id", "left").select(
+def drawn(df: DataFrame, n: int = 5, seed: int = P.SEED) -> DataFrame:
+    """n valid ids in seeded hash order."""
+    order = F.md5(F.concat("case_id", F.lit(f":{seed}")))
+    return df.filter(_VALID).select("case_id").orderBy(order, "case_id").limit(n)
+
+
+def previews(ids: DataFrame, texts: DataFrame, text: str = "normalised") -> DataFrame:
+    """The drawn ids with size and preview; no text, no preview (QA-9)."""
+    return ids.join(texts.select("case_id", text), "case_id", "left").select(
         "case_id",
         F.when(F.col(text).isNotNull(), words(F.col(text))).alias("n_words"),
         preview(F.col(text), P.SAMPLE_CHARS).alias("preview"),

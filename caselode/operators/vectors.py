@@ -1,8 +1,7 @@
 """TF-IDF as tables: vocabulary, document vectors, weights (VEC-5 .. VEC-8).
 
-Documents are hash-partitioned by id before their terms are exploded.  Counting
-by (id, term), the norm, and collecting a vector are then local: the only other
-shuffle is the count by term, which combines before it.
+Documents are hash-partitioned by id before their terms are exploded, so counting
+by (id, term) is local.  All else works on these counts: texts are tokenised once.
 """
 
 from pyspark.sql import DataFrame, Window, functions as F
@@ -10,17 +9,6 @@ from pyspark.sql import DataFrame, Window, functions as F
 from caselode import profile as P
 from caselode.functions.text import let
 
-# A vocabulary up to this size is small enough to send to every task.
-BROADCAST_TERMS = 1_000_000
-
-
-def _tasks(df: DataFrame) -> int:
-    """A fixed number: merging small text partitions would undo the parallel term work."""
-    spark = df.sparkSession
-    wanted = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(wanted, spark.sparkContext.defaultParallelism)
-
-
 def _exploded(docs: DataFrame, id_col: str, text: str) -> DataFrame:
     """(id, term): words of two or more characters and pairs of neighbours."""
     words = F.regexp_extract_all(
@@ -34,25 +22,26 @@ def _exploded(docs: DataFrame, id_col: str, text: str) -> DataFrame:
         )
         return F.concat(w, pairs)
 
-    return docs.select(id_col, text).repartition(_tasks(docs), id_col).select(
+    return docs.select(id_col, text).repartition(id_col).select(
         id_col, F.explode_outer(let(words, with_pairs)).alias("term")
     )
 
 
+def term_counts(docs: DataFrame, id_col: str, text: str) -> DataFrame:
+    """(id, term, tf) of every document; one row with a null term for a document without any.
+
+    Vocabulary and vectors both start from this table, so texts are read once.
+    """
+    return _exploded(docs, id_col, text).groupBy(id_col, "term").agg(F.count("*").alias("tf"))
+
+
 def vocabulary(
-    docs: DataFrame, id_col: str, text: str,
-    min_df: int = P.MIN_DF, max_features: int = P.MAX_FEATURES,
+    counts: DataFrame, n_docs: int, min_df: int = P.MIN_DF, max_features: int = P.MAX_FEATURES
 ) -> DataFrame:
-    """(term, idx, df, cf, idf): the most frequent terms, ties alphabetical."""
-    n_docs = docs.agg(F.count("*")).scalar()
-    per_doc = (
-        _exploded(docs, id_col, text)
-        .filter(F.col("term").isNotNull())
-        .groupBy(id_col, "term")
-        .agg(F.count("*").alias("tf"))
-    )
+    """(term, idx, df, cf, idf): the most frequent terms of ``term_counts``, ties alphabetical."""
     kept = (
-        per_doc.groupBy("term")
+        counts.filter(F.col("term").isNotNull())
+        .groupBy("term")
         .agg(F.count("*").alias("df"), F.sum("tf").alias("cf"))
         .filter(F.col("df") >= min_df)
         .orderBy(F.desc("cf"), "term")
@@ -62,31 +51,20 @@ def vocabulary(
         "term",
         (F.row_number().over(Window.orderBy("term")) - 1).alias("idx"),  # max_features rows
         "df", "cf",
-        (F.log((1 + n_docs) / (1 + F.col("df"))) + 1).alias("idf"),
+        (F.log((1 + F.lit(n_docs)) / (1 + F.col("df"))) + 1).alias("idf"),
     )
 
 
-def vectors(
-    docs: DataFrame, vocab: DataFrame, id_col: str, text: str,
-    max_features: int = P.MAX_FEATURES,
-) -> DataFrame:
+def vectors(counts: DataFrame, vocab: DataFrame, id_col: str) -> DataFrame:
     """(id, indices, values): unit-length vectors in term order, empty for no known term.
 
-    Terms outside the vocabulary are dropped by the join, before any grouping.
+    Unknown terms leave no entry, but every document keeps a row.
     """
-    known = vocab.select("term", "idx", "idf")
-    if max_features <= BROADCAST_TERMS:
-        known = F.broadcast(known)
-    tf = F.count("*")
-    counted = (
-        _exploded(docs, id_col, text)
-        .join(known, "term", "left")
-        .groupBy(id_col, "idx", "idf")
-        .agg(((1 + F.log(tf)) * F.col("idf")).alias("w"))
-    )
-    entry = F.when(F.col("idx").isNotNull(), F.struct("idx", "w"))
-    gathered = counted.groupBy(id_col).agg(
-        F.array_sort(F.collect_list(entry)).alias("e"), F.sqrt(F.sum(F.col("w") ** 2)).alias("len")
+    known = counts.join(vocab.select("term", "idx", "idf"), "term", "left")
+    w = (1 + F.log("tf")) * F.col("idf")
+    entry = F.when(F.col("idx").isNotNull(), F.struct("idx", w.alias("w")))
+    gathered = known.groupBy(id_col).agg(
+        F.array_sort(F.collect_list(entry)).alias("e"), F.sqrt(F.sum(w**2)).alias("len")
     )
     return gathered.select(
         id_col,

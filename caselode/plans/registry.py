@@ -200,10 +200,10 @@ def qa_categories(spark, folder):
 
 @query
 def qa_sample(spark, folder):
-    rows = corpus.normalised(views.measured(spark, folder))
-    rows = staged(rows.select("case_id", "valid_min_200_kata", "normalised"), "texts")
-    have = views.inventories(spark, folder)["raw"]
-    return quality.random_sample(rows, rows.join(have, "case_id", "left_semi"))
+    drawn = staged(quality.drawn(views.metadata(spark, folder)), "drawn")
+    have = drawn.join(views.inventories(spark, folder)["raw"].distinct(), "case_id")
+    few = views.measured(spark, folder).join(have, "case_id")
+    return quality.previews(drawn, corpus.normalised(few))
 
 
 def _missing_and_copies(spark, folder):
@@ -311,8 +311,19 @@ def split_quotas(spark, folder):
     return features.class_quotas(features.class_sizes(views.labelled_documents(spark, folder)))
 
 
+def _document_counts(spark, folder):
+    docs = table(spark, folder, "documents")
+    return staged(vectors.term_counts(docs, "doc_id", "text"), "counts"), docs.count()
+
+
 def _document_vocabulary(spark, folder):
-    return vectors.vocabulary(table(spark, folder, "documents"), "doc_id", "text")
+    return vectors.vocabulary(*_document_counts(spark, folder))
+
+
+def _asked_vectors(spark, folder, vocab):
+    """Vectors of the benchmark queries; a blank query has none and finds nothing."""
+    asked = views.benchmark(spark, folder).filter("query_text != ''")
+    return vectors.vectors(vectors.term_counts(asked, "query_id", "query_text"), vocab, "query_id")
 
 
 @query
@@ -328,16 +339,13 @@ def _long(vecs, id_col):
 
 @query
 def tfidf_weights(spark, folder):
-    docs = table(spark, folder, "documents")
-    vecs = vectors.vectors(docs, _document_vocabulary(spark, folder), "doc_id", "text")
-    return _long(vecs, "doc_id")
+    counts, n_docs = _document_counts(spark, folder)
+    return _long(vectors.vectors(counts, vectors.vocabulary(counts, n_docs), "doc_id"), "doc_id")
 
 
 @query
 def tfidf_transform(spark, folder):
-    asked = views.benchmark(spark, folder)
-    vecs = vectors.vectors(asked, _document_vocabulary(spark, folder), "query_id", "query_text")
-    return _long(vecs, "query_id")
+    return _long(_asked_vectors(spark, folder, _document_vocabulary(spark, folder)), "query_id")
 
 
 # --- retrieval -----------------------------------------------------------------------------------
@@ -349,10 +357,9 @@ def _near(df, *columns):
 
 def _sparse_documents(spark, folder):
     """Vectors of the documents and of the benchmark queries under one vocabulary."""
-    vocab = staged(_document_vocabulary(spark, folder), "vocabulary")
-    docs = vectors.vectors(table(spark, folder, "documents"), vocab, "doc_id", "text")
-    asked = vectors.vectors(views.benchmark(spark, folder), vocab, "query_id", "query_text")
-    return asked, docs
+    counts, n_docs = _document_counts(spark, folder)
+    vocab = staged(vectors.vocabulary(counts, n_docs), "vocabulary")
+    return _asked_vectors(spark, folder, vocab), vectors.vectors(counts, vocab, "doc_id")
 
 
 def _sizes(spark, folder):
@@ -374,22 +381,24 @@ def _vectors(spark, folder):
 
 @query
 def retrieve_dense(spark, folder):
+    return _near(knn.top_k(*_dense_test(spark, folder), dense=True, exclude_self=True))
+
+
+def _dense_test(spark, folder):
+    """The vectors of the test split as queries, and all vectors as documents."""
     rows = _vectors(spark, folder)
-    return _near(
-        knn.top_k(
-            rows.withColumnRenamed("vec_id", "query_id"),
-            rows.withColumnRenamed("vec_id", "doc_id"),
-            dense=True,
-        )
-    )
+    split = features.stratified_split(rows, "vec_id").filter("split = 'test'")
+    asked = staged(rows.join(split.select("vec_id"), "vec_id"), "asked")
+    return asked.withColumnRenamed("vec_id", "query_id"), rows.withColumnRenamed("vec_id", "doc_id")
 
 
 def _case_model(spark, folder):
     """Features, split, vocabulary and vectors of the cases; each written once."""
     rows = views.case_features(spark, folder)
     split = staged(features.stratified_split(rows), "split")
-    vocab = staged(vectors.vocabulary(rows, "case_id", "text_combined"), "vocabulary")
-    vecs = vectors.vectors(rows, vocab, "case_id", "text_combined")
+    counts = staged(vectors.term_counts(rows, "case_id", "text_combined"), "counts")
+    vocab = staged(vectors.vocabulary(counts, rows.count()), "vocabulary")
+    vecs = vectors.vectors(counts, vocab, "case_id")
     vecs = staged(vecs.join(split, "case_id"), "vectors")
     return rows, split, vocab, vecs
 
@@ -462,8 +471,9 @@ def _records(spark, folder):
     test, asked = _sampled(rows, split)
     asked = staged(asked, "asked")
     texts = asked.select("query_id", T.strip(F.lower("query_text")).alias("query_text"))
+    counts = vectors.term_counts(texts.filter("query_text != ''"), "query_id", "query_text")
     near = knn.top_k(
-        vectors.vectors(texts, vocab, "query_id", "query_text"), _as_docs(vecs),
+        vectors.vectors(counts, vocab, "query_id"), _as_docs(vecs),
         n_queries=P.N_QUERIES,
     )
     stored = table(spark, folder, "embeddings").select(
@@ -546,23 +556,51 @@ def nb_predict(spark, folder):
 
 
 def _svm_predictions(spark, folder):
-    _, _, vocab, vecs = _case_model(spark, folder)
-    coded = features.label_codes(vecs)
-    train, test = coded.filter("split = 'train'"), coded.filter("split = 'test'")
-    size = vocab.count()
-    model = classify.svm_fit(train.persist(), size, train.count())
-    pred = classify.svm_predict(model, test, features.classes(vecs), size)
-    return test.select("case_id", F.col("label").alias("true_label")).join(pred, "case_id")
+    rows, _, vocab, vecs = _case_model(spark, folder)
+    return rows, _svm_labels(vocab, vecs)
+
+
+def _svm_labels(vocab, vecs):
+    """(case_id, true_label, pred_label) of the test rows, written once."""
+    rows = staged(classify.ml_rows(features.label_codes(vecs), vocab.count()), "ml")
+    rows = classify.as_vectors(rows)
+    train, test = rows.filter("split = 'train'"), rows.filter("split = 'test'")
+    pred = classify.svm_predict(classify.svm_fit(train, train.count()), test, features.classes(vecs))
+    truth = test.select("case_id", F.col("label").alias("true_label"))
+    return staged(truth.join(pred, "case_id"), "svm")
 
 
 @query
 def svm_predict(spark, folder):
-    return _svm_predictions(spark, folder)
+    return _svm_predictions(spark, folder)[1]
 
 
 @query
 def svm_metrics(spark, folder):
-    return evaluate.classification_metrics(_svm_predictions(spark, folder), "TF-IDF + SVM")
+    return evaluate.classification_metrics(_svm_predictions(spark, folder)[1], "TF-IDF + SVM")
+
+
+@query
+def svm_errors(spark, folder):
+    rows, pred = _svm_predictions(spark, folder)
+    return evaluate.errors(pred, rows).withColumnRenamed("pred_label", "pred_label_svm")
+
+
+@query
+def svm_error_profile(spark, folder):
+    rows, pred = _svm_predictions(spark, folder)
+    return evaluate.error_profile(staged(evaluate.errors(pred, rows), "errors"))
+
+
+@query
+def svm_quality(spark, folder):
+    """Test rows, classes, and whether the SVM is right more often than the largest class is."""
+    pred = _svm_predictions(spark, folder)[1]
+    largest = pred.groupBy("true_label").agg(F.count("*").alias("n")).agg(
+        F.max("n").alias("largest"), F.count("*").cast("long").alias("n_classes")
+    )
+    right = pred.agg(F.count("*").alias("n_test"), F.count_if(F.col("true_label") == F.col("pred_label")).alias("right"))
+    return right.crossJoin(largest).select("n_test", "n_classes", (F.col("right") > F.col("largest")).alias("beats_majority"))
 
 
 # --- evaluation -----------------------------------------------------------------------------------------
@@ -605,11 +643,7 @@ def _sparse_at_k(vecs):
 
 
 def _dense_at_k(spark, folder):
-    rows = _vectors(spark, folder)
-    split = features.stratified_split(rows, "vec_id").filter("split = 'test'")
-    asked = staged(rows.join(split.select("vec_id"), "vec_id"), "asked")
-    asked = asked.withColumnRenamed("vec_id", "query_id")
-    known = rows.withColumnRenamed("vec_id", "doc_id")
+    asked, known = _dense_test(spark, folder)
     near = knn.top_k(asked, known, dense=True, exclude_self=True)
     return evaluate.retrieval_at_k(asked, near, known, "Dense + Cosine")
 
@@ -630,15 +664,18 @@ def hit_rate(spark, folder):
     return evaluate.hit_rates(evaluate.query_hits(_records(spark, folder)))
 
 
-def _comparison(spark, folder):
+def _comparison(spark, folder, with_svm=False):
     rows, _, vocab, vecs = _case_model(spark, folder)
     train, test = vecs.filter("split = 'train'"), vecs.filter("split = 'test'")
     scale = staged(classify.scaling(train, vocab), "scale")
     terms, priors = (staged(t, "nb") for t in classify.nb_fit(train, vocab, scale))
     truth = test.select("case_id", F.col("label").alias("true_label"))
     pred = truth.join(classify.nb_predict(test, terms, priors), "case_id")
+    classified = [evaluate.classification_metrics(pred, "Naive Bayes")]
+    if with_svm:
+        classified.insert(0, evaluate.classification_metrics(_svm_labels(vocab, vecs), "TF-IDF + SVM"))
     return evaluate.model_comparison(
-        [evaluate.classification_metrics(pred, "Naive Bayes")],
+        classified,
         [_sparse_at_k(vecs), _dense_at_k(spark, folder)],
     )
 
@@ -653,6 +690,17 @@ def f1_series(spark, folder):
     return evaluate.f1_series(_comparison(spark, folder))
 
 
+@query
+def model_comparison_svm(spark, folder):
+    """The comparison with the SVM as its fourth model."""
+    return _comparison(spark, folder, with_svm=True)
+
+
+@query
+def f1_series_svm(spark, folder):
+    return evaluate.f1_series(_comparison(spark, folder, with_svm=True))
+
+
 # --- incremental -------------------------------------------------------------------------------------------
 
 

@@ -10,14 +10,13 @@ FITTED = ("vocabulary", "split", "classes", "nb_terms", "nb_priors")
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash the rows over all cores when the scan has fewer splits than cores.
+    """Hash the rows over all cores when the scan has fewer files than a tenth of the cores.
 
     A single small file is one task; text work on it would use one core.  A
-    large input has splits enough and passes through without a shuffle.
+    large input has files enough and passes through without a shuffle.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    splits = df.rdd.getNumPartitions()
-    return df if splits >= 2 * cores else df.repartition(cores, key)
+    return df if 10 * len(df.inputFiles()) > cores else df.repartition(cores, key)
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:

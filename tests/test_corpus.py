@@ -84,3 +84,26 @@ def test_incremental_run_appends_only_new_ids(spark, tmp_path):
     assert arrive(("b", 2), ("c", 2)) == [("a", 1), ("b", 1), ("c", 2)]
     incremental.run_available(spark, source, schema, target, checkpoint=checkpoint)
     assert spark.read.parquet(target).count() == 3
+
+
+def test_incremental_run_keeps_what_other_streams_recorded(spark, tmp_path):
+    target, schema = str(tmp_path / "out"), "case_id string, n long"
+
+    def run(folder, rows, **more):
+        source = str(tmp_path / folder)
+        spark.createDataFrame(rows, schema).write.mode("append").parquet(source)
+        incremental.run_available(spark, source, schema, target, **more)
+        return sorted((r.case_id, r.n) for r in spark.read.parquet(target).collect())
+
+    lost = str(tmp_path / "lost")
+    assert run("one", [("a", 1), ("b", 2), ("b", 1)], checkpoint=lost) == [("a", 1), ("b", 1)]
+    # another folder with a state of its own, beside the results
+    assert run("two", [("b", 3), ("c", 3)]) == [("a", 1), ("b", 1), ("c", 3)]
+    # the first state is lost: all its files arrive again
+    assert run("one", [("d", 4)], checkpoint=str(tmp_path / "new")) == [("a", 1), ("b", 1), ("c", 3), ("d", 4)]
+    # the last batch is replayed
+    commits = tmp_path / "new" / "commits"
+    for name in ("0", ".0.crc"):
+        (commits / name).unlink(missing_ok=True)
+    incremental.run_available(spark, str(tmp_path / "one"), schema, target, checkpoint=str(tmp_path / "new"))
+    assert sorted((r.case_id, r.n) for r in spark.read.parquet(target).collect()) == [("a", 1), ("b", 1), ("c", 3), ("d", 4)]

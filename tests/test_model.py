@@ -51,10 +51,10 @@ def test_label_codes_are_alphabetical(spark):
     assert {r.label: r.label_encoded for r in got} == {"b": 0, "m": 1, "z": 2}
 
 
-def test_too_many_classes_fail(spark, monkeypatch):
-    monkeypatch.setattr(features, "MAX_CLASSES", 2)
-    with pytest.raises(Exception, match="too many distinct labels"):
-        features.label_codes(labelled(spark, a=1, b=1, c=1)).collect()
+def test_any_number_of_classes(spark):
+    rows = spark.range(10_001).select(F.col("id").cast("string").alias("label"))
+    got = {r.label: r.label_encoded for r in features.label_codes(rows).collect()}
+    assert got == {label: n for n, label in enumerate(sorted(got))} and len(got) == 10_001
 
 
 WORDS = "satu dua tiga empat lima enam tujuh Perkara Gugatan été x".split()
@@ -96,10 +96,11 @@ def test_tfidf_equals_the_matrix(spark, parts):
     docs = texts(60) + ["", "x"]
     vocab, m = plain_tfidf(docs, 40)
     df = table(spark, docs).repartition(parts)
-    v = vectors.vocabulary(df, "doc_id", "text", max_features=40)
+    counts = vectors.term_counts(df, "doc_id", "text")
+    v = vectors.vocabulary(counts, len(docs), max_features=40)
     assert {r.term: r.idx for r in v.collect()} == vocab
     got = np.zeros_like(m)
-    rows = vectors.vectors(df, v, "doc_id", "text").collect()
+    rows = vectors.vectors(counts, v, "doc_id").collect()
     for r in rows:
         got[r.doc_id, r.indices] = r["values"]
     assert len(rows) == len(docs) and np.allclose(got, m)
@@ -128,7 +129,8 @@ def test_sparse_neighbours_across_blocks(spark, monkeypatch, skip_self):
     docs = texts(50) + ["satu dua tiga"] * 25 + [""]  # a third are copies
     _, m = plain_tfidf(docs, 10_000)
     df = table(spark, docs)
-    vecs = vectors.vectors(df, vectors.vocabulary(df, "doc_id", "text"), "doc_id", "text")
+    counts = vectors.term_counts(df, "doc_id", "text")
+    vecs = vectors.vectors(counts, vectors.vocabulary(counts, df.count()), "doc_id")
     near = knn.top_k(vecs.withColumnRenamed("doc_id", "query_id"), vecs, exclude_self=skip_self)
     assert ranked(near) == brute_top(m @ m.T, 5, skip_self)
 
@@ -224,13 +226,15 @@ def test_svm_separates(spark, tmp_path):
     from caselode.sources import readers, writers
 
     _, _, rows = model_rows(spark)
-    coded = features.label_codes(rows)
-    model = classify.svm_fit(coded, 6, 40, c=100.0)
+    classify.ml_rows(features.label_codes(rows), 6).write.parquet(str(tmp_path / "rows"))
+    coded = classify.as_vectors(spark.read.parquet(str(tmp_path / "rows")))
+    model = classify.svm_fit(coded, 40, c=100.0)
+    assert all(m.summary().totalIterations < classify.P.SVM_MAX_ITER for m in model.models)
     names = features.classes(rows)
     truth = rows.select("case_id", F.col("label").alias("true_label"))
 
     def accuracy(m):
-        pred = truth.join(classify.svm_predict(m, coded, names, 6), "case_id")
+        pred = truth.join(classify.svm_predict(m, coded, names), "case_id")
         return evaluate.classification_metrics(pred, "svm").first().accuracy
 
     assert accuracy(model) >= 0.9

@@ -24,7 +24,7 @@ def ids(spark, *names):
 def test_flags_and_issues(spark):
     df = meta(spark)
     missing = quality.missing_from(df, {"raw": ids(spark, "a"), "tokens": ids(spark, "x")})
-    copies = quality.duplicated_rows(df, salts=3)
+    copies = quality.duplicated_rows(df)
     flags = {r.case_id: r.alasan_perlu_dicek for r in quality.flags(df, missing, copies).collect()}
     assert flags == {
         "a": "file_token_hilang;nomor_perkara_duplikat",
@@ -59,6 +59,6 @@ def test_one_key_for_a_third_of_the_rows(spark):
 
 def test_sample_keeps_rows_without_text(spark):
     texts = spark.createDataFrame([("a", "x\ny z")], "case_id string, normalised string")
-    got = {r.case_id: r for r in quality.random_sample(meta(spark), texts).collect()}
+    got = {r.case_id: r for r in quality.previews(quality.drawn(meta(spark)), texts).collect()}
     assert got["a"].preview == "x y z" and got["a"].n_words == 3
     assert got["d"].text_missing and got["d"].n_words is None
