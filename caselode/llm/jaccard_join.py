@@ -238,13 +238,18 @@ def _open_pairs(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
     a = sets.select("c", "n", "wide").mapInArrow(in_pairs, "c long, n int, wide binary")
     b = a.select(F.col("c").alias("q"), F.col("n").alias("nq"), F.col("wide").alias("wide_q"))
-    return pairs.join(a, "c").join(b, "q").mapInArrow(near, "q long, c long")
+    return _grows(pairs).join(_grows(a), "c").join(_grows(b), "q").mapInArrow(near, "q long, c long")
+
+
+def _grows(df: DataFrame) -> DataFrame:
+    """A side that grows with the corpus: joined by sorting, at small sizes too."""
+    return df.hint("merge")
 
 
 def _with_roots(lists: DataFrame, roots: DataFrame | None) -> DataFrame:
     if roots is None:
         return lists.withColumn("root", F.col("c"))
-    found = lists.join(roots.withColumnRenamed("node", "c"), "c", "left")
+    found = lists.join(_grows(roots.withColumnRenamed("node", "c")), "c", "left")
     return found.withColumn("root", F.coalesce("root", "c"))
 
 
@@ -259,7 +264,7 @@ def _star_pairs(lists: DataFrame, roots: DataFrame | None) -> DataFrame:
     first = rows.groupBy("shingle", "size").agg(
         F.min(order).alias("q"), F.min("root").alias("one"), F.max("root").alias("other")
     ).filter("one != other")
-    pairs = rows.join(first, ["shingle", "size"]).filter(F.col("q.root") != F.col("root"))
+    pairs = rows.join(_grows(first), ["shingle", "size"]).filter(F.col("q.root") != F.col("root"))
     return pairs.select(F.col("q.c").alias("q"), "c").distinct()
 
 
@@ -269,16 +274,19 @@ def _rest_pairs(lists: DataFrame, bits: DataFrame, roots: DataFrame) -> DataFram
     At the first shingle that two documents share, all before it are in one set only. So a link shows
     in a list where the two places add up to no more than may differ; other lists need not look.
     """
-    rows = _with_roots(lists.select("shingle", "c", "p"), roots)
+    # a place less the document's own share of what may differ; of a link's two, the sum is 0 at most
+    beyond = F.col("p") - _most_different(F.col("n"), 0)
+    rows = _with_roots(lists, roots).withColumn("beyond", beyond)
     kinds = rows.groupBy("shingle").agg(
-        F.min("root").alias("one"), F.max("root").alias("other"), F.count("*").alias("m")
+        F.min("root").alias("one"), F.max("root").alias("other"), F.count("*").alias("m"), F.min("beyond").alias("least")
     ).filter("one != other")
-    rows = rows.join(kinds.select("shingle", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks")), "shingle")
+    blocks = F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks")
+    rows = rows.join(_grows(kinds.select("shingle", "least", blocks)), "shingle").filter("beyond + least <= 1e-6")
     # a list of several blocks meets itself block by block; each pair of blocks is one group
     rows = rows.withColumn("own", F.pmod(F.hash("c"), "blocks"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rows = rows.withColumn("group", F.xxhash64("shingle", F.least("own", "other"), F.greatest("own", "other")))
-    rows = rows.select("group", "c", "p", "root").join(bits.select("c", "n", "bits"), "c").select("group", "c", "n", "p", "root", "bits")
+    rows = rows.select("group", "c", "p", "root").join(_grows(bits.select("c", "n", "bits")), "c").select("group", "c", "n", "p", "root", "bits")
     schema = pa.schema([("q", pa.int64()), ("c", pa.int64())])
 
     def compare(batches):
@@ -314,7 +322,7 @@ def _compared(rows: pa.Table, schema):
         if not len(at):
             return
         a = at[root[at] != root[at + step]]
-        a = a[p[a] + p[a + step] <= _most_different(n[a], n[a + step])]
+        a = a[p[a] + p[a + step] <= _most_different(n[a].astype(np.int64), n[a + step]) + 1e-6]
         a = a[_may_link(n[a], n[a + step], bits[a], bits[a + step])]
         if len(a):
             yield pa.RecordBatch.from_arrays([pa.array(c[a]), pa.array(c[a + step])], schema=schema)
@@ -385,13 +393,13 @@ def _links(rows: DataFrame, pairs: DataFrame, classes: DataFrame) -> DataFrame:
     A query with many candidates is searched in parts of about CANDIDATES; its set goes to each.
     """
     parts = pairs.groupBy("q").agg(F.ceil(F.count("*") / CANDIDATES).cast("int").alias("parts"))
-    dealt = pairs.join(parts, "q").select("q", F.pmod(F.hash("c"), "parts").alias("part"), "c")
+    dealt = pairs.join(_grows(parts), "q").select("q", F.pmod(F.hash("c"), "parts").alias("part"), "c")
     dealt = dealt.select("q", "part", "c", F.lit(1).alias("role")).union(
         dealt.select("q", "part", F.col("q").alias("c"), F.lit(0).alias("role")).distinct()
     )
     wanted = dealt.select("c").distinct().join(classes.select("c", "mark"), "c")
     sets = _picked_sets(rows, wanted)
-    grouped = dealt.join(sets, "c").repartition("q", "part").sortWithinPartitions("q", "part", "role")
+    grouped = _grows(dealt).join(_grows(sets), "c").repartition("q", "part").sortWithinPartitions("q", "part", "role")
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def search(batches):
