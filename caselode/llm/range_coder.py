@@ -20,7 +20,7 @@ TOTAL_BITS = SOURCE_BITS + INNER_BITS
 #: Order 0 is counted again after so many ids of a block.
 RECOUNT = (256, 1024, 4096)
 HASH_BITS = 10
-LANES = 2048
+LANES = 1024
 #: Steps whose model-independent values are laid out together.
 STRETCH = 256
 
@@ -132,11 +132,11 @@ def _next_count(begin, length):
 
 def _zero_values(ids, begin, stop, lanes):
     """Order 0 of the ids before `begin`: for the ids of the steps from there on, where each starts
-    in the inner interval and its share of it; 0 for ids that are new to the block."""
-    start, share = np.zeros((stop - begin, lanes), np.int32), np.zeros((stop - begin, lanes), np.int32)
-    start_of, share_of = np.zeros(MAX_ID + 1, np.int32), np.zeros(MAX_ID + 1, np.int32)
+    among 2**ZERO_BITS and its share of them; 0 for ids that are new to the block."""
+    start, share = np.zeros((stop - begin, lanes), np.uint16), np.zeros((stop - begin, lanes), np.uint16)
+    start_of, share_of = np.zeros(MAX_ID + 1, np.uint16), np.zeros(MAX_ID + 1, np.uint16)
     for lane, (found, borders) in enumerate(_zero_frequencies(ids[:begin, :lanes])):
-        start_of[found], share_of[found] = borders[:-1] << 1, np.diff(borders) << 1
+        start_of[found], share_of[found] = borders[:-1], np.diff(borders)
         own = ids[begin:stop, lane]
         start[:, lane], share[:, lane] = start_of[own], share_of[own]
         share_of[found] = 0
@@ -154,13 +154,17 @@ def _encode(blocks):
         ids[2 : 2 + len(own), lane] = own
     model = _Model(lanes)
     all_low, all_span = np.zeros(lanes, _U), np.full(lanes, 0xFFFFFFFFFFFFFFFF, _U)
-    # a digit holds 32 bits, an id takes 28 at most: one digit a step, and two at the end
-    width = length + 3
+    # a digit holds 32 bits, an id takes 28 at most; few take more than 16: more room is made when needed
+    width = length // 2 + STRETCH + 3
     digits, all_filled = np.zeros(lanes * width, _U), np.arange(lanes) * width
     low, span, filled = all_low, all_span, all_filled
     counted = 0
     for begin, stop in _stretches(length):
         n = int(alive[begin])
+        if (all_filled - np.arange(lanes) * width).max(initial=0) + stop - begin + 3 > width:
+            digits = np.pad(digits.reshape(lanes, width), ((0, 0), (0, width))).ravel()
+            all_filled += np.arange(lanes) * width
+            width *= 2
         x = ids[begin + 2 : stop + 2, :n]
         fallback, start_in, share_in = np.full(x.shape, _NEW), x, np.ones(x.shape, np.int32)
         if begin in RECOUNT:
@@ -170,7 +174,8 @@ def _encode(blocks):
             start, share = start0[begin - counted : stop - counted, :n], share0[begin - counted : stop - counted, :n]
             seen = share > 0
             fallback[seen] = _ORDER0
-            start_in, share_in = np.where(seen, start, x), np.where(seen, share, 1)
+            start_in = np.where(seen, start.astype(np.int32) << 1, x)
+            share_in = np.where(seen, share.astype(np.int32) << 1, 1)
         start_in, share_in, entries = start_in.astype(_U), share_in.astype(_U), x << 2
         at = _contexts(ids[begin:stop, :n], ids[begin + 1 : stop + 1, :n], model.base[:, :n])
         for t in range(stop - begin):

@@ -24,8 +24,8 @@ MAGIC = b"CLTOK1\0\0"
 END_ID = 0
 #: Ids of one block, and of one segment (more where a document is longer).
 BLOCK_IDS, LEAST_BLOCK_IDS, SEGMENT_IDS = 4096, 512, range_coder.LANES * 4096
-#: Distinct pieces of text whose ids a worker keeps, about 100 MB; beyond that it starts anew.
-KEPT_PIECES = 2_000_000
+#: Distinct pieces of text whose ids a worker keeps, about 60 MB; beyond that it starts anew.
+KEPT_PIECES = 1_000_000
 #: Bytes of text that are encoded together.
 TEXT_BYTES = 4 << 20
 
