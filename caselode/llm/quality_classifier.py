@@ -52,22 +52,25 @@ def text_features(data, borders) -> np.ndarray:
 
 def described(docs: DataFrame, columns: dict[str, str], id_col, text_col, meta_cols) -> DataFrame:
     """Some columns of `docs` under given names, with `features` of the text and `meta` features."""
-    names = {**columns}
-    extra = {c: f"_{i}" for i, c in enumerate([id_col, text_col, *meta_cols])}
-    chosen = docs.select(
-        *[F.col(f"`{c}`").alias(n) for c, n in names.items()], *[F.col(f"`{c}`").alias(n) for c, n in extra.items()]
-    )
-    keep = [f for f in chosen.schema.fields if f.name != "_1"]
+    used = [id_col, text_col, *meta_cols]
+    # a column that is passed on anyway is not sent twice
+    names = columns | {c: f"_c{i}" for i, c in enumerate(used) if c not in columns}
+    own = [names[c] for c in used]
+    chosen = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()])
+    keep = [f for f in chosen.schema.fields if f.name != own[1] or text_col in columns]
 
     def measure(batch):
-        for a, b, data, borders in w.pieces(batch.column("_1")):
+        for a, b, data, borders in w.pieces(batch.column(own[1])):
             x = text_features(data, borders)
             cut = pa.array(np.arange(0, x.size + 1, x.shape[1]), pa.int32())
-            own = {f.name: batch.column(f.name)[a:b] for f in keep}
-            yield own | {"features": pa.ListArray.from_arrays(cut, pa.array(x.ravel()))}
+            rest = {f.name: batch.column(f.name)[a:b] for f in keep}
+            yield rest | {"features": pa.ListArray.from_arrays(cut, pa.array(x.ravel()))}
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in keep) + ", features array<float>"
-    return map_batches(chosen, measure, schema).withColumnRenamed("_0", "_id")
+    out = map_batches(chosen, measure, schema)
+    return out.select(
+        *columns.values(), "features", F.col(own[0]).alias("_id"), *[F.col(own[i]).alias(f"_{i}") for i in (2, 3, 4)]
+    )
 
 
 @dataclass
