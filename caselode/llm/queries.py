@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import decontaminate as decon
-from caselode.session import shared_folder
+from caselode.session import shared_folder, staged
 
 from . import jaccard_join, license_scan, line_dedup, mixing, pii, token_output, warc
 from . import quality_classifier as classifier
@@ -85,7 +85,8 @@ def op9_warc(spark: SparkSession, folder: str) -> DataFrame:
     pages = table(spark, folder, "pages")
     path = f"{shared_folder(spark)}/caselode/warc-{uuid.uuid4().hex}"
     warc.write_archives(pages, path)
-    rows = warc.with_referred_pages(warc.captures(warc.read_records(spark, path, with_payload=False)))
+    found = staged(warc.captures(warc.read_records(spark, path, with_payload=False)), "captures")
+    rows = warc.with_referred_pages(found)
     kind = pages.schema["page_id"].dataType
     return rows.select(
         F.col("page").cast(kind).alias("page_id"), "response.payload_bytes", "response.payload_digest",
