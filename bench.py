@@ -10,7 +10,7 @@ import sys
 import time
 
 from caselode.plans.registry import QUERIES
-from caselode.session import local_session
+from caselode.session import clear_staged, local_session
 
 HEADLINE = (
     "text_clean", "text_valid", "dedup_keep_longest", "page_record", "qa_flags",
@@ -29,6 +29,7 @@ def main(names):
         QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
         seconds[name] = round(time.perf_counter() - start, 3)
         print(name, seconds[name], file=sys.stderr, flush=True)
+        clear_staged(spark)
     print(
         json.dumps(
             {

@@ -117,9 +117,9 @@ def listing_links(
 
 
 def page_records(
-    pages: DataFrame, body: str = "html", url: str = "url", position: str = "page_id"
+    pages: DataFrame, body: str = "html", url: str = "url", position: str = "page_id", keep=()
 ) -> DataFrame:
-    """Metadata of the pages that carry a detail table (WEB-2 .. WEB-6)."""
+    """Metadata of the pages that carry a detail table (WEB-2 .. WEB-5); ``keep`` are columns to pass on."""
     table = (
         pages.withColumn("_table", html.detail_table(F.col(body)))
         .filter(F.col("_table") != "")
@@ -133,4 +133,17 @@ def page_records(
         F.col(url).alias("url_detail"),
         html.first_link(F.col(body)).alias("url_pdf"),
         *html.fields(F.col("_cells")),
+        *keep,
     )
+
+
+MEASURES = ("jumlah_kata", "jumlah_token", "keutuhan_teks", "valid_min_200_kata")
+
+
+def full_records(records: DataFrame, measures: DataFrame, on: str, columns) -> DataFrame:
+    """Page records with the measures of their texts, all ``columns`` in order (WEB-6).
+
+    A page without a text has no words and is not valid.
+    """
+    joined = records.join(measures.select(on, *MEASURES), on, "left")
+    return joined.fillna(0, MEASURES[:3]).fillna(False, MEASURES[3:]).select(*columns)

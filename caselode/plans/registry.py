@@ -1,5 +1,7 @@
 """Every registered query: (spark, folder) -> DataFrame over whole tables."""
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from caselode import profile as P
@@ -8,7 +10,8 @@ from caselode.operators import (
     classify, corpus, evaluate, features, knn, quality, represent, reuse, vectors,
 )
 from caselode.plans import views
-from caselode.session import staged
+from caselode.session import shared_folder, staged
+from caselode.sources import readers, schemas, writers
 from caselode.sources.readers import spread, table
 from caselode.streaming.incremental import unrecorded
 
@@ -136,7 +139,11 @@ def page_fields(spark, folder):
 
 @query
 def page_record(spark, folder):
-    return corpus.page_records(views.detail_pages(spark, folder))
+    """The text of page n is document n."""
+    records = corpus.page_records(views.detail_pages(spark, folder), keep=("page_id",))
+    texts = corpus.normalised(views.measured(spark, folder)).withColumn("page_id", F.col("doc_id"))
+    columns = [c.strip().split(" ")[0] for c in schemas.METADATA.split(",")]
+    return corpus.full_records(records, texts, "page_id", columns)
 
 
 # --- quality ---------------------------------------------------------------------------
@@ -217,6 +224,11 @@ def qa_issues(spark, folder):
     return quality.issues(*_missing_and_copies(spark, folder))
 
 
+@query
+def qa_verdict(spark, folder):
+    return quality.verdict(quality.issues(*_missing_and_copies(spark, folder)))
+
+
 @query
 def qa_flags(spark, folder):
     return quality.flags(*_missing_and_copies(spark, folder))
@@ -701,6 +713,71 @@ def f1_series_svm(spark, folder):
     return evaluate.f1_series(_comparison(spark, folder, with_svm=True))
 
 
+# --- sources and sinks ---------------------------------------------------------------------------------------
+
+
+def _new_folder(spark):
+    return f"{shared_folder(spark)}/caselode/out-{uuid.uuid4().hex}"
+
+
+@query
+def stored_csv(spark, folder):
+    """Metadata written as CSV and read under its schema (SNK-1, SRC-2)."""
+    path, schema = _new_folder(spark), "case_id string, no_perkara string, jumlah_kata int, keutuhan_teks double"
+    meta = views.metadata(spark, folder).select("case_id", "no_perkara", "jumlah_kata", "keutuhan_teks")
+    writers.csv(meta, path)
+    return readers.csv(spark, path, schema).fillna("", ["no_perkara"])
+
+
+@query
+def stored_queries(spark, folder):
+    """Query records written as JSON lines and read back (SNK-2, SRC-3)."""
+    path = _new_folder(spark)
+    writers.json(_records(spark, folder), path)
+    lists = ("expected_similar_case_ids", "top5_tfidf", "top5_bert")
+    df = readers.query_set(spark, path, lines=True)
+    return df.select(*(F.array_join(c, "|").alias(c) if c in lists else c for c in df.columns))
+
+
+@query
+def stored_tokens(spark, folder):
+    """Token lists written as JSON arrays and read back (SNK-2)."""
+    path = _new_folder(spark)
+    rows = views.documents(spark, folder).select(
+        F.col("doc_id").cast("string").alias("case_id"), T.tokens(F.col("text")).alias("tokens")
+    )
+    writers.token_lists(rows, path)
+    return readers.token_table(spark, path).select("case_id", F.array_join("tokens", " ").alias("tokens"))
+
+
+@query
+def stored_embeddings(spark, folder):
+    """Stored vectors of the cases that have one; none would be read were one missing (SRC-4)."""
+    path = _new_folder(spark)
+    rows = _vectors(spark, folder).select(F.col("vec_id").cast("string").alias("case_id"), "embedding")
+    rows.write.parquet(path)
+    some = table(spark, folder, "documents").select(F.col("doc_id").cast("string").alias("case_id"))
+    some = some.join(rows.select("case_id"), "case_id", "left_semi")
+    return readers.embeddings(spark, path, some).select("case_id", F.size("embedding").alias("n"))
+
+
+@query
+def stored_model(spark, folder):
+    """Naive Bayes predictions from the stored tables of a fitted model (SNK-4)."""
+    path = _new_folder(spark)
+    rows, split, vocab, vecs = _case_model(spark, folder)
+    train = vecs.filter("split = 'train'")
+    terms, priors = classify.nb_fit(train, vocab, staged(classify.scaling(train, vocab), "scale"))
+    tables = (vocab, split, features.classes(rows), terms, priors)
+    writers.fitted(path, dict(zip(readers.FITTED, tables)))
+    stored = readers.fitted(spark, path)
+    test = rows.join(stored["split"].filter("split = 'test'").select("case_id"), "case_id")
+    counts = vectors.term_counts(test, "case_id", "text_combined")
+    asked = vectors.vectors(counts, stored["vocabulary"], "case_id")
+    pred = classify.nb_predict(asked, stored["nb_terms"], stored["nb_priors"])
+    return pred.select("case_id", "pred_label", F.round("score", 4).alias("score"))
+
+
 # --- incremental -------------------------------------------------------------------------------------------
 
 

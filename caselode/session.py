@@ -1,11 +1,15 @@
 """Session helpers: a local session for tests, and tables written between stages."""
 
+import atexit
 import functools
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
 
+_staged = []
+
 
 def local_session(cores="8", memory="8g", name="caselode") -> SparkSession:
     spark = (
@@ -49,5 +53,24 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/caselode/{name}-{uuid.uuid4().hex}"
+    _staged.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def clear_staged(spark: SparkSession) -> None:
+    """Delete the tables this process has staged; results built on them can no longer be read."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    while _staged:
+        path = jvm.org.apache.hadoop.fs.Path(_staged.pop())
+        path.getFileSystem(conf).delete(path, True)
+
+
+@atexit.register
+def _clear_at_exit() -> None:
+    spark = SparkSession.getActiveSession()
+    if spark is not None and _staged:
+        try:
+            clear_staged(spark)
+        except (Py4JError, OSError):  # the session ended before the process
+            pass

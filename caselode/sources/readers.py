@@ -46,6 +46,11 @@ def token_lists(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def token_table(spark: SparkSession, path: str) -> DataFrame:
+    """(case_id, tokens) from lines of records, as ``writers.token_lists`` leaves them."""
+    return spark.read.schema(schemas.TOKENS).json(path)
+
+
 def csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """A CSV table under a fixed schema; quoted line ends and quotes are kept (SRC-2)."""
     return (
@@ -55,9 +60,9 @@ def csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     )
 
 
-def query_set(spark: SparkSession, path: str) -> DataFrame:
-    """Nested query records from a JSON array or from lines of records (SRC-3)."""
-    return spark.read.schema(schemas.QUERIES).option("multiLine", True).json(path)
+def query_set(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """Nested query records from JSON arrays, or from lines of one record each (SRC-3)."""
+    return spark.read.schema(schemas.QUERIES).option("multiLine", not lines).json(path)
 
 
 def embeddings(

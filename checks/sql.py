@@ -463,6 +463,15 @@ def _field(name, label):
 _FIELDS = ", ".join(_field(name, label) for name, label in P.PAGE_FIELDS)
 _JUDUL = _tagless("regexp_extract(tab, '(?is)<h2>(.*?)</h2>', 1)") + " AS judul"
 
+_ISSUES = """SELECT * FROM (
+        SELECT CASE WHEN n < 30 THEN 'valid_below_required' WHEN n < 90 THEN 'valid_below_target' END AS issue, n
+          FROM (SELECT count(*) FILTER (valid_min_200_kata) AS n FROM measured)
+        UNION ALL SELECT 'valid_without_text', count(*) FROM missing WHERE inventory = 'raw'
+        UNION ALL SELECT 'valid_without_tokens', count(*) FROM missing WHERE inventory = 'tokens'
+        UNION ALL SELECT 'duplicated_key_rows', count(*) FROM copies
+        UNION ALL SELECT 'retired_category_rows', count(*) FROM case_view WHERE contains(lower(jenis_perkara), 'senjata api'))
+        WHERE issue IS NOT NULL AND n > 0"""
+
 _SELECTS = {
     "text_clean": f"SELECT doc_id, {_clean('raw_text')} AS cleaned FROM case_view",
     "text_normalize": f"SELECT doc_id, {_normalise(_clean('raw_text'))} AS normalised FROM case_view",
@@ -490,9 +499,12 @@ _SELECTS = {
         {_tagless("regexp_extract(" + _visible("html") + ", '(?is)<title[^>]*>(.*?)</title>', 1)")} AS title FROM pages""",
     "page_ids": "SELECT page_id, case_id FROM detail_ids",
     "page_fields": f"SELECT case_id, {_JUDUL}, {_FIELDS} FROM detail_cells",
-    "page_record": f"""SELECT case_id, {_JUDUL}, 'Perdata - Perbuatan Melawan Hukum (PMH)' AS jenis_perkara,
-        'PN Bandung' AS pengadilan, url AS url_detail, coalesce(list_filter({_all(_visible('html'), _HREF, 1)},
-        lambda t: contains(t, '/pdf/'))[1], '') AS url_pdf, {_FIELDS} FROM detail_cells""",
+    "page_record": f"""SELECT c.case_id, c.judul, 'Perdata - Perbuatan Melawan Hukum (PMH)' AS jenis_perkara, 'PN Bandung' AS pengadilan,
+        c.url_detail, c.url_pdf, coalesce(n.jumlah_kata, 0) AS jumlah_kata, coalesce(CAST(len({_tokens('n.' + _N)}) AS INTEGER), 0) AS jumlah_token,
+        coalesce(n.keutuhan_teks, 0) AS keutuhan_teks, coalesce(n.valid_min_200_kata, false) AS valid_min_200_kata,
+        {", ".join("c." + name for name, _ in P.PAGE_FIELDS)} FROM (SELECT page_id, case_id, {_JUDUL}, url AS url_detail,
+        coalesce(list_filter({_all(_visible('html'), _HREF, 1)}, lambda t: contains(t, '/pdf/'))[1], '') AS url_pdf, {_FIELDS}
+        FROM detail_cells) c LEFT JOIN normal n ON n.doc_id = c.page_id""",
     "qa_counts": """SELECT n_total, n_valid, n_total - n_valid AS n_invalid, CASE WHEN n_valid >= 90 THEN 'OK'
         WHEN n_valid >= 30 THEN 'WARN' ELSE 'FAIL' END AS status FROM (SELECT count(*) AS n_total,
         count(*) FILTER (valid_min_200_kata) AS n_valid FROM measured)""",
@@ -517,14 +529,9 @@ _SELECTS = {
         CASE WHEN r.case_id IS NOT NULL THEN replace(substring(normalised, 1, 300), chr(10), ' ') END AS preview,
         r.case_id IS NULL AS text_missing FROM (SELECT * FROM normal WHERE valid_min_200_kata
         ORDER BY md5(case_id || ':42'), case_id LIMIT 5) s LEFT JOIN raw_ids r ON s.case_id = r.case_id""",
-    "qa_issues": """SELECT * FROM (
-        SELECT CASE WHEN n < 30 THEN 'valid_below_required' WHEN n < 90 THEN 'valid_below_target' END AS issue, n
-          FROM (SELECT count(*) FILTER (valid_min_200_kata) AS n FROM measured)
-        UNION ALL SELECT 'valid_without_text', count(*) FROM missing WHERE inventory = 'raw'
-        UNION ALL SELECT 'valid_without_tokens', count(*) FROM missing WHERE inventory = 'tokens'
-        UNION ALL SELECT 'duplicated_key_rows', count(*) FROM copies
-        UNION ALL SELECT 'retired_category_rows', count(*) FROM case_view WHERE contains(lower(jenis_perkara), 'senjata api'))
-        WHERE issue IS NOT NULL AND n > 0""",
+    "qa_issues": _ISSUES,
+    "qa_verdict": f"""SELECT count(*) AS n_issues, CASE WHEN count(*) = 0 THEN 'READY' ELSE 'NEEDS_ATTENTION' END AS verdict
+        FROM ({_ISSUES})""",
     "qa_flags": """SELECT case_id, string_agg(reason, ';' ORDER BY o) AS alasan_perlu_dicek FROM (
         SELECT case_id, 0 AS o, 'file_raw_hilang' AS reason FROM missing WHERE inventory = 'raw'
         UNION SELECT case_id, 1, 'file_token_hilang' FROM missing WHERE inventory = 'tokens'
@@ -588,6 +595,12 @@ _SELECTS = {
         SELECT 'BERT Retrieval', round_even(avg(CASE WHEN hit_bert THEN 1 ELSE 0 END), 4), count(*) FILTER (hit_bert), count(*) FROM hits""",
     "model_comparison": "SELECT * FROM comparison",
     "f1_series": "SELECT model, coalesce(f1, 0) AS f1 FROM comparison",
+    "stored_csv": "SELECT case_id, no_perkara, jumlah_kata, keutuhan_teks FROM measured",
+    "stored_queries": "SELECT * FROM records",
+    "stored_tokens": f"SELECT CAST(doc_id AS VARCHAR) AS case_id, coalesce(array_to_string({_tokens('text')}, ' '), '') AS tokens FROM documents",
+    "stored_embeddings": """SELECT CAST(vec_id AS VARCHAR) AS case_id, CAST(len(embedding) AS INTEGER) AS n FROM embeddings
+        WHERE vec_id IN (SELECT doc_id FROM documents)""",
+    "stored_model": "SELECT case_id, pred_label, round(score, 4) AS score FROM pred",
     "incremental_new": "SELECT doc_id, source FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)",
 }
 

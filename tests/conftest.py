@@ -6,13 +6,14 @@ import pytest
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
-from caselode.session import local_session  # noqa: E402
+from caselode.session import clear_staged, local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
 def spark():
     session = local_session(4, name="tests")
     yield session
+    clear_staged(session)
     session.stop()
 
 

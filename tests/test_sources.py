@@ -35,9 +35,16 @@ def test_query_records_as_lines_and_as_array(spark, tmp_path):
     (tmp_path / "a.json").write_text(json.dumps([record], ensure_ascii=False))
     df = readers.query_set(spark, str(tmp_path / "a.json"))
     assert df.first().asDict() == record
-    writers.json(df, str(tmp_path / "out"))
+    writers.json(df.union(df).coalesce(1), str(tmp_path / "out"))
     assert "é" in next((tmp_path / "out").glob("part-*.json")).read_text()
-    assert readers.query_set(spark, str(tmp_path / "out")).first().asDict() == record
+    assert [r.asDict() for r in readers.query_set(spark, str(tmp_path / "out"), lines=True).collect()] == [record] * 2
+
+
+def test_token_lists_round_trip(spark, tmp_path):
+    rows = [("a", ["satu", "é", '"']), ("b", [])]
+    writers.token_lists(spark.createDataFrame(rows, schemas.TOKENS), str(tmp_path / "t"))
+    got = readers.token_table(spark, str(tmp_path / "t")).orderBy("case_id").collect()
+    assert [(r.case_id, r.tokens) for r in got] == rows
 
 
 def test_embeddings_only_when_complete(spark, tmp_path):
