@@ -23,6 +23,7 @@ def map_batches(df: DataFrame, function, schema: str | T.StructType) -> DataFram
 
     def run(batches):
         for batch in batches:
+            pa.default_memory_pool().release_unused()  # of the batch before
             if batch.num_rows:
                 for columns in function(batch):
                     yield pa.RecordBatch.from_arrays(

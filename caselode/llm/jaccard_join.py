@@ -134,9 +134,12 @@ def _frequent(rows: DataFrame):
         keys = []
         for _, _, data, borders in w.pieces(batch.column("text")):
             keys.append(shingle_sets(data, borders)[0])
-        key, n = np.unique(np.concatenate(keys), return_counts=True)
+        keys = np.concatenate(keys)
+        keys.sort()
+        first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+        n = np.diff(first, append=len(keys))
         often = n >= SEEN_IN_BATCH
-        yield {"key": key[often].view(np.int64), "n": n[often]}
+        yield {"key": keys[first[often]].view(np.int64), "n": n[often]}
 
     counted = map_batches(rows.select("text"), count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
     top = counted.filter(F.col("n") >= FREQUENT).orderBy(F.desc("n"), "key").limit(ORDERED).collect()

@@ -27,7 +27,7 @@ BLOCK_IDS, LEAST_BLOCK_IDS, SEGMENT_IDS = 4096, 512, range_coder.LANES * 4096
 #: Distinct pieces of text whose ids a worker keeps, about 60 MB; beyond that it starts anew.
 KEPT_PIECES = 1_000_000
 #: Bytes of text that are encoded together.
-TEXT_BYTES = 4 << 20
+TEXT_BYTES = 2 << 20
 
 _HEAD = struct.Struct("<8sQI")  # magic, ids, blocks
 _BLOCK = struct.Struct("<III")  # ids, bytes, checksum of the ids

@@ -1,6 +1,6 @@
 """Words and windows of many texts at once, as numpy arrays over the bytes of an Arrow column.
 
-Texts are worked on in pieces of about a megabyte, whole documents each, so memory stays bounded
+Texts are worked on in pieces of about 256 kB, whole documents each, so memory stays bounded
 by the longest text. A word or window is known by a 64-bit hash: two unequal ones agree with a
 chance of 2**-64.
 """
@@ -8,7 +8,7 @@ chance of 2**-64.
 import numpy as np
 import pyarrow as pa
 
-PIECE = 1 << 20
+PIECE = 1 << 18
 SPACES = (0x20, *range(0x09, 0x0E))
 
 #: Fixed odd multipliers and per-byte values; the hash must agree between executors and runs.
