@@ -17,7 +17,7 @@ def combined_text(columns=FEATURE_COLUMNS) -> Column:
 
 def case_features(cases: DataFrame) -> DataFrame:
     return cases.select(
-        "case_id", "no_perkara", "jumlah_kata", "ringkasan_fakta", "amar_putusan",
+        "case_id", "no_perkara", "jumlah_kata", "ringkasan_fakta", "amar_putusan", "text_full",
         combined_text().alias("text_combined"),
         merged_label(F.col("decision_type")).alias("label"),
     )

@@ -31,7 +31,7 @@ def _ragged(column):
     """Flat numbers and row offsets of a list column."""
     lists = column.combine_chunks()
     if isinstance(lists, pa.ChunkedArray):
-        lists = lists.chunk(0)
+        lists = pa.concat_arrays(lists.chunks) if lists.num_chunks else pa.array([], lists.type)
     offsets = lists.offsets.to_numpy()
     return lists.flatten().to_numpy(zero_copy_only=False), offsets - offsets[0]
 
@@ -185,9 +185,9 @@ def sampled_queries(
     test: DataFrame, n: int = P.N_QUERIES, seed: int = P.SEED,
     text=("ringkasan_fakta", "text_full"), chars: int = P.QUERY_CHARS,
 ) -> DataFrame:
-    """n test cases in seeded hash order, with the text to ask with (RET-6)."""
+    """n test cases in seeded hash order, with the first text that is not blank to ask with (RET-6)."""
     chosen = F.lit("")
-    for column in reversed([c for c in text if c in test.columns]):
+    for column in reversed(text):
         chosen = F.when(blank_to_empty(F.col(column)) != "", F.col(column)).otherwise(chosen)
     return (
         test.orderBy(_seeded("case_id", seed), "case_id")

@@ -293,7 +293,7 @@ _CTES = {
         CAST(len({_tokens(_N)}) AS INTEGER) AS jumlah_token, replace(substring(normalised, 1, 5000), chr(10), ' ') AS text_full,
         'data/raw/' || p.case_id || '.txt' AS raw_file_path
         FROM parties p JOIN statutes s ON p.case_id = s.case_id""",
-    "features": f"""SELECT case_id, no_perkara, jumlah_kata, ringkasan_fakta, amar_putusan, {_merged('decision_type')} AS label,
+    "features": f"""SELECT case_id, no_perkara, jumlah_kata, ringkasan_fakta, amar_putusan, text_full, {_merged('decision_type')} AS label,
         {_strip("lower(ringkasan_fakta || ' ' || argumen_hukum || ' ' || pasal || ' ' || amar_putusan)")} AS text_combined FROM cases""",
     "labelled": f"""SELECT doc_id, case_id, amar, {_merged('d')} AS label FROM (
         SELECT *, {_decision('lower(amar)')} AS d FROM case_view)""",
@@ -329,8 +329,8 @@ _CTES = {
     "test_weights": "SELECT w.* FROM ct_weights w JOIN case_test t ON w.case_id = t.case_id",
     **_dots("cc", "test_weights", "case_id", "ct_weights", "case_id"),
     **_ranked("near_cases", "case_test", "case_id", "features", "case_id", "cc", same=False),
-    "sampled": """SELECT 'q_' || substring(f.case_id, 1, 20) AS query_id, f.case_id, f.no_perkara, t.label,
-        substring(f.ringkasan_fakta, 1, 500) AS query_text FROM features f JOIN case_test t ON f.case_id = t.case_id
+    "sampled": f"""SELECT 'q_' || substring(f.case_id, 1, 20) AS query_id, f.case_id, f.no_perkara, t.label,
+        substring(CASE WHEN {_strip('f.ringkasan_fakta')} <> '' THEN f.ringkasan_fakta ELSE f.text_full END, 1, 500) AS query_text FROM features f JOIN case_test t ON f.case_id = t.case_id
         ORDER BY md5(f.case_id || ':42'), f.case_id LIMIT 10""",
     "expected": """SELECT case_id, coalesce(string_agg(other, '|' ORDER BY other), '') AS expected FROM (
         SELECT s.case_id, t.case_id AS other, row_number() OVER (PARTITION BY s.case_id ORDER BY t.case_id) AS o

@@ -292,3 +292,12 @@ def test_hit_rates_and_comparison(spark):
     table = evaluate.model_comparison([a], [b])
     assert {r.model: r.type for r in table.collect()} == {"m": "classification", "r": "retrieval"}
     assert {r.model: r.f1 for r in evaluate.f1_series(table).collect()} == {"m": 0.5, "r": 0.0}
+
+
+def test_blank_facts_ask_with_the_full_text(spark):
+    rows = [("a", "x", "facts", "whole"), ("b", "x", " \n", "whole"), ("c", "x", None, None)]
+    test = spark.createDataFrame(rows, "case_id string, label string, ringkasan_fakta string, text_full string")
+    got = {r.case_id: r.query_text for r in knn.sampled_queries(test).collect()}
+    assert got == {"a": "facts", "b": "whole", "c": ""}
+    with pytest.raises(Exception, match="text_full"):
+        knn.sampled_queries(test.drop("text_full")).collect()
