@@ -1,5 +1,7 @@
 """What the operators share: reading a table, and passing Arrow batches through a function."""
 
+import ctypes
+
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +18,15 @@ def id_and_text(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return df.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
 
 
+def give_back_memory() -> None:
+    """Return what a worker has freed to the system; workers live on from stage to stage."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:  # another C library
+        pass
+
+
 def map_batches(df: DataFrame, function, schema: str | T.StructType) -> DataFrame:
     """`function` takes a record batch and yields dicts of columns in the order of `schema`."""
     fields = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
@@ -23,7 +34,7 @@ def map_batches(df: DataFrame, function, schema: str | T.StructType) -> DataFram
 
     def run(batches):
         for batch in batches:
-            pa.default_memory_pool().release_unused()  # of the batch before
+            give_back_memory()  # of the batch before
             if batch.num_rows:
                 for columns in function(batch):
                     yield pa.RecordBatch.from_arrays(
@@ -35,5 +46,6 @@ def map_batches(df: DataFrame, function, schema: str | T.StructType) -> DataFram
                         ],
                         schema=arrow,
                     )
+        give_back_memory()
 
     return df.mapInArrow(run, fields)

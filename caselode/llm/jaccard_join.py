@@ -35,8 +35,9 @@ from .components import components
 
 WIDTH = 4
 PERCENT = 85
-#: A shingle seen in this many documents of one batch is counted, and is frequent from the second on.
-SEEN_IN_BATCH, FREQUENT = 3, 16
+#: Shingles that are counted together; one that this many of their documents have is passed on, and is
+#: frequent from the third number on.
+COUNTED, SEEN_IN_BATCH, FREQUENT = 1_000_000, 3, 16
 #: The most frequent shingles go last in the order. The order decides on cost only, never on the
 #: result, so their table has a fixed size: 2**17 hashes, one megabyte.
 ORDERED = 1 << 17
@@ -131,15 +132,20 @@ def _frequent(rows: DataFrame):
     """Sorted hashes of the most frequent shingles, and their places from the rarest to the most frequent."""
 
     def count(batch):
-        keys = []
-        for _, _, data, borders in w.pieces(batch.column("text")):
-            keys.append(shingle_sets(data, borders)[0])
-        keys = np.concatenate(keys)
+        held, n = [], 0
+        for _, stop, data, borders in w.pieces(batch.column("text")):
+            held.append(shingle_sets(data, borders)[0])
+            n += len(held[-1])
+            if n >= COUNTED or stop == batch.num_rows:
+                yield counted_keys(np.concatenate(held))
+                held, n = [], 0
+
+    def counted_keys(keys):
         keys.sort()
         first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
         n = np.diff(first, append=len(keys))
         often = n >= SEEN_IN_BATCH
-        yield {"key": keys[first[often]].view(np.int64), "n": n[often]}
+        return {"key": keys[first[often]].view(np.int64), "n": n[often]}
 
     counted = map_batches(rows.select("text"), count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
     top = counted.filter(F.col("n") >= FREQUENT).orderBy(F.desc("n"), "key").limit(ORDERED).collect()
