@@ -37,7 +37,7 @@ WIDTH = 4
 PERCENT = 85
 #: Shingles that are counted together; one that this many of their documents have is passed on, and is
 #: frequent from the third number on.
-COUNTED, SEEN_IN_BATCH, FREQUENT = 1_000_000, 3, 16
+COUNTED, SEEN_IN_BATCH, FREQUENT = 2_000_000, 2, 16
 #: The most frequent shingles go last in the order. The order decides on cost only, never on the
 #: result, so their table has a fixed size: 2**17 hashes, one megabyte.
 ORDERED = 1 << 17
