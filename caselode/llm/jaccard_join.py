@@ -155,7 +155,7 @@ def _frequent(rows: DataFrame):
 
 
 def _described(rows: DataFrame, frequent) -> DataFrame:
-    """(id, mark, n, c, shingles, bits, wide): set size, class, short-list shingles and bits of every row."""
+    """(id, mark, text_mark, n, c, shingles, bits, wide): set size, class, short-list shingles and bits of every row."""
     shared = rows.sparkSession.sparkContext.broadcast(frequent)
 
     def describe(batch):
@@ -166,6 +166,7 @@ def _described(rows: DataFrame, frequent) -> DataFrame:
             yield {
                 "id": batch.column("id")[a:b],
                 "mark": batch.column("mark")[a:b],
+                "text_mark": batch.column("text_mark")[a:b],
                 "n": np.diff(first),
                 "c": set_class(keys, first),
                 "shingles": pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(short.view(np.int64))),
@@ -174,8 +175,8 @@ def _described(rows: DataFrame, frequent) -> DataFrame:
             }
 
     id_type = rows.schema["id"].dataType.simpleString()
-    schema = f"id {id_type}, mark long, n int, c long, shingles array<long>, bits binary, wide binary"
-    return map_batches(_marked(rows), describe, schema)
+    schema = f"id {id_type}, mark long, text_mark long, n int, c long, shingles array<long>, bits binary, wide binary"
+    return map_batches(_marked(rows).withColumn("text_mark", F.xxhash64("text")), describe, schema)
 
 
 def _marked(rows: DataFrame) -> DataFrame:
@@ -453,7 +454,13 @@ def jaccard_join(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame
     component_id is its id. A null id is no component's name unless all its members lack one.
     Rows that repeat give the same row each. An empty table gives no rows; other columns are not read.
     """
-    rows = id_and_text(docs, id_col, text_col)
+    return _with_components(id_and_text(docs, id_col, text_col)).select(
+        F.col("id").alias(id_col), F.col("n").cast("long").alias("n_shingles"), "component_id"
+    )
+
+
+def _with_components(rows: DataFrame) -> DataFrame:
+    """(id, text_mark, n, root, component_id) of every row; rows without shingles have no root."""
     described = staged(_described(rows, _frequent(rows)), "described")
     some = described.filter("n > 0")
     classes = staged(some.groupBy("c").agg(F.min(F.struct(F.isnull("id"), "id", "mark")).alias("x")).select("c", "x.id", "x.mark"), "classes")
@@ -469,11 +476,11 @@ def jaccard_join(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame
         "c", "id", F.coalesce("root", "c").alias("root")
     )
     least = named.groupBy("root").agg(F.min("id").alias("component_id"))
-    named = named.join(least, "root").select("c", "component_id")
+    named = named.join(least, "root").select("c", "root", "component_id")
+    alone = described.filter("n = 0").select("id", "text_mark", "n", F.lit(None).cast("long"), "id")
     return (
-        some.select("id", "n", "c").join(named, "c").select("id", "n", "component_id")
-        .union(described.filter("n = 0").select("id", "n", "id"))
-        .select(F.col("id").alias(id_col), F.col("n").cast("long").alias("n_shingles"), "component_id")
+        some.select("id", "text_mark", "n", "c").join(named, "c")
+        .select("id", "text_mark", "n", "root", "component_id").union(alone)
     )
 
 
@@ -481,20 +488,31 @@ def keep_one(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
     """The rows of `docs`, with all columns, of one document of each component: that with its smallest id.
 
     Documents without shingles all stay. Rows that repeat an id are one document and leave one row,
-    if they are in one component; of a component without any id all rows stay.
+    if they are in one component; of a component without any id all rows stay. Every row is judged by
+    its own text: an id with texts in several components has a row in each of which it is the smallest.
     """
-    found = staged(jaccard_join(docs, id_col, text_col), "components").select(
-        F.col(f"`{id_col}`").alias("id"), "n_shingles", "component_id"
+    found = staged(_with_components(id_and_text(docs, id_col, text_col)), "components")
+    # of a component's smallest id, one text; what has no shingles or no id in its component is not judged
+    judged = found.filter("n > 0 and component_id is not null")
+    texts = judged.filter("id = component_id")
+    chosen = texts.groupBy("root").agg(F.min("text_mark").alias("chosen"))
+    stays = F.col("id").eqNullSafe(F.col("component_id")) & (F.col("text_mark") == F.col("chosen"))
+    gone = (
+        judged.join(_grows(chosen), "root").filter(~stays)
+        .select(F.col("id").alias("gone"), F.col("text_mark").alias("gone_mark")).distinct()
     )
-    n, n_ids = found.agg(F.count("id"), F.count_distinct("id")).first()
     names = {c: f"c{i}" for i, c in enumerate(docs.columns)}
     packed = docs.select(*[F.col(f"`{c}`").alias(x) for c, x in names.items()])
-    key = F.col(names[id_col])
-    gone = found.filter(~F.col("id").eqNullSafe(F.col("component_id"))).select(F.col("id").alias("gone")).distinct()
-    kept = packed.join(gone.hint("shuffle_hash"), key.eqNullSafe(F.col("gone")), "left_anti")
-    if n_ids < n:  # some id repeats: one row of each text that has words
+    key, mark = F.col(names[id_col]), F.xxhash64(names[text_col])
+    kept = packed.join(
+        gone.hint("shuffle_hash"), key.eqNullSafe(F.col("gone")) & (mark == F.col("gone_mark")), "left_anti"
+    )
+    n, n_texts = texts.agg(F.count("*"), F.count_distinct("id", "text_mark")).first()
+    if n_texts < n:  # some id repeats with the same text: one row, if the text has words
         blank = F.coalesce(F.length(F.regexp_replace(F.col(names[text_col]), "[\\x20\\x09-\\x0D]", "")), F.lit(0)) == 0
-        own = Window.partitionBy(key).orderBy(names[text_col], F.to_json(F.struct(*names.values())))
+        whole, free = F.to_json(F.struct(*names.values())), blank | key.isNull()
+        # rows that stay anyway are not brought together
+        own = Window.partitionBy(key, mark, F.when(free, F.xxhash64(whole))).orderBy(whole)
         numbered = kept.withColumn("_n", F.row_number().over(own))
-        kept = numbered.filter((F.col("_n") == 1) | blank | key.isNull()).drop("_n")
+        kept = numbered.filter((F.col("_n") == 1) | free).drop("_n")
     return kept.select(*[F.col(x).alias(c) for c, x in names.items()])

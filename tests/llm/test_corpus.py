@@ -99,6 +99,19 @@ def test_one_of_each_component_stays(edge_docs, no_docs):
     assert jaccard_join.keep_one(no_docs).count() == 0
 
 
+def test_rows_without_id_and_texts_of_one_id_are_judged_one_by_one(spark):
+    prose = {k: " ".join(f"{k}{i}" for i in range(40)) for k in "abcdef"}
+    rows = [
+        (1, prose["a"]), (None, prose["a"] + " x"), (None, prose["b"]), (None, None), (None, " "), (None, prose["c"]), (None, prose["c"]),
+        (7, prose["a"]), (7, prose["d"]), (8, prose["e"]), (8, prose["f"]), (8, prose["f"]), (8, prose["f"] + " x"), (9, prose["f"]),
+    ]
+    docs = spark.createDataFrame([(*r, k) for k, r in enumerate(rows)], "doc_id long, text string, k int").repartition(3)
+    kept = sorted(r.k for r in jaccard_join.keep_one(docs).collect())
+    # only the null-id copy of 1 goes; 7 stays with its own text; 8 has one row in each of two components
+    assert [k for k in kept if k not in (10, 11, 12)] == [0, 2, 3, 4, 5, 6, 8, 9]
+    assert len(kept) == 9
+
+
 def test_divide_skip_finds_exactly_the_links():
     rng = np.random.default_rng(4)
     for _ in range(300):
