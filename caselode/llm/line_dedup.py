@@ -44,29 +44,45 @@ def line_windows(data, borders, width=WIDTH):
 def line_dedup(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
     """One row per row of `docs`: id, n_lines, n_removed, and the text without covered lines.
 
-    A window's first occurrence is the one with the smallest (id, line). Lines are counted if they
-    have a word; others stay where they are. A null text has no lines and stays null. The id names
-    a document: rows that repeat an id with the same text are treated alike, and so are rows with
-    a null id. An empty table gives no rows. Other columns of `docs` are not read.
+    A window's first occurrence is the one with the smallest (id, hash of the text, line). Lines are
+    counted if they have a word; others stay where they are. A null text has no lines and stays null.
+    The id and the text name a document: rows that repeat an id with the same text are treated alike.
+    Rows with a null id are documents of their own: of those with the same text all but one are copies
+    and lose every line. An empty table gives no rows. Other columns of `docs` are not read.
     """
 
     def measure(batch):
         for a, b, data, borders in w.pieces(batch.column("text")):
             key, text, line = line_windows(data, borders)
-            yield {"h": key.view(np.int64), "id": batch.column("id")[a:b].take(pa.array(text)), "line": line}
+            own = lambda name: batch.column(name)[a:b].take(pa.array(text))  # noqa: E731, B023
+            yield {"h": key.view(np.int64), "id": own("id"), "mark": own("mark"), "line": line}
 
-    rows = id_and_text(docs, id_col, text_col)
+    rows = id_and_text(docs, id_col, text_col).withColumn("mark", F.xxhash64("text"))
     id_type = docs.schema[id_col].dataType.simpleString()
-    found = staged(map_batches(rows, measure, f"h long, id {id_type}, line int"), "line-windows")
-    place = F.struct("id", "line")
+    found = staged(map_batches(rows, measure, f"h long, id {id_type}, mark long, line int"), "line-windows")
+    place = F.struct("id", "mark", "line")
     repeated = (
         found.groupBy("h").agg(F.min(place).alias("first"), F.max(place).alias("last"))
         .filter(~F.col("first").eqNullSafe(F.col("last")))
     )
-    later = found.join(repeated, "h").filter(~F.struct("id", "line").eqNullSafe(F.col("first")))
-    lines = later.groupBy("id").agg(F.sort_array(F.collect_set("line")).alias("lines"))
+    later = found.join(repeated, "h").filter(~place.eqNullSafe(F.col("first")))
+    lines = later.groupBy("id", "mark").agg(F.sort_array(F.collect_set("line")).alias("lines"))
+    # texts that several rows without an id have; a text's windows begin with its line 0
+    copied = staged(
+        found.filter("id is null and line = 0").groupBy("mark").count().filter("count > 1").select("mark"), "copied-texts"
+    )
+    copies = None
+    if not copied.isEmpty():
+        again = F.col("id").isNull()
+        kept = rows.join(copied.hint("shuffle_hash"), "mark", "left_anti").select("id", "text", "mark")
+        copies = rows.filter(again).join(copied.hint("shuffle_hash"), "mark").groupBy("mark").agg(
+            F.first("text").alias("text"), F.count("*").alias("copies")
+        ).select(F.lit(None).cast(id_type).alias("id"), "text", "mark", "copies")
+        named = rows.filter(~again).join(copied.hint("shuffle_hash"), "mark", "left_semi")
+        rows = kept.union(named.select("id", "text", "mark")).union(copies.drop("copies"))
     joined = rows.alias("d").join(
-        lines.hint("shuffle_hash").alias("l"), F.col("d.id").eqNullSafe(F.col("l.id")), "left"
+        lines.hint("shuffle_hash").alias("l"),
+        F.col("d.id").eqNullSafe(F.col("l.id")) & (F.col("d.mark") == F.col("l.mark")), "left",
     ).select("d.id", "d.text", "l.lines")
 
     def cut(batch):
@@ -88,7 +104,26 @@ def line_dedup(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
                 part = pa.array(texts, column.type)
             yield {"id": batch.column("id")[a:b], "n_lines": np.diff(first), "n_removed": removed, "text": part}
 
-    out = map_batches(joined, cut, f"id {id_type}, n_lines long, n_removed long, text string")
+    schema = f"id {id_type}, n_lines long, n_removed long, text string"
+    out = map_batches(joined, cut, schema)
+    if copies is not None:
+        # what is left of a copy are its lines without words, so only they are repeated
+        def without_lines(batch):
+            for a, b, data, borders in w.pieces(batch.column("text")):
+                words = w.Words(data, borders, _TABLE)
+                start, end, text = words.lines()
+                first = np.searchsorted(text, np.arange(len(borders)))
+                of = lambda t: slice(first[t], first[t + 1])  # noqa: E731, B023
+                left = [_without(data, borders[t], borders[t + 1], start[of(t)], end[of(t)]) for t in range(b - a)]
+                n = np.diff(first)
+                yield {
+                    "id": batch.column("id")[a:b], "n_lines": n, "n_removed": n, "text": left,
+                    "copies": batch.column("copies")[a:b],
+                }
+
+        gone = map_batches(copies, without_lines, schema + ", copies long")
+        gone = gone.withColumn("copy", F.explode(F.sequence(F.lit(2).cast("long"), "copies"))).drop("copies", "copy")
+        out = out.union(gone)
     return out.withColumnsRenamed({"id": id_col, "text": text_col})
 
 

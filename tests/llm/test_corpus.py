@@ -253,6 +253,26 @@ def test_lines_equal_brute_force(spark, folder, edge_docs, source):
     assert line_dedup.line_dedup(docs).count() == docs.count()
 
 
+def test_lines_of_rows_without_id_and_of_one_id_are_their_own(spark):
+    rng = random.Random(12)
+    texts = ["\n".join(rng.choice(["a", "b", "c", " ", "d e"]) for _ in range(rng.randrange(0, 12))) for _ in range(60)]
+    texts += ["\n".join(f"{k}{i}" for i in range(5)) for k in ("once ", "also once ")] + ["x\n \ny\nz"] * 3 + [None, None]
+    rows = [(None if k % 3 else k // 6, t) for k, t in enumerate(texts)] + [(70, "x\n \ny\nz\nown"), (70, "p\nq\nr"), (70, "p\nq\nr")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    marked = [tuple(r) for r in docs.select("doc_id", F.xxhash64("text").alias("mark"), "text").collect()]
+    order = sorted(marked, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    # rows that repeat an id with the same text are one document; each row without an id is one
+    names, own = {}, []
+    for k, r in enumerate(order):
+        names[k] = names[k - 1] if k and r[0] is not None and r == order[k - 1] else k
+        own.append(names[k])
+    plain = {k: found for k, *found in plain_dedup([(k, order[k][2]) for k in sorted(set(own))])}
+    want = collections.Counter((order[k][0], *plain[own[k]]) for k in range(len(order)))
+    assert collections.Counter(map(tuple, line_dedup.line_dedup(docs).collect())) == want
+    kept = [r.text for r in line_dedup.line_dedup(docs).filter("n_removed = 0").collect()]
+    assert texts[60] in kept and texts[61] in kept
+
+
 def test_no_lines(no_docs):
     assert line_dedup.line_dedup(no_docs).count() == 0
 
