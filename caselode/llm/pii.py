@@ -6,10 +6,11 @@ by features of the whole span and of its borders, and picks the best segmentatio
 programming over entities of bounded length. Base spans are fixed segments of it; what it finds besides,
 such as a card number inside a longer run of digits, is added.
 
-Its weights are trained on documents of the corpus, with the base spans as labels.
+Its weights are trained on documents of the corpus, drawn by the kinds of their base spans, which are the labels.
 """
 
 import math
+import pickle
 import re
 
 import numpy as np
@@ -17,12 +18,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from caselode.session import staged
+
 from . import words as w
 from .common import id_and_text, map_batches
 
 KINDS = ("email", "ip", "card", "phone")
-#: Documents with digits or @ that the field is trained on, at most; those with the smallest hash of the id.
-TRAIN_DOCS, SAMPLED_DOCS = 400, 20_000
+#: Documents that the field is trained on, at most: of each kind those with a base span of it, and those with
+#: digits or @ and no base span; the ones with the smallest hash of id and text.
+KIND_DOCS, SPANLESS_DOCS = 100, 200
+#: Of one of them, zones that are trained on (with a span, and without), and tokens of a zone.
+TRAIN_ZONES, ZONE_TOKENS = 16, 256
 #: Tokens of one entity, and tokens on either side of a digit or @ that belong to its zone.
 MOST_TOKENS, MARGIN = 16, 2
 #: How much better than outside an added span must score.
@@ -320,30 +326,36 @@ def _in_zone(tokens, spans):
             yield i, j, kind
 
 
-def train(texts) -> Field | None:
-    """A field fitted to texts whose base spans are the labels; None if they have no span."""
-    examples, n_gold = [], 0
-    for text in texts:
-        spans = base_spans(text)
-        for tokens in zones(text):
-            found = candidates(text, tokens)
-            if not found:
-                continue
-            number = {(i, j, kind): k for k, (i, j, kind, _) in enumerate(found)}
-            gold, at = [], 0
-            for key in sorted(_in_zone(tokens, spans)):
-                if key in number and key[0] >= at:  # spans of two kinds may overlap: the first counts
-                    gold.append(number[key])
-                    at = key[1]
-            n_gold += len(gold)
-            examples.append((len(tokens), found, gold))
-    if not n_gold:
-        return None
+def examples(text: str) -> list:
+    """(number of tokens, candidates, gold candidates) of a bounded number of a text's zones, the first ones."""
+    spans, out, room = base_spans(text), [], [TRAIN_ZONES, TRAIN_ZONES]
+    for zone in zones(text):
+        tokens = zone[:ZONE_TOKENS]
+        found = candidates(text, tokens)
+        if not found:
+            continue
+        number = {(i, j, kind): k for k, (i, j, kind, _) in enumerate(found)}
+        gold, at = [], 0
+        whole = [s for s in spans if tokens[0][0] <= s[0] and s[2] <= tokens[-1][1]]
+        for key in sorted(_in_zone(tokens, whole)):
+            if key in number and key[0] >= at:  # spans of two kinds may overlap: the first counts
+                gold.append(number[key])
+                at = key[1]
+        if room[bool(gold)]:
+            room[bool(gold)] -= 1
+            out.append((len(tokens), found, gold))
+        if not any(room):
+            break
+    return out
+
+
+def train(found) -> Field:
+    """A field fitted to examples; without any it keeps the weights that it has before training."""
     field = Field()
-    for _ in range(EPOCHS):
+    for _ in range(EPOCHS if found else 0):
         grad = DECAY * (Field.prior - field.weights)
-        for example in examples:
-            grad = grad + field.gradient(*example)[1] / len(examples) * 10
+        for example in found:
+            grad = grad + field.gradient(*example)[1] / len(found) * 10
         field.weights = field.weights + RATE * grad / max(1.0, np.abs(grad).max() / 5)
     return field
 
@@ -368,15 +380,46 @@ def spans_text(spans) -> str:
     return ",".join(f"{KINDS[k]}:{a}:{b}" for a, k, b in sorted(spans))
 
 
+def _marked_texts(column):
+    """Positions of the texts with a digit or @."""
+    marks = np.zeros(256, bool)
+    marks[[0x40, *range(0x30, 0x3A)]] = True
+    for a, _, data, borders in w.pieces(column):
+        yield from (a + np.flatnonzero(w.per_text(marks[data], borders))).tolist()
+
+
 def trained_field(docs: DataFrame, id_col="doc_id", text_col="text") -> Field | None:
-    """A field trained on a bounded sample of the corpus."""
+    """A field trained on a bounded number of documents of the corpus, drawn alike at every size.
+
+    All documents are searched for base spans, so kinds that are rare are in the draw. Only the features of
+    a bounded number of zones reach the driver. If no document has a span, the field is the prior one;
+    None if no document has a digit or @, so that there is nothing to find.
+    """
     rows = id_and_text(docs, id_col, text_col)
-    n = rows.count()
-    order = F.xxhash64("id", F.lit("pii"))
-    if n > SAMPLED_DOCS:
-        rows = rows.filter(F.pmod(order, F.lit(1_000_000)) < int(1e6 * SAMPLED_DOCS / n) + 1)
-    some = rows.filter(F.col("text").rlike("[0-9@]")).orderBy(order, "text").limit(TRAIN_DOCS)
-    return train([r["text"] for r in some.select("text").collect()])
+    rows = rows.select(F.xxhash64("id", "text", F.lit("pii")).alias("key"), "text")
+
+    def kinds(batch):
+        column = batch.column("text")
+        at = list(_marked_texts(column))
+        masks = [sum({1 << kind for _, kind, _ in base_spans(column[t].as_py())}) for t in at]
+        yield {"key": batch.column("key").take(pa.array(at, pa.int64())), "kinds": masks}
+
+    marked = staged(map_batches(rows, kinds, "key long, kinds int").distinct(), "pii-kinds")
+    draws = [(F.col("kinds").bitwiseAND(1 << k) != 0, KIND_DOCS) for k in range(len(KINDS))]
+    drawn = set()
+    for wanted, most in [*draws, (F.col("kinds") == 0, SPANLESS_DOCS)]:
+        drawn.update(r["key"] for r in marked.filter(wanted).orderBy("key").limit(most).collect())
+    if not drawn:
+        return None
+
+    def learn(batch):
+        column = batch.column("text")
+        yield {"key": batch.column("key"), "found": [pickle.dumps(examples(t.as_py())) for t in column]}
+
+    some = rows.filter(F.col("key").isin(sorted(drawn)))
+    found = {r["key"]: r["found"] for r in map_batches(some, learn, "key long, found binary").dropDuplicates(["key"]).collect()}
+    zones_found = [x for key in sorted(found) for x in pickle.loads(found[key])]
+    return train(zones_found if any(gold for _, _, gold in zones_found) else [])
 
 
 def find_pii(docs: DataFrame, field: Field | None, id_col="doc_id", text_col="text") -> DataFrame:

@@ -257,6 +257,22 @@ def test_field_adds_what_the_patterns_drop(spark, folder):
     assert not any(any(pii.all_spans(t, field)) for t in clean)
 
 
+def test_rare_spans_train_the_field(spark, monkeypatch):
+    plain = [(i, f"in {1900 + i % 100} there were {i % 9} of {i} and 12 345 678") for i in range(3000)]
+    rare = [(5000 + i, f"write to a{i}.b@c.example.org or call +1 (988) 555-2{400 + i}, card 4539148803436467 ip 10.0.0.{i}") for i in range(3)]
+    monkeypatch.setattr(pii, "SPANLESS_DOCS", 20)
+    schema = "doc_id long, text string"
+    field = pii.trained_field(spark.createDataFrame(plain + rare, schema).repartition(3))
+    assert field is not None and not np.array_equal(field.weights, pii.Field.prior)
+    added = lambda t: [(pii.KINDS[k], t[a:b]) for a, k, b in pii.all_spans(t, field)[1]]
+    assert added("pay 4539148803436467 7 times") == [("card", "4539148803436467")]
+    # digits but no span anywhere: the weights before training; whatever the size of one text, little is sent
+    spanless = pii.trained_field(spark.createDataFrame(plain, schema))
+    assert np.array_equal(spanless.weights, pii.Field.prior)
+    long = pii.examples("1 2 3 4 5 " * 30_000 + " ".join(f"word word word word word {i}00000000" for i in range(200)))
+    assert len(long) <= 2 * pii.TRAIN_ZONES and max(n for n, _, _ in long) <= pii.ZONE_TOKENS
+
+
 def test_pii_on_edges_and_empty_tables(edge_docs, no_docs):
     field = pii.trained_field(edge_docs)
     got = collections.Counter((r.doc_id, tuple((s.kind, s.start, s.end) for s in r.base)) for r in pii.find_pii(edge_docs, field).collect())
