@@ -5,8 +5,8 @@ the labelled documents; in every round each hands the documents of which it is c
 it gives them, to the other, unless that is as sure of the opposite. In the end each view is calibrated on labelled documents kept out of
 training, and the calibrated views are combined to score all documents.
 
-Classifiers are fitted on a bounded number of labelled and pooled documents, by Spark's own logistic
-regression; every document is scored.
+Classifiers are fitted on a bounded number of labelled documents and on whichever others the views hand over, by
+Spark's own logistic regression; every document is scored and may be handed over in every round.
 """
 
 from dataclasses import dataclass
@@ -26,8 +26,8 @@ from .common import map_batches
 from .quality_rules import counts
 
 ROUNDS = 2
-#: Labelled and other documents that classifiers are fitted on, at most (about, by a hash of the id).
-LABELLED_ROWS, POOL_ROWS = 200_000, 400_000
+#: Labelled documents that classifiers are fitted on, at most (about, by a hash of the id).
+LABELLED_ROWS = 200_000
 #: Share of the labelled documents that calibrate and are not trained on, in percent.
 HELD_OUT = 25
 CONFIDENT = 0.95
@@ -145,10 +145,10 @@ def cotrain(rows: DataFrame, labels: DataFrame, rounds=ROUNDS) -> CoTrained:
     held_out = F.pmod(F.xxhash64("_id", F.lit("fold")), F.lit(100)) < HELD_OUT
     joined = rows.select("_id", "_2", "_3", "_4", "features").join(known, F.col("_id") == F.col("_label_id"), "left")
     joined = joined.withColumn("held_out", held_out).drop("_label_id")
-    n_all, n_known = joined.agg(F.count("*"), F.count("label")).first()
+    n_known = joined.agg(F.count("label")).first()[0]
     base = staged(
         _sampled(joined.filter("label is not null"), n_known, LABELLED_ROWS).union(
-            _sampled(joined.filter("label is null"), n_all - n_known, POOL_ROWS)
+            joined.filter("label is null")
         ),
         "co-training",
     )

@@ -472,6 +472,23 @@ def test_metadata_teaches_the_text(spark):
     assert faint[2] < faint[0] - 0.05
 
 
+def test_every_unlabelled_document_may_be_handed_over(spark, folder, monkeypatch):
+    monkeypatch.setattr(quality_classifier, "POOL_ROWS", 20, raising=False)  # was a bound on them
+    held, staged = {}, quality_classifier.staged
+
+    def seen(df, name):
+        held[name] = staged(df, name)
+        return held[name]
+
+    monkeypatch.setattr(quality_classifier, "staged", seen)
+    docs = documents(spark, folder)
+    labels = spark.read.parquet(f"{folder}/labels.parquet").limit(60)
+    assert quality_classifier.score_quality(docs, labels).count() == docs.count()
+    other = docs.join(labels, "doc_id", "left_anti").select("doc_id")
+    pool = held["co-training"].filter("label is null").select("_id")
+    assert other.count() > 20 and other.exceptAll(pool).isEmpty() and pool.exceptAll(other).isEmpty()
+
+
 def test_classifier_on_edges(spark, edge_docs, no_docs):
     none = spark.createDataFrame([], "doc_id long, quality int")
     assert quality_classifier.score_quality(no_docs, none).count() == 0
