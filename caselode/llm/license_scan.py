@@ -1,11 +1,15 @@
 """License scans by conditional compression.
 
-A sentence that may speak of a license is compressed with Zstandard, alone and with every license
-template as a raw dictionary. The template that saves the largest share of the bytes wins, if the
-exact differences in wording bear it out: nearly all words occur in the template in order, and no
-differing word names another license or version.
+A notice that may speak of a license is compressed with Zstandard, alone and with every license
+template as a raw dictionary. Of the templates that save a large share of the bytes the one wins that the
+exact differences in wording bear out best: nearly all words occur in it in order, and no
+differing word names another license or version. Wording that several licenses share alike names them all.
+
+A notice is a line or clause with a trigger word together with those before and after it which read like a
+template, up to the end of the sentence or paragraph; so wrapped notices are compared as a whole.
 """
 
+import bisect
 import difflib
 import re
 
@@ -17,9 +21,9 @@ from pyspark.sql import functions as F
 from . import words as w
 from .common import id_and_text, map_batches
 
-#: Share of a sentence's compressed bytes that a template must save, templates that are compared in
-#: words, and the share of the sentence's words that must be the template's.
-LEAST_SAVED, COMPARED, LEAST_SAME = 0.35, 4, 0.8
+#: Share of a sentence's compressed bytes that a template must save, and the share of the sentence's words
+#: that must be the template's.
+LEAST_SAVED, LEAST_SAME = 0.35, 0.8
 LEVEL = 3
 #: Distinct sentences whose result a worker keeps; notices repeat a lot.
 KEPT_SENTENCES = 50_000
@@ -61,11 +65,23 @@ TEMPLATES = {
         "published by the Free Software Foundation; either version 3 of the License. SPDX-License-Identifier: "
         "LGPL-3.0-only LGPL-3.0-or-later"
     ),
+    "LGPL-2.1": (
+        "This work is licensed under the GNU Lesser General Public License, version 2.1. This library is free software; "
+        "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as "
+        "published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later "
+        "version. SPDX-License-Identifier: LGPL-2.1-only LGPL-2.1-or-later"
+    ),
     "AGPL-3.0": (
         "This work is licensed under the GNU Affero General Public License, version 3. you can redistribute it and/or "
         "modify it under the terms of the GNU Affero General Public License as published by the Free Software "
         "Foundation, either version 3 of the License. SPDX-License-Identifier: AGPL-3.0-only AGPL-3.0-or-later"
     ),
+    "BSD-2-Clause": (
+        "Released under the BSD 2-Clause License. Redistribution and use in source and binary forms, with or without "
+        "modification, are permitted provided that the following conditions are met: Redistributions of source code "
+        "must retain the above copyright notice, this list of conditions and the following disclaimer. "
+        "SPDX-License-Identifier: BSD-2-Clause"
+    ),
     "BSD-3-Clause": (
         "Released under the BSD 3-Clause License. Redistribution and use in source and binary forms, with or without "
         "modification, are permitted provided that the following conditions are met: Redistributions of source code "
@@ -119,12 +135,20 @@ TRIGGERS = rb"licen[sc]|copyright|redistribut|public domain|spdx|creative common
 _TRIGGER = re.compile(TRIGGERS)
 _SENTENCE = re.compile(rb"[\n]|(?<=[.;:!?])[ \t]+")
 _WORD = re.compile(r"[a-z]+|[0-9]+")
+#: Comment marks at the start of a line, and a line end with those of the next line.
+_MARKS = rb"[ \t]*(?:(?:/{2,}|/?\*+|#+|;+|--+|%+|<!--|[>|])[ \t]*)?"
+_FIRST, _LINE_END = re.compile(rb"\A" + _MARKS), re.compile(rb"[ \t\r]*\n" + _MARKS)
 
 
 def words_of(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
 
+def unwrapped(notice: bytes) -> bytes:
+    """A notice in one line, without comment marks."""
+    return _LINE_END.sub(b" ", _FIRST.sub(b"", notice))
+
+
 class Scanner:
     """Compressors for the templates; made once per worker."""
 
@@ -145,6 +169,9 @@ class Scanner:
             for t in texts
         ]
         self.words = [words_of(t) for t in texts]
+        self.known = [set(x) | TELLING for x in self.words]
+        # a notice of more words has too few of any template
+        self.most_words = int(max(map(len, self.words)) / LEAST_SAME)
         self.kept = {}
 
     def saved(self, sentence: bytes) -> list[float]:
@@ -153,16 +180,49 @@ class Scanner:
         return [(size - len(c.compress(sentence))) / size for c in self.given]
 
     def differences(self, sentence: str, template: int):
-        """(share of the sentence's words that are the template's in order, the other words)."""
-        own = words_of(sentence)
-        match = difflib.SequenceMatcher(None, own, self.words[template], autojunk=False)
-        same = np.zeros(len(own), bool)
+        """(share of the sentence's words that are the template's in order, the other words, and how many
+        telling words of the template the sentence leaves out between others)."""
+        own, known = words_of(sentence), self.words[template]
+        match = difflib.SequenceMatcher(None, own, known, autojunk=False)
+        same, passed, last = np.zeros(len(own), bool), 0, None
         for block in match.get_matching_blocks():
-            same[block.a : block.a + block.size] = True
-        return float(same.mean()) if own else 0.0, [x for x, ok in zip(own, same) if not ok]
+            if block.size:
+                same[block.a : block.a + block.size] = True
+                passed += 0 if last is None else sum(x in TELLING for x in known[last : block.b])
+                last = block.b + block.size
+        return float(same.mean()) if own else 0.0, [x for x, ok in zip(own, same) if not ok], passed
+
+    def reads_alike(self, part: bytes) -> bool:
+        """Whether nearly all words of a part are a template's, but for the words that tell licenses apart."""
+        own = words_of(unwrapped(part).decode(errors="replace"))
+        return bool(own) and any(sum(x in k for x in own) >= LEAST_SAME * len(own) for k in self.known)
+
+    def contradicted(self, names: str, notice: bytes) -> bool:
+        """Whether a notice has words that tell it from one of the licenses of a part."""
+        text = unwrapped(notice).decode(errors="replace")
+        return any(TELLING.intersection(self.differences(text, self.names.index(n))[1]) for n in names.split("|"))
+
+    def found(self, text: bytes):
+        """(number of notices with a trigger word, rows (license, start, end, saved, differing words))."""
+        n, rows = 0, []
+        for parts in license_notices(text, self.reads_alike, self.most_words):
+            n += 1
+            start, end = parts[0][0], parts[-1][1]
+            won = self.winner(text[start:end])
+            if won:
+                rows.append((won[0], start, end, *won[1:]))
+                continue
+            for a, b in parts if len(parts) > 1 else ():  # a notice in other company
+                if _TRIGGER.search(text[a:b].lower()):
+                    won = self.winner(text[a:b])
+                    if won and not self.contradicted(won[0], text[start:end]):
+                        rows.append((won[0], a, b, *won[1:]))
+        return n, rows
 
     def winner(self, sentence: bytes):
-        """(license, saved share, differing words) of the best template borne out by the words, or None."""
+        """(license, saved share, differing words) of the best template borne out by the words, or None.
+
+        Templates that no word tells apart are named together, in their order, with | between them."""
         if sentence not in self.kept:
             if len(self.kept) >= KEPT_SENTENCES:
                 self.kept.clear()
@@ -170,19 +230,21 @@ class Scanner:
         return self.kept[sentence]
 
     def _winner(self, sentence):
+        sentence = unwrapped(sentence)
         saved = self.saved(sentence)
         text = sentence.decode(errors="replace")
-        best = None
-        # of templates that save alike, the one with fewer differing words
-        for i in sorted(range(len(saved)), key=lambda i: (-saved[i], i))[:COMPARED]:
-            if saved[i] < LEAST_SAVED:
-                break
-            same, other = self.differences(text, i)
-            if same >= LEAST_SAME and not TELLING.intersection(other):
-                rank = (len(other), -saved[i], i)
-                if best is None or rank < best[0]:
-                    best = rank, (self.names[i], saved[i], other)
-        return best and best[1]
+        ranks = {}
+        if len(words_of(text)) > self.most_words:
+            return None
+        for i in range(len(saved)):
+            if saved[i] >= LEAST_SAVED:
+                same, other, passed = self.differences(text, i)
+                if same >= LEAST_SAME and not TELLING.intersection(other):
+                    ranks.setdefault((passed, len(other)), []).append((i, other))
+        if not ranks:
+            return None
+        best = ranks[min(ranks)]
+        return "|".join(self.names[i] for i, _ in best), max(saved[i] for i, _ in best), best[0][1]
 
 
 _scanner = None
@@ -195,31 +257,35 @@ def _worker_scanner() -> Scanner:
     return _scanner
 
 
-def license_sentences(data: bytes):
-    """(start, end) of the sentences of one text that have a trigger word."""
-    lower, at, seen = data.lower(), 0, -1
+def license_notices(data: bytes, reads_alike, most_words: int):
+    """Lists of (start, end) of the lines and clauses of each notice of one text that has a trigger word."""
+    lower = data.lower()
+    cuts = [m.span() for m in _SENTENCE.finditer(lower)]
+    starts, ends = [0, *(b for _, b in cuts)], [*(a for a, _ in cuts), len(lower)]
+    ended = lambda k: lower[starts[k] : ends[k]].rstrip().endswith((b".", b"!", b"?"))
+    n_words = lambda k: len(words_of(lower[starts[k] : ends[k]].decode(errors="replace")))
+    done = -1
     for m in _TRIGGER.finditer(lower):
-        if m.start() < seen:
+        first = last = bisect.bisect_right(starts, m.start()) - 1
+        if first <= done:
             continue
-        line = max(lower.rfind(b"\n", 0, m.start()) + 1, at)
-        stop = lower.find(b"\n", m.start())
-        stop = len(lower) if stop < 0 else stop
-        for cut in _SENTENCE.finditer(lower, line, stop):
-            if cut.end() <= m.start():
-                line = cut.end()
-            elif cut.start() > m.start():
-                stop = cut.start()
-                break
-        at = seen = stop
-        yield line, stop
+        size = n_words(first)
+        while size <= most_words and last + 1 < len(starts) and not ended(last) and reads_alike(lower[starts[last + 1] : ends[last + 1]]):
+            last += 1
+            size += n_words(last)
+        while size <= most_words and first - 1 > done and not ended(first - 1) and reads_alike(lower[starts[first - 1] : ends[first - 1]]):
+            first -= 1
+            size += n_words(first)
+        done = last
+        yield [(starts[k], ends[k]) for k in range(first, last + 1)]
 
 
 def license_scan(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
-    """One row per row of `docs`: id, n_sentences (with a trigger word), found.
+    """One row per row of `docs`: id, n_sentences (notices with a trigger word), found.
 
-    `found` lists the sentences with a winner, in order: license, start and end in bytes of UTF-8,
-    saved (share of the compressed bytes) and the differing words. A null or empty text has none. Of
-    templates that are equally good the first listed wins. Rows that repeat give the same row each;
+    `found` lists the notices with a winner, in order: license, start and end in bytes of UTF-8,
+    saved (share of the compressed bytes) and the differing words. A null or empty text has none.
+    Licenses that no word tells apart are one entry with | between their names. Rows that repeat give the same row each;
     an empty table gives no rows; other columns are not read.
     """
     id_type = docs.schema[id_col].dataType.simpleString()
@@ -238,13 +304,9 @@ def license_scan(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame
             n, found = np.zeros(b - a, np.int64), [[] for _ in range(b - a)]
             for t in texts:
                 text = raw[borders[t] : borders[t + 1]]
-                for start, end in license_sentences(text):
-                    n[t] += 1
-                    won = scanner.winner(text[start:end])
-                    if won:
-                        found[t].append({
-                            "license": won[0], "start": start, "end": end, "saved": won[1], "differing": won[2],
-                        })
+                n[t], rows = scanner.found(text)
+                names = ("license", "start", "end", "saved", "differing")
+                found[t] = [dict(zip(names, row)) for row in rows]
             yield {"id": batch.column("id")[a:b], "n_sentences": n, "found": pa.array(found, arrow)}
 
     out = map_batches(id_and_text(docs, id_col, text_col), scan, f"id {id_type}, n_sentences long, found {item}")

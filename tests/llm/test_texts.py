@@ -306,6 +306,45 @@ def test_every_template_wins_its_own_sentences():
         assert scanner.winner(text.encode())[0] == name
 
 
+WRAPPED = {
+    "GPL-2.0": """# This program is free software; you can redistribute it and/or modify
+# it under the terms of the GNU General Public License as published by
+# the Free Software Foundation; either version 2 of the License, or
+# (at your option) any later version.""",
+    "LGPL-2.1": """ * This library is free software; you can redistribute it and/or
+ * modify it under the terms of the GNU Lesser General Public
+ * License as published by the Free Software Foundation; either
+ * version 2.1 of the License, or (at your option) any later version.""",
+    "AGPL-3.0": """// This program is free software: you can redistribute it and/or modify
+// it under the terms of the GNU Affero General Public License as published by
+// the Free Software Foundation, either version 3 of the License, or
+// (at your option) any later version.""",
+    "BSD-2-Clause|BSD-3-Clause": """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions
+are met:""",
+    "MIT": """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:""",
+}
+
+
+@pytest.mark.parametrize("name", WRAPPED)
+@pytest.mark.parametrize("before", ["", "int main;\n\n", "A heading\n", "Some words of prose.\n"])
+def test_wrapped_notices_are_read_as_a_whole(name, before):
+    _, rows = license_scan.Scanner().found((before + WRAPPED[name]).encode())
+    assert {r[0] for r in rows} == {name}
+
+
+def test_shared_wording_names_no_single_license():
+    scanner = license_scan.Scanner()
+    assert scanner.winner(b"it under the terms of the GNU General Public License as published by")[0] == "GPL-3.0|GPL-2.0"
+    other = WRAPPED["LGPL-2.1"].replace("2.1", "2.4").encode()
+    assert scanner.found(other)[1] == []
+
+
 def test_license_rows(edge_docs, no_docs, spark, folder):
     rows = {r.doc_id: r for r in license_scan.license_scan(edge_docs).collect()}
     assert [x.license for x in rows[17].found] == ["Apache-2.0", "MIT"]
