@@ -6,6 +6,7 @@ the driver nor a broadcast grows with it; each block is one more scan of the doc
 """
 
 import hashlib
+import itertools
 from dataclasses import dataclass
 
 import numpy as np
@@ -221,16 +222,16 @@ def decontaminate(
     """`docs` with all its columns, without contaminated documents, or without the hit spans.
 
     remove="spans" keeps every row and cuts the hit words, from the first byte of a run's first
-    word to the last byte of its last; a benchmark of several blocks is cut block by block. Nulls
-    stay null; rows keep their other columns as they are.
+    word to the last byte of its last; hits are found in the whole text, and cut once, however many
+    blocks the benchmark has. Nulls stay null; rows keep their other columns as they are.
     """
     if remove not in ("documents", "spans"):
         raise ValueError("remove is 'documents' or 'spans'")
     if remove == "spans":
-        out = docs
-        for block in _blocks(bench, item_col, item_text_col):
-            out = _without_spans(out, block, text_col)
-        return out
+        blocks = list(itertools.islice(_blocks(bench, item_col, item_text_col), 2))
+        if len(blocks) == 1:
+            return _without_spans(docs, blocks[0], text_col)
+        return _without_found_spans(docs, bench, text_col, item_col, item_text_col)
     blocks = list(_blocks(bench, item_col, item_text_col))
     if len(blocks) == 1:
         windows = benchmark_windows([i for i, _ in blocks[0]], [t for _, t in blocks[0]], WINDOW)
@@ -273,12 +274,8 @@ def _without_spans(docs, block, text_col):
                     if found:
                         first, last = words.first[t], words.first[t + 1]
                         edge = np.diff(np.concatenate([[0], hit[first:last].view(np.int8), [0]]))
-                        out, at = [], borders[t]
-                        for x, y in zip(np.flatnonzero(edge == 1) + first, np.flatnonzero(edge == -1) + first):
-                            out.append(data[at : words.start[x]].tobytes())
-                            at = words.end[y - 1]
-                        out.append(data[at : borders[t + 1]].tobytes())
-                        new[a + t] = b"".join(out).decode()
+                        runs = np.flatnonzero(edge == 1) + first, np.flatnonzero(edge == -1) + first
+                        new[a + t] = _cut(words, data, borders[t], borders[t + 1], *runs)
             if new:
                 texts = column.to_pylist()
                 for i, text in new.items():
@@ -287,3 +284,45 @@ def _without_spans(docs, block, text_col):
             yield batch
 
     return docs.mapInArrow(run, docs.schema)
+
+
+def _cut(words, data, begin, stop, start, end) -> str:
+    """A text without runs of words, from the first byte of a run's first to the last of its last."""
+    out, at = [], begin
+    for x, y in zip(start, end):
+        out.append(data[at : words.start[x]].tobytes())
+        at = words.end[y - 1]
+    out.append(data[at:stop].tobytes())
+    return b"".join(out).decode()
+
+
+def _without_found_spans(docs, bench, text_col, item_col, item_text_col):
+    """The hits of all blocks on the texts as they are, brought back by the hash of the text."""
+    names = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+    text = names[text_col]
+    packed = docs.select(*[F.col(f"`{c}`").alias(x) for c, x in names.items()])
+    marked = packed.select(F.xxhash64(text).alias("mark"), F.col(text).alias("text"))
+    found = scan_benchmark(marked, bench, "mark", "text", item_col, item_text_col).filter("n_hit > 0")
+    found = found.select("mark", "hit_from", "hit_to").dropDuplicates(["mark"])
+    joined = packed.join(found, F.xxhash64(text) == F.col("mark"), "left").drop("mark")
+
+    def run(batches):
+        for batch in batches:
+            column, new = batch.column(text), {}
+            start, end = batch.column("hit_from"), batch.column("hit_to")
+            for a, b, data, borders in w.pieces(column):
+                has = np.flatnonzero(np.asarray(start[a:b].is_valid()))
+                words = w.Words(data, borders, _TABLE, _FOLD) if len(has) else None
+                for t in has.tolist():
+                    runs = (np.asarray(x[a + t].values) + words.first[t] for x in (start, end))
+                    new[a + t] = _cut(words, data, borders[t], borders[t + 1], *runs)
+            batch = batch.select(list(names.values()))
+            if new:
+                texts = column.to_pylist()
+                for i, x in new.items():
+                    texts[i] = x
+                batch = batch.set_column(batch.schema.get_field_index(text), text, pa.array(texts, column.type))
+            yield batch
+
+    out = joined.mapInArrow(run, packed.schema)
+    return out.select(*[F.col(x).alias(c) for c, x in names.items()])

@@ -163,6 +163,20 @@ def test_spans_are_cut_and_nothing_else(spark):
         decon.decontaminate(docs, bench, remove="words")
 
 
+def test_spans_are_cut_alike_in_one_and_many_blocks(spark, monkeypatch):
+    said = [f"w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(40)]
+    items = [(k, " ".join(said[a:b])) for k, (a, b) in enumerate([(1, 20), (10, 30), (0, 13), (17, 33)])] + [(9, "left right")]
+    texts = ["Say: " + ", ".join(said) + "! end", "left " + " ".join(said[1:30]) + " right", None, "clean", "left right x left right"]
+    docs = spark.createDataFrame([(k % 4, t, k) for k, t in enumerate(texts * 2)], "doc_id long, text string, k int").repartition(3)
+    bench = spark.createDataFrame(items, "item_id long, text string").repartition(2)
+    cut = lambda: sorted(map(tuple, decon.decontaminate(docs, bench, remove="spans").collect()), key=lambda r: r[2])
+    one = cut()
+    assert [t for _, t, _ in one[:5]] == ["Say: , " + ", ".join(said[33:]) + "! end", "left  right", None, "clean", " x "]
+    monkeypatch.setattr(decon, "BLOCK_BYTES", 60)
+    assert len(list(decon._blocks(bench, "item_id", "text"))) > 3
+    assert cut() == one
+
+
 def test_empty_tables_are_clean(edge_docs, no_docs, spark):
     none = spark.createDataFrame([], "item_id long, text string")
     assert decon.scan_benchmark(edge_docs, none).filter("n_hit > 0 or contaminated").count() == 0
