@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from . import decontaminate as decon
 from caselode.session import shared_folder, staged
 
-from . import jaccard_join, license_scan, line_dedup, mixing, pii, token_output, warc
+from . import jaccard_join, license_scan, line_dedup, merkle, mixing, pii, token_output, warc
 from . import quality_classifier as classifier
 from . import quality_rules as rules
 from .common import table
@@ -99,6 +99,14 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return cleaned.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("text_sha256"))
 
 
+def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    number = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    manifest = merkle.build(
+        table(spark, folder, "documents"), changed={"text": merkle.lowered(F.col("text"))}, when=number % 5 == 0
+    )
+    return merkle.proofs(manifest).withColumnRenamed("id", "doc_id").drop("grp")
+
+
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_jaccard_join": op2_jaccard_join,
@@ -110,4 +118,5 @@ QUERIES = {
     "op8_pii": op8_pii,
     "op9_warc": op9_warc,
     "op10_line_dedup": op10_line_dedup,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }

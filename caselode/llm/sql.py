@@ -135,10 +135,61 @@ SELECT doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_remo
 FROM documents LEFT JOIN texts t USING (doc_id)
 """
 
+_LEAF = " || ".join(
+    f"CASE WHEN {c} IS NULL THEN '-' ELSE CAST(octet_length(encode(CAST({c} AS VARCHAR))) AS VARCHAR) || ':' || CAST({c} AS VARCHAR) END"
+    for c in ("doc_id", "source", "lang", "n_chars", "{text}")
+)
+_LOWERED = _LOWER.replace("coalesce(text, '')", "text")
+_CRC32 = """list_reduce([4294967295::BIGINT] || list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: ascii(c)::BIGINT),
+    lambda crc, b: list_reduce([xor(crc, b)] || list_transform(range(8), lambda i: 0::BIGINT),
+        lambda x, z: xor(x >> 1, 3988292384 * (x & 1))))"""
+_RUN_HASH = "sha256(string_agg(h, '' ORDER BY i))"
+
+MERKLE = f"""
+WITH RECURSIVE leaves AS (
+    SELECT doc_id, source, sha256({_LEAF.format(text="text")}) AS leaf,
+        CASE WHEN xor({_CRC32}, 4294967295) % 5 = 0 THEN sha256({_LEAF.format(text=_LOWERED)}) END AS tampered
+    FROM documents
+), grps AS (
+    SELECT source, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS g, count(*) AS n FROM leaves GROUP BY source
+), placed AS (
+    SELECT l.doc_id, g, n, leaf, tampered,
+        row_number() OVER (PARTITION BY g ORDER BY l.doc_id NULLS FIRST, leaf) - 1 AS i
+    FROM leaves l JOIN grps ON l.source IS NOT DISTINCT FROM grps.source
+), nodes AS (
+    SELECT 0 AS level, g, i, n, leaf AS h FROM placed
+    UNION ALL
+    SELECT any_value(level) + 1, g, i // 16, any_value(n + 15) // 16, {_RUN_HASH} FROM nodes WHERE n > 1 GROUP BY g, i // 16
+), subroots AS (
+    SELECT g, h FROM nodes WHERE n = 1
+), tops AS (
+    SELECT 0 AS level, g AS i, (SELECT count(*) FROM subroots) AS n, h FROM subroots
+    UNION ALL
+    SELECT any_value(level) + 1, i // 16, any_value(n + 15) // 16, {_RUN_HASH} FROM tops WHERE n > 1 GROUP BY i // 16
+), inside AS (
+    SELECT row_number() OVER () AS r, doc_id, g, 0 AS level, i, n, leaf, coalesce(tampered, leaf) AS cur, '' AS proof FROM placed
+    UNION ALL
+    SELECT r, any_value(p.doc_id), any_value(p.g), any_value(p.level) + 1, any_value(p.i // 16), any_value(p.n + 15) // 16, any_value(leaf),
+        sha256(string_agg(CASE WHEN s.i = p.i THEN cur ELSE h END, '' ORDER BY s.i)),
+        any_value(proof) || coalesce(string_agg(h, '' ORDER BY s.i) FILTER (s.i <> p.i), '')
+    FROM inside p JOIN nodes s ON s.g = p.g AND s.level = p.level AND s.i // 16 = p.i // 16 WHERE p.n > 1 GROUP BY r
+), above AS (
+    SELECT r, doc_id, g, 0 AS level, g AS i, (SELECT count(*) FROM subroots) AS n, leaf, cur, proof FROM inside WHERE n = 1
+    UNION ALL
+    SELECT r, any_value(p.doc_id), any_value(p.g), any_value(p.level) + 1, any_value(p.i // 16), any_value(p.n + 15) // 16, any_value(leaf),
+        sha256(string_agg(CASE WHEN s.i = p.i THEN cur ELSE h END, '' ORDER BY s.i)),
+        any_value(proof) || coalesce(string_agg(h, '' ORDER BY s.i) FILTER (s.i <> p.i), '')
+    FROM above p JOIN tops s ON s.level = p.level AND s.i // 16 = p.i // 16 WHERE p.n > 1 GROUP BY r
+)
+SELECT doc_id, leaf, s.h AS subroot, t.h AS root, sha256(proof) AS proof_sha256, cur AS folded_root, cur = t.h AS verified
+FROM above JOIN subroots s USING (g) JOIN tops t ON t.n = 1 WHERE above.n = 1
+"""
+
 ORACLE_SQL = {
     "op2_jaccard_join": JACCARD,
     "op3_decontaminate": DECONTAMINATE,
     "op5_mixing": MIXING,
     "op9_warc": WARC,
     "op10_line_dedup": LINE_DEDUP,
+    "op13_merkle_manifest": MERKLE,
 }
