@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from . import decontaminate as decon
 from caselode.session import shared_folder, staged
 
-from . import jaccard_join, license_scan, line_dedup, merkle, mixing, pii, token_output, warc
+from . import hard_negatives, jaccard_join, license_scan, line_dedup, merkle, mixing, pii, token_output, warc
 from . import quality_classifier as classifier
 from . import quality_rules as rules
 from .common import table
@@ -99,6 +99,11 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return cleaned.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("text_sha256"))
 
 
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0, label=label)
+
+
 def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     number = F.crc32(F.col("doc_id").cast("string").cast("binary"))
     manifest = merkle.build(
@@ -118,5 +123,6 @@ QUERIES = {
     "op8_pii": op8_pii,
     "op9_warc": op9_warc,
     "op10_line_dedup": op10_line_dedup,
+    "op12_hard_negatives": op12_hard_negatives,
     "op13_merkle_manifest": op13_merkle_manifest,
 }

@@ -185,11 +185,33 @@ SELECT doc_id, leaf, s.h AS subroot, t.h AS root, sha256(proof) AS proof_sha256,
 FROM above JOIN subroots s USING (g) JOIN tops t ON t.n = 1 WHERE above.n = 1
 """
 
+HARD_NEGATIVES = """
+WITH vecs AS (
+    SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS v
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL AND list_bool_and(list_transform(embedding, lambda x: coalesce(isfinite(x), false)))
+), scored AS (
+    SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same, CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+    FROM vecs a JOIN vecs b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id
+), positives AS (
+    SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scored WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5
+)
+SELECT p.anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, other_id AS negative_id,
+    positive_score, score AS negative_score
+FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT same
+    AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+WINDOW w AS (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, other_id)
+QUALIFY row_number() OVER w <= 5
+"""
+
 ORACLE_SQL = {
     "op2_jaccard_join": JACCARD,
     "op3_decontaminate": DECONTAMINATE,
     "op5_mixing": MIXING,
     "op9_warc": WARC,
     "op10_line_dedup": LINE_DEDUP,
+    "op12_hard_negatives": HARD_NEGATIVES,
     "op13_merkle_manifest": MERKLE,
 }
