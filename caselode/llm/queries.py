@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from . import decontaminate as decon
 from caselode.session import shared_folder, staged
 
-from . import hard_negatives, jaccard_join, license_scan, line_dedup, merkle, mixing, pii, token_output, warc
+from . import hard_negatives, jaccard_join, license_scan, line_dedup, merkle, mixing, pii, secrets, token_output, warc
 from . import quality_classifier as classifier
 from . import quality_rules as rules
 from .common import table
@@ -66,21 +66,25 @@ def op7_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def op8_pii(spark: SparkSession, folder: str) -> DataFrame:
-    docs = table(spark, folder, "documents")
-    found = pii.find_pii(docs, pii.trained_field(docs))
-    rank = F.create_map(*[F.lit(x) for i, k in enumerate(pii.KINDS) for x in (k, i)])
+def _span_digests(found: DataFrame, base_kinds, all_kinds) -> DataFrame:
+    """Counts of the base spans, the hash of them and all spans, written as kind:start:end in order."""
+    rank = F.create_map(*[F.lit(x) for i, k in enumerate(all_kinds) for x in (k, i)])
     written = lambda spans: F.array_join(F.transform(
         F.array_sort(F.transform(spans, lambda s: F.struct(s["start"], rank[s["kind"]], s["end"], s["kind"]))),
         lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string")),
     ), ",")
     count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
     return found.select(
-        "doc_id", *map(count, pii.KINDS), F.sha2(written(F.col("base")), 256).alias("base_sha256"),
+        "doc_id", *map(count, base_kinds), F.sha2(written(F.col("base")), 256).alias("base_sha256"),
         written(F.concat("base", "added")).alias("spans"),
     )
 
 
+def op8_pii(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return _span_digests(pii.find_pii(docs, pii.trained_field(docs)), pii.KINDS, pii.KINDS)
+
+
 def op9_warc(spark: SparkSession, folder: str) -> DataFrame:
     pages = table(spark, folder, "pages")
     path = f"{shared_folder(spark)}/caselode/warc-{uuid.uuid4().hex}"
@@ -99,6 +103,11 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return cleaned.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("text_sha256"))
 
 
+def op11_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    found = secrets.find_secrets(table(spark, folder, "documents"))
+    return _span_digests(found, secrets.KINDS, (*secrets.KINDS, secrets.ADDED))
+
+
 def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return hard_negatives.mine(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0, label=label)
@@ -123,6 +132,7 @@ QUERIES = {
     "op8_pii": op8_pii,
     "op9_warc": op9_warc,
     "op10_line_dedup": op10_line_dedup,
+    "op11_secret_scan": op11_secret_scan,
     "op12_hard_negatives": op12_hard_negatives,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
