@@ -90,6 +90,24 @@ def test_components_equal_brute_force(spark, folder, edge_docs, monkeypatch, sou
         assert 6 < len({c for _, _, c in got}) < len(got) - 20
 
 
+def patterned_texts():
+    """Two words, and lines of them, that agree under every polynomial hash modulo 2**64."""
+    one = "".join("ab"[i.bit_count() & 1] for i in range(1024))
+    other = one.translate(str.maketrans("ab", "ba"))
+    return [one, other, f"{one}\n{one} x\n{one} y", f"{other}\n{other} x\n{other} y"]
+
+
+def test_patterned_texts_are_told_apart(spark):
+    texts = patterned_texts()
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    assert {r.component_id for r in jaccard_join.jaccard_join(docs).collect()} == {0, 1, 2, 3}
+    assert {r.n_removed for r in line_dedup.line_dedup(docs).collect()} == {0}
+    encoder = token_output.PieceEncoder(tokenizer_file())
+    ids, cut = encoder.encode(*token_output.w.text_bytes(pa.array(texts)))
+    for i, text in enumerate(texts):
+        assert ids[cut[i] : cut[i + 1]].tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
+
+
 def test_one_of_each_component_stays(edge_docs, no_docs):
     kept = jaccard_join.keep_one(edge_docs)
     assert kept.columns == edge_docs.columns

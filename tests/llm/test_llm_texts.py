@@ -40,6 +40,21 @@ def test_equal_words_have_equal_hashes_wherever_they_are():
     assert h[0] == h[3] and h[1] == h[4] and len(set(h.tolist())) == 5
 
 
+def thue_morse(n):
+    """Two words of a and b that agree under every polynomial hash modulo 2**64, if n is 1,024 or more."""
+    one = "".join("ab"[i.bit_count() & 1] for i in range(n))
+    return one, one.translate(str.maketrans("ab", "ba"))
+
+
+def test_hashes_of_words_without_a_pattern_in_common():
+    texts = [x for n in (64, 1024, 2048, 4096) for x in thue_morse(n)]
+    texts += ["a" * n for n in range(1, 40)] + ["a" * n + "b" + "a" * (30 - n) for n in range(31)]
+    texts += [f"{'x' * 8}{'y' * 8}", f"{'y' * 8}{'x' * 8}", "x" * 8 + "a" * 8 + "x" * 8, "a\0", "a\0\0", "\0a"]
+    data, borders = words.text_bytes(pa.array([f" {t} " for t in texts]))
+    h = words.Words(data, borders, words.space_words()).hashes()
+    assert len(h) == len(texts) and len(set(h.tolist())) == len(set(texts))
+
+
 def test_pieces_keep_long_texts_whole():
     texts = ["x" * 3_000_000, "a", "", "b" * 10]
     got = [(a, b, len(d)) for a, b, d, _ in words.pieces(pa.array(texts))]
@@ -84,6 +99,13 @@ def test_random_texts_count_alike():
     assert [tuple(int(got[c][i]) for c in BASE) for i in range(len(texts))] == list(map(plain_counts, texts))
 
 
+def test_rules_tell_patterned_words_apart():
+    one, other = thue_morse(1024)
+    texts = [" ".join([one] * 5 + [other] * 5) + f"\n{one} x\n{other} x", f"{one}\n{other}\n{one}"]
+    got = quality_rules.counts(*words.text_bytes(pa.array(texts)))
+    assert [tuple(int(got[c][i]) for c in BASE) for i in range(2)] == list(map(plain_counts, texts))
+
+
 def test_estimation_finds_the_accuracies_of_made_up_rules():
     rng = np.random.default_rng(5)
     truth = rng.random(20_000) < 0.5
