@@ -120,11 +120,9 @@ def page_records(
     pages: DataFrame, body: str = "html", url: str = "url", position: str = "page_id", keep=()
 ) -> DataFrame:
     """Metadata of the pages that carry a detail table (WEB-2 .. WEB-5); ``keep`` are columns to pass on."""
-    table = (
-        pages.withColumn("_table", html.detail_table(F.col(body)))
-        .filter(F.col("_table") != "")
-        .withColumn("_cells", html.cells(html.without_first(F.col("_table"), "h2")))
-    )
+    # the walks run once per page: neither the filter nor a field repeats them
+    table = T.computed(pages, _table=html.detail_table(F.col(body))).filter(F.col("_table") != "")
+    table = T.computed(table, _cells=html.read_cells(html.without_first(F.col("_table"), "h2")))
     return table.select(
         html.case_id(F.col(url), F.col(position)).alias("case_id"),
         html.heading(F.col("_table"), "h2").alias("judul"),

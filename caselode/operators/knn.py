@@ -10,15 +10,19 @@ not skew them.  The result is exact: no candidate is left out.
 
 import math
 import sys
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import cloudpickle
+from pyspark.ml.feature import BucketedRandomProjectionLSH
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from caselode import profile as P
 from caselode.functions.text import blank_to_empty
+from caselode.session import staged
 
 # Executors get these functions by value and need no copy of the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -159,6 +163,66 @@ def top_k(
     return near.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
 
+def approximate_top_k(
+    queries: DataFrame, corpus: DataFrame, k: int = P.TOP_K, exclude_self: bool = False,
+    bucket: float = P.LSH_BUCKET, tables: int = P.LSH_TABLES, seed: int = P.SEED,
+) -> DataFrame:
+    """(query_id, doc_id, sim, rank) by random projections: near vectors that share a bucket in some table (RET-2).
+
+    The vectors are brought to unit length, so that near in distance is near in angle; those without length
+    or with a null component take no part.  Pairs that share no bucket are missed; ``top_k`` with ``dense=True`` is exact.
+    ``recall`` compares the two.
+    """
+
+    def unit(df, own_id):
+        values = F.coalesce(F.transform("embedding", lambda x: x.cast("double")), F.array().cast("array<double>"))
+        length = F.sqrt(F.aggregate(values, F.lit(0.0), lambda total, x: total + x * x))
+        rows = df.select(F.col(own_id).alias("id"), values.alias("v"), length.alias("n")).filter("n > 0 AND n < double('inf')")
+        length = F.when((F.col("n") > 0) & (F.col("n") < float("inf")), F.col("n")).otherwise(1.0)  # filters may come later
+        # written, so that no vector is made of what the filter drops
+        rows = staged(rows.select("id", F.transform("v", lambda x: x / length).alias("v")), "unit")
+        return rows.select("id", array_to_vector("v").alias("v"))
+
+    # the model is random directions alone: of the rows, fitting reads the dimension
+    known = unit(corpus, "doc_id")
+    lsh = BucketedRandomProjectionLSH(inputCol="v", outputCol="hashes", bucketLength=bucket, numHashTables=tables, seed=seed)
+    model = lsh.fit(known)
+    pairs = model.approxSimilarityJoin(unit(queries, "query_id"), known, 2.0 + 1e-9, "distance")
+    near = pairs.select(
+        F.col("datasetA.id").alias("query_id"), F.col("datasetB.id").alias("doc_id"),
+        F.round(1 - F.col("distance") ** 2 / 2, DIGITS).alias("sim"),
+    )
+    if exclude_self:
+        near = near.filter(F.col("query_id") != F.col("doc_id"))
+    order = Window.partitionBy("query_id").orderBy(F.desc("sim"), "doc_id")
+    return near.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+
+
+def recall(found: DataFrame, exact: DataFrame) -> DataFrame:
+    """One row: queries and neighbours of the exact result, and the share of these neighbours that was found."""
+    hit = found.select("query_id", "doc_id", F.lit(1).alias("hit"))
+    return exact.join(hit, ["query_id", "doc_id"], "left").agg(
+        F.count_distinct("query_id").alias("n_queries"), F.count("*").alias("n_neighbours"),
+        (F.count("hit") / F.count("*")).alias("recall"),
+    )
+
+
+def retrieve(
+    cases: DataFrame, embeddings: DataFrame, sparse: Callable[[], DataFrame], dense: Callable[[], DataFrame],
+    case_id: str = "case_id", vector_id: str = "case_id",
+) -> DataFrame:
+    """Neighbours by the representation that the stored vectors allow, and its ``method`` (RET-5).
+
+    Dense only where every case has a vector and there are no others.  Only the plan that is chosen is built.
+    """
+    chosen = representation(cases, embeddings).first().method
+    if chosen == "dense":
+        ids = embeddings.select(F.col(vector_id).alias(case_id))
+        if not cases.select(case_id).join(ids, case_id, "left_anti").isEmpty():
+            chosen = "sparse"
+    return (dense if chosen == "dense" else sparse)().withColumn("method", F.lit(chosen))
+
+
 def with_solutions(neighbours: DataFrame, solutions: DataFrame) -> DataFrame:
     """Attach (doc_id, solution) to the neighbours (RET-4)."""
     return neighbours.join(solutions, "doc_id", "left").withColumn(

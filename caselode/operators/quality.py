@@ -198,9 +198,16 @@ def flags(
 
 
 def report_lines(**tables: DataFrame) -> DataFrame:
-    """Named tables as text lines (section, line) for the report sink (SNK-3)."""
+    """(section, line, value) of a report (SNK-3): per table a heading, then its rows as ``column: value``.
+
+    Rows of a table go by their text; nulls are ``-``.  The tables are the small results of the checks.
+    """
     parts = []
-    for n, (name, df) in enumerate(tables.items()):
-        line = F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})
-        parts.append(df.select(F.lit(n).alias("section"), F.concat(F.lit(f"{name}: "), line).alias("value")))
+    for section, (title, table) in enumerate(tables.items()):
+        fields = [
+            F.concat(F.lit(f"{c}: "), F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("-"))) for c in table.columns
+        ]
+        own = F.lit(section).alias("section")
+        head = table.sparkSession.range(1).select(own, F.lit(0).alias("line"), F.lit(f"== {title} ==").alias("value"))
+        parts += [head, table.select(own, F.lit(1).alias("line"), F.concat_ws(", ", *fields).alias("value"))]
     return reduce(DataFrame.unionByName, parts)

@@ -7,13 +7,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from caselode import profile as P
 from caselode.functions import extract as X, html, text as T
 from caselode.operators import (
-    classify, corpus, evaluate, features, knn, quality, represent, reuse, vectors,
+    classify, corpus, evaluate, features, inverted, knn, linear, quality, represent, reuse, vectors,
 )
 from caselode.plans import views
 from caselode.session import shared_folder, staged
 from caselode.sources import readers, schemas, writers
 from caselode.sources.readers import spread, table
-from caselode.streaming.incremental import unrecorded
+from caselode.streaming.incremental import forget_last_commit, run_available, unrecorded
 
 QUERIES = {}
 
@@ -246,6 +246,17 @@ def rep_cases(spark, folder):
     return views.cases(spark, folder)
 
 
+@query
+def rep_cases_stored(spark, folder):
+    """Case records from metadata and texts that are stored apart, both in buckets by case (REP-1)."""
+    path, name = _new_folder(spark), f"t{uuid.uuid4().hex}"
+    rows = staged(corpus.normalised(views.measured(spark, folder)).drop("raw_text", "cleaned"), "cases")
+    writers.bucketed(rows.drop("normalised"), f"{name}_meta", f"{path}/meta")
+    writers.bucketed(rows.select("case_id", "normalised"), f"{name}_texts", f"{path}/texts")
+    stored = (readers.bucketed(spark, f"{name}_{part}") for part in ("meta", "texts"))
+    return represent.case_records(represent.valid_with_text(*stored))
+
+
 @query
 def rep_parties(spark, folder):
     t = F.col("normalised")
@@ -386,6 +397,12 @@ def retrieve_sparse(spark, folder):
     return _near(knn.top_k(*_sparse_documents(spark, folder), **_sizes(spark, folder)))
 
 
+@query
+def retrieve_inverted(spark, folder):
+    """The same neighbours by inverted lists with bounds, without a Python worker."""
+    return _near(inverted.top_k(*_sparse_documents(spark, folder)))
+
+
 def _vectors(spark, folder):
     rows = table(spark, folder, "embeddings")
     return rows.select("vec_id", "embedding", F.col("label").cast("string").alias("label"))
@@ -432,13 +449,19 @@ def self_similarity_topk(spark, folder):
     return _near(_test_neighbours(_case_model(spark, folder)[3]))
 
 
+@query
+def self_similarity_inverted(spark, folder):
+    vecs = _case_model(spark, folder)[3]
+    return _near(inverted.top_k(_as_queries(vecs), _as_docs(vecs), exclude_self=True))
+
+
 def _train_neighbours(spark, folder):
     """Neighbours of the benchmark queries among the train documents, with solutions."""
-    labelled = staged(views.labelled_documents(spark, folder), "labelled")
+    labelled = staged(views.solved_documents(spark, folder), "labelled")
     split = features.stratified_split(labelled)
     train = split.filter("split = 'train'").select("case_id")
     known = labelled.join(train, "case_id").select(
-        "doc_id", reuse.solution_text("amar", "label").alias("solution")
+        "doc_id", reuse.solution_text("amar", "ringkasan_fakta", "label").alias("solution")
     )
     known = staged(known, "solutions")
     asked, docs = _sparse_documents(spark, folder)
@@ -456,6 +479,37 @@ def representation_choice(spark, folder):
     return knn.representation(table(spark, folder, "documents"), table(spark, folder, "embeddings"))
 
 
+@query
+def retrieve_chosen_dense(spark, folder):
+    """Every case has its vector, so the dense plan is chosen."""
+    rows = table(spark, folder, "embeddings")
+    near = knn.retrieve(
+        rows.select("vec_id"), rows, lambda: knn.top_k(*_sparse_documents(spark, folder), **_sizes(spark, folder)),
+        lambda: knn.top_k(*_dense_test(spark, folder), dense=True, exclude_self=True), "vec_id", "vec_id",
+    )
+    return _near(near, "method")
+
+
+@query
+def retrieve_chosen_sparse(spark, folder):
+    """Not every document has its vector, so the sparse plan is chosen."""
+    near = knn.retrieve(
+        table(spark, folder, "documents"), table(spark, folder, "embeddings"),
+        lambda: knn.top_k(*_sparse_documents(spark, folder), **_sizes(spark, folder)),
+        lambda: knn.top_k(*_dense_test(spark, folder), dense=True, exclude_self=True), "doc_id", "vec_id",
+    )
+    return _near(near, "method")
+
+
+@query
+def retrieve_approximate_recall(spark, folder):
+    """The neighbours of the test split by random projections, measured against the exact ones."""
+    asked, known = _dense_test(spark, folder)
+    found = knn.approximate_top_k(asked, known, exclude_self=True)
+    exact = knn.top_k(asked, known, dense=True, exclude_self=True)
+    return knn.recall(found, exact).select("n_queries", "n_neighbours", (F.col("recall") >= 0.9).alias("enough"))
+
+
 def _sampled(rows, split):
     test = rows.drop("label").join(split.filter("split = 'test'"), "case_id")
     return test, knn.sampled_queries(test)
@@ -572,14 +626,17 @@ def _svm_predictions(spark, folder):
     return rows, _svm_labels(vocab, vecs)
 
 
+def _svm_fit(vocab, vecs):
+    names = staged(features.classes(vecs), "classes")
+    return names, linear.fit(vecs.filter("split = 'train'"), names, vocab.count())
+
+
 def _svm_labels(vocab, vecs):
     """(case_id, true_label, pred_label) of the test rows, written once."""
-    rows = staged(classify.ml_rows(features.label_codes(vecs), vocab.count()), "ml")
-    rows = classify.as_vectors(rows)
-    train, test = rows.filter("split = 'train'"), rows.filter("split = 'test'")
-    pred = classify.svm_predict(classify.svm_fit(train, train.count()), test, features.classes(vecs))
+    names, model = _svm_fit(vocab, vecs)
+    test = vecs.filter("split = 'test'")
     truth = test.select("case_id", F.col("label").alias("true_label"))
-    return staged(truth.join(pred, "case_id"), "svm")
+    return staged(truth.join(linear.predict(model.weights, test, names), "case_id"), "svm-labels")
 
 
 @query
@@ -604,6 +661,17 @@ def svm_error_profile(spark, folder):
     return evaluate.error_profile(staged(evaluate.errors(pred, rows), "errors"))
 
 
+@query
+def svm_objective(spark, folder):
+    """The least objective of each class, and how many train rows it has."""
+    _, _, vocab, vecs = _case_model(spark, folder)
+    names, model = _svm_fit(vocab, vecs)
+    found = list(enumerate(round(float(v), 4) for v in model.objective))
+    least = spark.createDataFrame(found, "code int, objective double")
+    n = vecs.filter("split = 'train'").groupBy("label").agg(F.count("*").alias("n_train"))
+    return names.join(least, "code").join(n, "label", "left").select("label", "objective", F.coalesce("n_train", F.lit(0)).alias("n_train"))
+
+
 @query
 def svm_quality(spark, folder):
     """Test rows, classes, and whether the SVM is right more often than the largest class is."""
@@ -729,6 +797,36 @@ def stored_csv(spark, folder):
     return readers.csv(spark, path, schema).fillna("", ["no_perkara"])
 
 
+@query
+def stored_texts(spark, folder):
+    """Documents written as one file each, some of them empty, and read back (SRC-1)."""
+    path = _new_folder(spark)
+    text = F.when(F.col("doc_id") % 9 == 0, "").otherwise(F.coalesce("text", F.lit("")))
+    writers.texts(views.documents(spark, folder).select(F.col("doc_id").cast("string").alias("case_id"), text.alias("text")), path)
+    return readers.corpus(spark, path)
+
+
+@query
+def stored_report(spark, folder):
+    """All quality checks as one report file, read back in order (SNK-3)."""
+    meta, missing, copies = _missing_and_copies(spark, folder)
+    missing, copies = staged(missing, "missing"), staged(copies, "copies")
+    short, low = quality.short_documents(meta), quality.incomplete_documents(meta)
+    lines = quality.report_lines(
+        documents=quality.counts(meta),
+        inventories=quality.inventory_sizes(views.inventories(spark, folder)),
+        missing=missing.groupBy("inventory").agg(F.count("*").alias("n")),
+        short=short.groupBy("kind").agg(F.count("*").alias("n")),
+        incomplete=low.agg(F.count("*").alias("n")),
+        duplicates=copies.agg(F.count("*").alias("n")),
+        categories=quality.categories(meta),
+        verdict=quality.verdict(quality.issues(meta, missing, copies)),
+    )
+    path = _new_folder(spark)
+    writers.report(lines, path)
+    return readers.report(spark, path)
+
+
 @query
 def stored_queries(spark, folder):
     """Query records written as JSON lines and read back (SNK-2, SRC-3)."""
@@ -785,3 +883,25 @@ def stored_model(spark, folder):
 def incremental_new(spark, folder):
     known = table(spark, folder, "labels").select("doc_id")
     return unrecorded(table(spark, folder, "documents"), known, "doc_id").select("doc_id", "source")
+
+
+@query
+def incremental_stream(spark, folder):
+    """Documents that arrive in two drops, processed by a stream that is started again after each, and once replayed.
+
+    The second drop holds all documents, those of the first again; its batch is then repeated as after a
+    failure.  One record per document remains.
+    """
+    path = _new_folder(spark)
+    rows = table(spark, folder, "documents").select("doc_id", "source")
+    known = rows.join(table(spark, folder, "labels").select("doc_id"), "doc_id", "left_semi")
+    schema, source, target = "doc_id long, source string", f"{path}/drops", f"{path}/records"
+    for drop in (known, rows):
+        drop.write.mode("append").parquet(source)
+        run_available(spark, source, schema, target, id_col="doc_id")
+    forget_last_commit(spark, f"{target}/_state")
+    run_available(spark, source, schema, target, id_col="doc_id")
+    done = spark.read.parquet(target)
+    return done.groupBy("doc_id", "source").agg(
+        F.count("*").alias("n_records"), F.min("batch_id").cast("long").alias("batch")
+    )

@@ -7,6 +7,7 @@ patterns match at every scale.  Both strings are plain SQL over whole tables.
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from caselode.functions import extract
 from caselode.functions.extract import decision, merged_label
 from caselode.functions.text import strip
 from caselode.operators import corpus, features, represent
@@ -36,7 +37,7 @@ SELECT d.doc_id,
  || 'antara : Pihak ' || d.source || ', selanjutnya disebut sebagai penggugat; melawan : Badan '
  || d.lang || ', selanjutnya disebut tergugat;' || chr(10)
  || CASE WHEN d.doc_id % 3 = 0 THEN 'duduk perkara' || chr(10) ELSE '' END
- || d.text || chr(10)
+ || CASE WHEN d.doc_id % 29 = 7 THEN '3 hal. put. nomor 7 ' || replace(d.text, chr(10), ' ') ELSE d.text END || chr(10)
  || 'menimbang, bahwa pasal ' || CAST(1300 + d.doc_id % 90 AS STRING)
  || ' KUHPerdata dan pasal 1365 KUHPerdata berlaku;;' || chr(10)
  || CASE WHEN d.doc_id % 5 = 0 THEN 'gugatan ditolak' ELSE 'mengadili' END || chr(10) AS raw_text
@@ -55,7 +56,9 @@ SELECT page_id,
  || '<tr><td>Tanggal Register</td><td>' || CAST(page_id % 28 + 1 AS STRING) || ' Mei 2025</td></tr>'
  || '<tr><td>Tanggal Musyawarah</td><td>' || CAST(page_id % 28 + 1 AS STRING) || ' Juni 2025</td></tr>'
  || '<tr><td>Klasifikasi</td><td>' || url || '</td></tr>'
- || CASE WHEN page_id % 5 = 0 THEN '' ELSE '<tr><td>Kata Kunci</td><td>ganti rugi &amp; biaya</td></tr>' END
+ || CASE WHEN page_id % 5 = 0 THEN ''
+         WHEN page_id % 8 = 3 THEN '<tr><td>Kata Kunci</td><td><table class="inner"><tr><td>ganti&nbsp;rugi &eacute;&#233;&#xE9;</td>'
+              || '<td>&hellip; <i>Amar</i></td></tr></table></td></tr>' ELSE '<tr><td>Kata Kunci</td><td>ganti rugi &amp; biaya</td></tr>' END
  || '<tr><td>Lembaga Peradilan</td><td>PN Xyz</td></tr>'
  || '<tr><td>Hakim Ketua</td><td>Hakim ' || CAST(page_id % 20 AS STRING) || '</td></tr>'
  || '<tr><td>Panitera</td><td></td></tr>'
@@ -138,6 +141,19 @@ def case_features(spark: SparkSession, folder: str) -> DataFrame:
     return staged(features.case_features(cases(spark, folder)), "features")
 
 
+def solved_documents(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents with their disposition, the facts of valid cases without one, and their label.
+
+    Facts are taken from the texts of those rows only that have no disposition to reuse.
+    """
+    labelled = labelled_documents(spark, folder)
+    bare = F.coalesce(F.trim("amar"), F.lit("")) == ""
+    texts = corpus.measured(case_texts(spark, folder).filter(bare)).filter("valid_min_200_kata").drop("raw_text")
+    texts = corpus.normalised(texts).filter("normalised != ''")
+    facts = texts.select("doc_id", extract.facts(F.col("normalised")).alias("ringkasan_fakta"))
+    return labelled.join(facts, "doc_id", "left")
+
+
 def labelled_documents(spark: SparkSession, folder: str) -> DataFrame:
     """Whole document texts with disposition and merged label."""
     text = F.coalesce("amar", F.lit(""))

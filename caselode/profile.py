@@ -160,3 +160,6 @@ TEST_SHARE, SEED, TOP_K, N_QUERIES = 0.2, 42, 5, 10
 NB_ALPHA, SVM_C, SVM_TOL = 0.1, 1.0, 1e-4
 
 SVM_MAX_ITER = 2_000
+
+# Width of a bucket of a random projection of unit vectors, and tables of such buckets.
+LSH_BUCKET, LSH_TABLES = 1.0, 12

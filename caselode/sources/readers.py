@@ -1,7 +1,7 @@
 """Scans (SRC-1 .. SRC-4) and fitted tables (SNK-4)."""
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
-from pyspark.ml.classification import OneVsRestModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from caselode.sources import schemas
@@ -10,13 +10,16 @@ FITTED = ("vocabulary", "split", "classes", "nb_terms", "nb_priors")
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash the rows over all cores when the scan has fewer files than a tenth of the cores.
+    """Hash the rows over all cores when the scan has fewer files than cores and is small.
 
-    A single small file is one task; text work on it would use one core.  A
-    large input has files enough and passes through without a shuffle.
+    A file of one row group is one task; text work on a few of them would leave cores idle.  An input
+    with files enough, or with a full split for every core, passes through without a shuffle.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if 10 * len(df.inputFiles()) > cores else df.repartition(cores, key)
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    return df.repartition(cores, key) if len(df.inputFiles()) < cores and size < cores * split else df
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -24,13 +27,20 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def corpus(spark: SparkSession, folder: str, suffix: str = ".txt") -> DataFrame:
-    """(case_id, text) from one file per case, the id taken from the file name (SRC-1)."""
-    name = F.regexp_extract("_metadata.file_name", rf"^(.*)\{suffix}$", 1)
-    return (
-        spark.read.option("pathGlobFilter", f"*{suffix}")
-        .text(folder, wholetext=True)
-        .select(name.alias("case_id"), F.col("value").alias("text"))
-    )
+    """(case_id, text) from one file per case, the id taken from the file name (SRC-1).
+
+    Spark's scans pass over empty files, so the contents are joined to the listing: an empty file is a
+    row with an empty text.  The listing holds names only; Spark lists a folder on the driver anyway.
+    """
+    files = spark.read.option("pathGlobFilter", f"*{suffix}").text(folder, wholetext=True)
+    plain = lambda path: F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+    name = F.regexp_extract(plain(F.col("_metadata.file_name")), rf"^(.*)\{suffix}$", 1)
+    contents = files.select(name.alias("case_id"), F.col("value").alias("text"))
+    paths = pa.table({"path": pa.array(files.inputFiles(), pa.string())})
+    case_id = F.regexp_extract(plain(F.col("path")), rf"([^/]*)\{suffix}$", 1)
+    listed = spark.createDataFrame(paths).select(case_id.alias("case_id"))
+    empty = listed.join(contents.select("case_id"), "case_id", "left_anti")
+    return contents.unionByName(empty.withColumn("text", F.lit("")))
 
 
 def inventory(spark: SparkSession, folder: str, suffix: str) -> DataFrame:
@@ -77,6 +87,17 @@ def embeddings(
     return aligned.filter(complete.scalar())
 
 
+def report(spark: SparkSession, path: str) -> DataFrame:
+    """(line, value): the lines of a stored report, numbered from 1 in their order."""
+    whole = spark.read.text(path, wholetext=True).select(F.posexplode(F.split("value", "\n")).alias("line", "value"))
+    lines = whole.select((F.col("line") + 1).alias("line"), "value")
+    return lines.filter("value != ''")
+
+
+def bucketed(spark: SparkSession, name: str) -> DataFrame:
+    return spark.read.table(name)
+
+
 def fitted(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     """The tables of a fitted model; a missing one is an error (SNK-4)."""
     tables = {}
@@ -88,5 +109,9 @@ def fitted(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     return tables
 
 
-def svm(folder: str) -> OneVsRestModel:
-    return OneVsRestModel.load(f"{folder}/svm")
+def svm(spark: SparkSession, folder: str) -> DataFrame:
+    """The stored weights of an SVM, (label, code, idx, weight)."""
+    try:
+        return spark.read.parquet(f"{folder}/svm")
+    except AnalysisException as e:
+        raise FileNotFoundError(f"{folder}/svm: fit the model first") from e

@@ -62,3 +62,17 @@ def run_available(
     known.append(str(run.id))
     started.set()
     run.awaitTermination()
+
+
+def forget_last_commit(spark: SparkSession, checkpoint: str) -> int | None:
+    """Make the next run repeat the last batch, as after a failure before its commit; the batch's number."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    folder = jvm.org.apache.hadoop.fs.Path(f"{checkpoint}/commits")
+    store = folder.getFileSystem(conf)
+    numbers = [int(f.getPath().getName()) for f in store.listStatus(folder) if f.getPath().getName().isdigit()]
+    if not numbers:
+        return None
+    last = max(numbers)
+    for name in (str(last), f".{last}.crc"):
+        store.delete(jvm.org.apache.hadoop.fs.Path(folder, name), False)
+    return last

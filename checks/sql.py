@@ -313,8 +313,9 @@ _CTES = {
     **_dots("qd", "qt_weights", "query_id", "dt_weights", "doc_id"),
     "asked_some": "SELECT * FROM asked WHERE query_text <> ''",
     **_ranked("near_docs", "asked_some", "query_id", "documents", "doc_id", "qd"),
-    "train_docs": """SELECT l.doc_id, CASE WHEN trim(l.amar) <> '' THEN trim(l.amar) ELSE l.label END AS solution
-        FROM labelled l JOIN ls_split s ON l.case_id = s.case_id WHERE s.split = 'train'""",
+    "train_docs": f"""SELECT l.doc_id, CASE WHEN trim(l.amar) <> '' THEN trim(l.amar)
+        WHEN {_strip("coalesce(f.ringkasan_fakta, '')")} <> '' THEN {_strip('f.ringkasan_fakta')} ELSE l.label END AS solution
+        FROM labelled l JOIN ls_split s ON l.case_id = s.case_id LEFT JOIN features f ON l.case_id = f.case_id WHERE s.split = 'train'""",
     **_ranked("near_train_ids", "asked_some", "query_id", "train_docs", "doc_id", "qd"),
     "near_train": "SELECT n.*, t.solution FROM near_train_ids n JOIN train_docs t ON n.doc_id = t.doc_id",
     "votes": """SELECT query_id, solution, count(*) AS n, round(sum(sim), 9) AS total, max(sim) AS best,
@@ -428,7 +429,8 @@ def _distribution(column):
 def _tagless(e):
     """Text of a fragment: the pieces between tags, each stripped, joined."""
     piece = "x"
-    for name, ch in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
+    for name, ch in (("&nbsp;", "\u00a0"), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"),
+                     ("&eacute;", "é"), ("&#233;", "é"), ("&#xE9;", "é"), ("&hellip;", "…"), ("&amp;", "&")):
         piece = f"replace({piece}, {_lit(name)}, {_lit(ch)})"
     return (
         f"coalesce(array_to_string(list_transform(regexp_split_to_array({e}, '<[^>]*>'), "
@@ -449,9 +451,25 @@ _CTES |= {
     "detail_ids": r"""SELECT *, 'case_' || CASE WHEN regexp_matches(url, '/direktori/putusan/[a-zA-Z0-9\-]+\.html')
         THEN right(regexp_extract(url, '/direktori/putusan/([a-zA-Z0-9\-]+)\.html', 1), 40)
         WHEN page_id < 1000 THEN lpad(CAST(page_id AS VARCHAR), 3, '0') ELSE CAST(page_id AS VARCHAR) END AS case_id FROM detail_view""",
-    "detail_tables": f"""SELECT *, regexp_extract({_visible('html')}, '(?is)<table class="table table-case">(.*?)</table>', 1) AS tab
-        FROM detail_ids WHERE regexp_matches(html, '<table class="table')""",
-    "detail_cells": f"""SELECT *, {_all("regexp_replace(tab, '(?is)<h2>.*?</h2>', '')", '(?is)<td[^>]*>(.*?)</td>', 1)} AS tds FROM detail_tables""",
+    "detail_tokens": rf"""SELECT page_id, i, t, sum(CASE WHEN regexp_matches(t, '(?i)^<table\b') THEN 1
+        WHEN regexp_matches(t, '(?i)^</table\b') THEN -1 ELSE 0 END) OVER (PARTITION BY page_id ORDER BY i) AS depth
+        FROM (SELECT page_id, unnest(ts) AS t, generate_subscripts(ts, 1) AS i FROM (
+            SELECT page_id, regexp_extract_all({_visible('html')}, '(?s)</?[A-Za-z!?][^>]*>|[^<]+|<') AS ts FROM detail_ids))""",
+    "table_starts": """SELECT page_id, min(i) AS s, min_by(depth, i) AS d FROM detail_tokens
+        WHERE t = '<table class="table table-case">' GROUP BY page_id""",
+    "table_tokens": """SELECT t.*, s.d FROM detail_tokens t JOIN table_starts s ON t.page_id = s.page_id AND t.i > s.s AND t.i <
+        (SELECT min(e.i) FROM detail_tokens e WHERE e.page_id = s.page_id AND e.i > s.s AND e.depth < s.d)""",
+    "heads": "SELECT page_id, min(i) FILTER (t = '<h2>') AS a, min(i) FILTER (t = '</h2>') AS b FROM table_tokens GROUP BY page_id",
+    "cell_tokens": """SELECT t.* FROM table_tokens t JOIN heads h ON t.page_id = h.page_id AND NOT coalesce(t.i BETWEEN h.a AND h.b, false)""",
+    "cell_spans": r"""SELECT a.page_id, a.i, coalesce(min(b.i), 1000000000) AS z FROM cell_tokens a LEFT JOIN cell_tokens b
+        ON a.page_id = b.page_id AND b.i > a.i
+        AND ((regexp_matches(b.t, '(?i)^</?(?:td|th|tr)\b') AND b.depth = a.depth) OR b.depth < a.depth)
+        WHERE regexp_matches(a.t, '(?i)^<td\b') GROUP BY a.page_id, a.i""",
+    "cell_texts": """SELECT s.page_id, s.i, coalesce(string_agg(t.t, '' ORDER BY t.i), '') AS td FROM cell_spans s
+        LEFT JOIN cell_tokens t ON t.page_id = s.page_id AND t.i > s.i AND t.i < s.z GROUP BY s.page_id, s.i""",
+    "detail_cells": """SELECT d.*, tab, tds FROM detail_ids d
+        JOIN (SELECT page_id, string_agg(t, '' ORDER BY i) AS tab FROM table_tokens GROUP BY page_id) USING (page_id)
+        JOIN (SELECT page_id, list(td ORDER BY i) AS tds FROM cell_texts GROUP BY page_id) USING (page_id)""",
 }
 
 
@@ -560,6 +578,15 @@ _SELECTS = {
     "retrieve_sparse": _near("near_docs"),
     "retrieve_dense": _near("near_test_vecs"),
     "self_similarity_topk": _near("near_cases"),
+    "retrieve_inverted": _near("near_docs"),
+    "self_similarity_inverted": _near("near_cases"),
+    "retrieve_chosen_dense": _near("near_test_vecs", ", 'dense' AS method"),
+    "retrieve_chosen_sparse": _near("near_docs", ", 'sparse' AS method"),
+    "retrieve_approximate_recall": "SELECT count(DISTINCT query_id) AS n_queries, count(*) AS n_neighbours, true AS enough FROM near_test_vecs",
+    "stored_texts": """SELECT CAST(doc_id AS VARCHAR) AS case_id, CASE WHEN doc_id % 9 = 0 THEN '' ELSE coalesce(text, '') END AS text
+        FROM documents""",
+    "incremental_stream": """SELECT doc_id, source, 1::BIGINT AS n_records,
+        CASE WHEN doc_id IN (SELECT doc_id FROM labels) THEN 0 ELSE 1 END::BIGINT AS batch FROM documents""",
     "retrieve_train": _near("near_train", ", solution"),
     "representation_choice": """SELECT n_cases, n_vectors, CASE WHEN n_cases = n_vectors AND n_vectors > 0 THEN 'dense'
         ELSE 'sparse' END AS method FROM (SELECT (SELECT count(*) FROM documents) AS n_cases,
@@ -605,5 +632,30 @@ _SELECTS = {
 }
 
 
+_SELECTS["rep_cases_stored"] = _SELECTS["rep_cases"]
+
+
+def _report(sections):
+    parts = []
+    for k, (title, columns, select) in enumerate(sections):
+        parts.append(f"SELECT {k} AS section, 0 AS line, '== {title} ==' AS value")
+        fields = " || ', ' || ".join(f"'{c}: ' || coalesce(CAST({c} AS VARCHAR), '-')" for c in columns)
+        parts.append(f"SELECT {k}, 1, {fields} FROM ({select})")
+    return f"""SELECT CAST(row_number() OVER (ORDER BY section, line, value) AS INTEGER) AS line, value
+        FROM ({" UNION ALL ".join(parts)})"""
+
+
+_SELECTS["stored_report"] = _report((
+    ("documents", ("n_total", "n_valid", "n_invalid", "status"), _SELECTS["qa_counts"]),
+    ("inventories", ("inventory", "n_ids"), _SELECTS["qa_inventory_sizes"]),
+    ("missing", ("inventory", "n"), f"SELECT inventory, count(*) AS n FROM ({_SELECTS['qa_inventory_missing']}) GROUP BY inventory"),
+    ("short", ("kind", "n"), f"SELECT kind, count(*) AS n FROM ({_SELECTS['qa_short']}) GROUP BY kind"),
+    ("incomplete", ("n",), f"SELECT count(*) AS n FROM ({_SELECTS['qa_incomplete']})"),
+    ("duplicates", ("n",), f"SELECT count(*) AS n FROM ({_SELECTS['qa_duplicates']})"),
+    ("categories", ("jenis_perkara", "n_rows", "retired"), _SELECTS["qa_categories"]),
+    ("verdict", ("n_issues", "verdict"), _SELECTS["qa_verdict"]),
+))
+
+
 def oracle_sql() -> dict[str, str]:
     return {name: _statement(select) for name, select in _SELECTS.items()}

@@ -31,6 +31,39 @@ def test_page_records(spark):
     assert r.url_pdf == "/pdf/9" and got["case_012"].url_pdf == ""
 
 
+def records(spark, *tables):
+    pages = spark.createDataFrame([(i, "u", t) for i, t in enumerate(tables)], "page_id long, url string, html string")
+    return {int(r.case_id[5:]): r for r in corpus.page_records(pages).collect()}
+
+
+def test_cells_of_nested_tables(spark):
+    inner = "<TABLE class=x><tr><td>dalam</td><td> b </td></tr></TABLE>"
+    got = records(
+        spark,
+        f'<table class="table">{cell("Kata Kunci", inner)}{cell("Nomor", "1")}</table><table>{cell("Panitera", "no")}</table>',
+        f'<table class="table"><tr><td>x {inner} Nomor</td><td>2</td></tr></table>',  # the next cell begins inside
+        f'<div><table><tr><td>a</td></tr></table><table class="big table"><tr><td>Nomor<td>3<tr><td>Amar<td>{inner}</table> rest',
+        f'<table class="table"><tr><td>Nomor</td><td>4 {inner}',
+        '<table class="table"><tr><td>Nomor</td></tr></table>',
+    )
+    assert (got[0].kata_kunci, got[0].no_perkara, got[0].panitera) == ("dalamb", "1", "")
+    assert got[1].no_perkara == "dalam"
+    assert (got[2].no_perkara, got[2].amar) == ("3", "dalamb")
+    assert got[3].no_perkara == "4dalamb" and got[4].no_perkara == ""
+
+
+def test_character_references(one):
+    import html as library
+
+    from caselode.functions import html
+
+    texts = [
+        "plain", "a &amp; b", "&amp;lt;", "&eacute;&Eacute;&hellip;&nbsp;x", "&#233;&#xE9;&#XE9;&#x1F600;", "&#0;&#xD800;&#1114112;",
+        "&#128;&#150;&#x9F;", "&copy 2025 &lt", "&zzname; & &;&#;&#x;", "&NotEqualTilde;&fjlig;", "&#99999999999999999999;", "&#0000000065;",
+    ]
+    assert one(html.resolve, texts) == [library.unescape(t) for t in texts]
+
+
 def test_links_stop_at_the_first_page_without_any(spark):
     def a(*urls):
         return "".join(f'<a class="k" href="{u}">x</a>' for u in urls)

@@ -1,6 +1,7 @@
 """Split, vectors, neighbours, votes, classifiers and metrics against brute force."""
 
 import math
+import os
 import random
 import re
 from collections import Counter
@@ -9,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from caselode.operators import classify, evaluate, features, knn, reuse, vectors
+from caselode.operators import classify, evaluate, features, inverted, knn, linear, reuse, vectors
 
 
 def labelled(spark, **sizes):
@@ -222,26 +223,92 @@ def test_naive_bayes_equals_the_dense_form(spark):
         assert label == "ab"[best[i]] and abs(score - scores[best[i]][i]) < 1e-5
 
 
-def test_svm_separates(spark, tmp_path):
+def plain_svm(rows, n_features, c):
+    """(weights, objective) of one class against the rest: damped Newton steps on dense rows."""
+    x = np.zeros((len(rows), n_features + 1))
+    for k, (indices, values, _) in enumerate(rows):
+        x[k, indices], x[k, -1] = values, 1
+    y, w = np.array([1.0 if own else -1.0 for *_, own in rows]), np.zeros(n_features + 1)
+    value = lambda w: 0.5 * w @ w + c * (np.maximum(0, 1 - y * (x @ w)) ** 2).sum()
+    for _ in range(200):
+        room = 1 - y * (x @ w)
+        on = room > 0
+        gradient = w - 2 * c * x[on].T @ (y * room)[on]
+        if np.linalg.norm(gradient) < 1e-11:
+            break
+        step = -np.linalg.solve(np.eye(len(w)) + 2 * c * x[on].T @ x[on], gradient)
+        t = 1.0
+        while value(w + t * step) > value(w) + 1e-4 * t * gradient @ step and t > 1e-9:
+            t /= 2
+        w = w + t * step
+    return w, value(w)
+
+
+@pytest.mark.parametrize("c", [0.01, 1.0, 100.0])
+def test_svm_equals_a_plain_solver(spark, c):
+    rng = np.random.default_rng(7)
+    rows = []
+    for i in range(150):
+        n = int(rng.integers(0, 9))
+        indices = sorted(rng.choice(20, n, replace=False).tolist())
+        rows.append((f"c{i:03d}", "xyz"[(sum(indices) + int(rng.integers(0, 3) == 0)) % 3], indices, rng.random(n).tolist()))
+    df = spark.createDataFrame(rows, "case_id string, label string, indices array<int>, values array<double>").repartition(4)
+    names = features.classes(df)
+    model = linear.fit(df, names, 20, c)
+    plain = [plain_svm([(i, v, label == name) for _, label, i, v in rows], 20, c) for name in "xyz"]
+    assert model.objective == pytest.approx([v for _, v in plain], rel=1e-6)
+    got = np.zeros((3, 21))
+    for r in model.weights.collect():
+        got[r.code, r.idx] = r.weight  # -1 is the last, the intercept
+    assert np.abs(got - np.array([w for w, _ in plain])).max() < 1e-3 * max(1, np.abs(got).max())
+    want = {}
+    for case, _, i, v in rows:
+        score = [round(float(np.dot(w[i], v) + w[-1]), 9) for w, _ in plain]
+        want[case] = ("xyz"[int(np.argmax(score))], np.diff(np.sort(score))[-1])
+    for r in linear.predict(model.weights, df, names).collect():
+        assert r.pred_label == want[r.case_id][0] or want[r.case_id][1] < 1e-3
+
+
+def test_svm_is_stored_and_needs_two_classes(spark, tmp_path):
     from caselode.sources import readers, writers
 
     _, _, rows = model_rows(spark)
-    classify.ml_rows(features.label_codes(rows), 6).write.parquet(str(tmp_path / "rows"))
-    coded = classify.as_vectors(spark.read.parquet(str(tmp_path / "rows")))
-    model = classify.svm_fit(coded, 40, c=100.0)
-    assert all(m.summary().totalIterations < classify.P.SVM_MAX_ITER for m in model.models)
     names = features.classes(rows)
+    model = linear.fit(rows, names, 6, c=100.0)
     truth = rows.select("case_id", F.col("label").alias("true_label"))
 
-    def accuracy(m):
-        pred = truth.join(classify.svm_predict(m, coded, names), "case_id")
+    def accuracy(weights):
+        pred = truth.join(linear.predict(weights, rows, names), "case_id")
         return evaluate.classification_metrics(pred, "svm").first().accuracy
 
-    assert accuracy(model) >= 0.9
-    writers.fitted(str(tmp_path), {"classes": names}, model)
-    assert accuracy(readers.svm(str(tmp_path))) == accuracy(model)
+    assert accuracy(model.weights) >= 0.9
+    writers.fitted(str(tmp_path), {"classes": names}, model.weights)
+    assert accuracy(readers.svm(spark, str(tmp_path))) == accuracy(model.weights)
     with pytest.raises(FileNotFoundError):
         readers.fitted(spark, str(tmp_path))
+    with pytest.raises(FileNotFoundError):
+        readers.svm(spark, f"{tmp_path}/none")
+    one = rows.filter(F.col("label") == names.first().label)
+    with pytest.raises(ValueError):
+        linear.fit(one, features.classes(one), 6)
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="test tables are not here")
+def test_svm_of_the_cases_equals_a_plain_solver(spark):
+    from caselode.plans import registry
+
+    _, _, vocab, vecs = registry._case_model(spark, "/root/testdata/sf0.001")
+    n = vocab.count()
+    names, model = registry._svm_fit(vocab, vecs)
+    rows = vecs.collect()
+    order = [r.label for r in names.orderBy("code").collect()]
+    plain = [plain_svm([(r.indices, r["values"], r.label == name) for r in rows if r.split == "train"], n, 1.0) for name in order]
+    assert model.objective == pytest.approx([v for _, v in plain], abs=1e-4)
+    got = {r.case_id: r.pred_label for r in linear.predict(model.weights, vecs.filter("split = 'test'"), names).collect()}
+    for r in rows:
+        if r.split == "test":
+            score = [round(float(np.dot(w[r.indices], r["values"]) + w[-1]), 6) for w, _ in plain]
+            assert got[r.case_id] == order[int(np.argmax(score))]
 
 
 def predictions(spark, pairs):
@@ -301,3 +368,75 @@ def test_blank_facts_ask_with_the_full_text(spark):
     assert got == {"a": "facts", "b": "whole", "c": ""}
     with pytest.raises(Exception, match="text_full"):
         knn.sampled_queries(test.drop("text_full")).collect()
+
+
+def sparse_rows(spark, own_id, n, seed, terms=60, copies=0):
+    """Unit vectors with frequent and rare terms, some empty, some equal."""
+    rng = np.random.default_rng(seed)
+    rows = []
+    for i in range(n):
+        size = int(rng.integers(0, 12))
+        idx = sorted({int(terms * rng.random() ** 3) for _ in range(size)})
+        value = rng.random(len(idx)) + 0.05
+        rows.append((f"{own_id[0]}{i:04d}", idx, (value / np.linalg.norm(value)).tolist() if idx else []))
+    rows += [(f"{own_id[0]}{n + i:04d}", *rows[7][1:]) for i in range(copies)]
+    return spark.createDataFrame(rows, f"{own_id} string, indices array<int>, values array<double>").repartition(3)
+
+
+@pytest.mark.parametrize("k, probes", [(5, 256), (1, 8), (40, 0)])
+def test_inverted_lists_equal_the_block_product(spark, monkeypatch, k, probes):
+    monkeypatch.setattr(inverted, "PROBES", probes)
+    asked, known = sparse_rows(spark, "query_id", 60, 1), sparse_rows(spark, "doc_id", 300, 2, copies=30)
+    rows = lambda df: sorted((r.query_id, r["rank"], r.doc_id, round(r.sim, 8)) for r in df.collect())
+    assert rows(inverted.top_k(asked, known, k)) == rows(knn.top_k(asked, known, k))
+    own = known.withColumnRenamed("doc_id", "query_id")
+    assert rows(inverted.top_k(own, known, k, exclude_self=True)) == rows(knn.top_k(own, known, k, exclude_self=True))
+
+
+def test_inverted_lists_compare_few_pairs_without_python(spark):
+    asked, known = sparse_rows(spark, "query_id", 50, 3, terms=3000), sparse_rows(spark, "doc_id", 1000, 4, terms=3000)
+    near = inverted.top_k(asked, known)
+    assert "Python" not in near._jdf.queryExecution().toString() and "Arrow" not in near._jdf.queryExecution().toString()
+    posted = inverted.postings(known.withColumnRenamed("doc_id", "d"))
+    terms = posted.groupBy("idx").agg(F.count("*").alias("df"))
+    lists = asked.select(F.col("query_id").alias("q"), F.inline(F.arrays_zip("indices", "values")))
+    lists = lists.select("q", F.col("indices").alias("idx"), F.col("values").alias("wq")).join(terms, "idx")
+    floor = near.filter("rank = 5").select(F.col("query_id").alias("q"), F.col("sim").alias("floor"))
+    assert inverted.candidates(lists, floor, posted).count() < 0.3 * 50 * 1000
+
+
+def test_projections_find_most_neighbours(spark):
+    rng = np.random.default_rng(5)
+    spots = rng.normal(size=(40, 16))
+    rows = [(i, (spots[i % 40] + 0.3 * rng.normal(size=16)).tolist()) for i in range(600)] + [(600, [0.0] * 16), (601, None)]
+    known = spark.createDataFrame(rows, "doc_id long, embedding array<double>")
+    asked = known.filter("doc_id % 6 = 0 AND doc_id < 600").withColumnRenamed("doc_id", "query_id")
+    exact = knn.top_k(asked, known.filter("embedding IS NOT NULL"), dense=True, exclude_self=True)
+    found = knn.approximate_top_k(asked, known, exclude_self=True)
+    got = knn.recall(found, exact).first()
+    assert (got.n_queries, got.n_neighbours) == (100, 500) and got.recall >= 0.9
+    few = knn.recall(knn.approximate_top_k(asked, known, exclude_self=True, bucket=0.05, tables=1), exact).first()
+    assert few.recall < got.recall
+    sims = {(r.query_id, r.doc_id): r.sim for r in exact.collect()}
+    for r in found.collect():
+        assert abs(sims.get((r.query_id, r.doc_id), r.sim) - r.sim) < 1e-6
+
+
+def test_representation_decides_the_plan(spark):
+    vecs = spark.createDataFrame([("a", [1.0]), ("b", [2.0])], "case_id string, embedding array<double>")
+    cases = vecs.select("case_id")
+    other = spark.createDataFrame([("a",), ("c",)], "case_id string")
+
+    def chosen(cases, vecs):
+        plan = lambda name: lambda: spark.createDataFrame([(name,)], "by string")
+        row = knn.retrieve(cases, vecs, plan("words"), plan("vectors")).first()
+        return row.by, row.method
+
+    assert chosen(cases, vecs) == ("vectors", "dense")
+    assert chosen(cases, vecs.limit(1)) == chosen(other, vecs) == chosen(cases.limit(0), vecs.limit(0)) == ("words", "sparse")
+
+
+def test_solutions_fall_back_over_three_columns(spark):
+    rows = [(" x ", "f", "l"), ("", " f", "l"), (None, None, "l"), (" ", "\n", " "), (None, None, None)]
+    df = spark.createDataFrame(rows, "amar string, facts string, label string")
+    assert [r[0] for r in df.select(reuse.solution_text("amar", "facts", "label")).collect()] == ["x", "f", "l", "", ""]

@@ -12,7 +12,7 @@ FOLDER = "/root/testdata/sf0.001"
 SQL = oracle_sql()
 # their rows depend on the solver; the tests below hold them
 SOLVER = {
-    "svm_predict", "svm_metrics", "svm_errors", "svm_error_profile", "model_comparison_svm", "f1_series_svm",
+    "svm_objective", "svm_predict", "svm_metrics", "svm_errors", "svm_error_profile", "model_comparison_svm", "f1_series_svm",
 }
 
 
@@ -49,6 +49,8 @@ def test_svm_tables_fit_together(spark):
     assert abs(got["svm_metrics"][0].accuracy - right / len(pred)) < 1e-4
     assert len(got["svm_errors"]) == len(pred) - right
     assert sum(r.value for r in got["svm_error_profile"] if r.part == "true_label") == len(pred) - right
+    assert {r.label for r in got["svm_objective"]} >= {r.pred_label for r in pred}
+    assert all(0 < r.objective <= sum(x.n_train for x in got["svm_objective"]) for r in got["svm_objective"])
     models = {r.model: r for r in got["model_comparison_svm"]}
     others = database(FOLDER).execute(SQL["model_comparison"]).df()
     assert len(models) == 4 and set(others.model) == set(models) - {"TF-IDF + SVM"}

@@ -57,8 +57,39 @@ def test_embeddings_only_when_complete(spark, tmp_path):
 
 
 def test_report_is_one_ordered_file(spark, tmp_path):
-    a = spark.createDataFrame([(3, "OK")], "n long, status string")
+    a = spark.createDataFrame([(3, "OK"), (12, None)], "n long, status string")
     writers.report(quality.report_lines(counts=a, again=a), str(tmp_path / "r"))
-    files = list((tmp_path / "r").glob("part-*"))
-    assert len(files) == 1
-    assert files[0].read_text().splitlines() == ['counts: {"n":3,"status":"OK"}', 'again: {"n":3,"status":"OK"}']
+    assert len(list((tmp_path / "r").glob("part-*"))) == 1
+    want = ["== counts ==", "n: 12, status: -", "n: 3, status: OK", "== again ==", "n: 12, status: -", "n: 3, status: OK"]
+    assert [(r.line, r.value) for r in readers.report(spark, str(tmp_path / "r")).collect()] == list(enumerate(want, 1))
+
+
+def test_text_files_with_empty_ones(spark, tmp_path):
+    rows = [("a", "satu\r\ndua\n"), ("b", ""), ("c", None), ("d e%+", "é"), ("f", "\n")]
+    folder = str(tmp_path / "texts")
+    assert writers.texts(spark.createDataFrame(rows, "case_id string, text string").repartition(3), folder) == 5
+    got = {r.case_id: r.text for r in readers.corpus(spark, folder).collect()}
+    assert got == {i: t or "" for i, t in rows}
+    assert writers.texts(spark.createDataFrame([("a", "neu")], "case_id string, text string"), folder) == 1
+    assert {r.case_id: r.text for r in readers.corpus(spark, folder).collect()} == {**got, "a": "neu"}
+
+
+def test_tables_in_buckets_meet_without_moving_the_texts(spark, tmp_path):
+    from caselode.operators import represent
+
+    meta = spark.range(40).selectExpr("'c' || id AS case_id", "id % 3 <> 0 AS valid_min_200_kata")
+    texts = spark.range(5, 50).selectExpr("'c' || id AS case_id", "CASE WHEN id % 7 = 0 THEN '' ELSE 't' || id END AS normalised")
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")  # as if both were large
+    try:
+        writers.bucketed(meta, "some_meta", str(tmp_path / "meta"), buckets=4)
+        writers.bucketed(texts, "some_texts", str(tmp_path / "texts"), buckets=4)
+        joined = represent.valid_with_text(readers.bucketed(spark, "some_meta"), readers.bucketed(spark, "some_texts"))
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        assert {r.case_id for r in joined.collect()} == {f"c{i}" for i in range(5, 40) if i % 3 and i % 7}
+    finally:
+        spark.conf.set(key, before)
+        for name in ("some_meta", "some_texts"):
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
