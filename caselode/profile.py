@@ -157,9 +157,7 @@ REJECTED_LABELS = ("ditolak", "tidak dapat diterima", "niet_ontvankelijke_verkla
 # --- Fixed values: model settings -----------------------------------------------------------------
 MIN_DF, MAX_FEATURES = 2, 10_000
 TEST_SHARE, SEED, TOP_K, N_QUERIES = 0.2, 42, 5, 10
-NB_ALPHA, SVM_C, SVM_TOL = 0.1, 1.0, 1e-4
-
-SVM_MAX_ITER = 2_000
+NB_ALPHA, SVM_C = 0.1, 1.0
 
 # Width of a bucket of a random projection of unit vectors, and tables of such buckets.
 LSH_BUCKET, LSH_TABLES = 1.0, 12
