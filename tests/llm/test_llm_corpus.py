@@ -191,7 +191,7 @@ def plain_mix(rows):
 
 @pytest.mark.parametrize("source", ["tables", "edges"])
 def test_mix_meets_its_targets(spark, folder, edge_docs, monkeypatch, source):
-    monkeypatch.setattr(mixing, "BUCKET_ROWS", 7)
+    monkeypatch.setattr(mixing, "RUN", 2)
     docs = documents(spark, folder) if source == "tables" else edge_docs
     rows = [(r.doc_id, r.text, r.source) for r in docs.collect()]
     sized, total, target = plain_mix(rows)
@@ -222,6 +222,41 @@ def test_mix_meets_its_targets(spark, folder, edge_docs, monkeypatch, source):
     assert +words == +want
 
 
+def test_mix_of_rows_that_agree(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "RUN", 16)
+    rows = [(None, "same words here", "a", i) for i in range(120)] + [(7, f"other {i}", "a", i) for i in range(90)]
+    rows += [(None, f"text {i} of many", "a", i) for i in range(60)] + [(i, "x y", "b", i) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, extra long").repartition(5)
+    _, total, target = plain_mix([r[:3] for r in rows])
+    got = mixing.mix_sizes(docs).collect()
+    assert collections.Counter((r.doc_id, r["size"]) for r in got) == collections.Counter(
+        (i, len(t.split())) for i, t, _, _ in rows
+    )
+    for s, t in target.items():
+        assert abs(sum(r.taken for r in got if r.source_size == total[s]) - t) <= 1
+    again = mixing.mix_sizes(docs.repartition(3)).collect()
+    assert collections.Counter(map(tuple, again)) == collections.Counter(map(tuple, got))
+    mixed = mixing.mix(docs).collect()
+    for s, t in target.items():
+        assert abs(sum(len(r.text.split()) for r in mixed if r.source == s) - t) <= 1
+    # no row is taken more than twice, and whole rows keep their other columns
+    assert max(collections.Counter((r.doc_id, r.source, r.extra, r.text) for r in mixed).values()) <= 2
+    assert {r.extra for r in mixed if r.source == "b"} <= set(range(400))
+
+
+def test_a_text_in_many_rows_is_split_over_tasks(spark):
+    rows = [(None, None if i % 2 else "a b", "s") for i in range(4000)] + [(i, f"w{i}", "s") for i in range(4000)]
+    docs = spark.createDataFrame(rows, "id long, text string, source string")
+    sizes = mixing.with_sizes(docs, {"id": "id", "source": "source"}).cache()
+    queue = mixing.queue(sizes, mixing.targets(sizes))
+    assert queue.count() == 4002 and queue.agg(F.sum("copies")).first()[0] == 8000
+    lots = sizes.withColumn("lot", F.spark_partition_id())
+    numbers = mixing.numbered(lots, ["source", "id", "mark", "size"])
+    got = [r.number for r in numbers.filter("id is null and size = 2").collect()]
+    assert sorted(got) == list(range(2000))
+    sizes.unpersist()
+
+
 def test_mix_of_nothing(spark, no_docs):
     assert mixing.mix_sizes(no_docs).count() == 0 and mixing.mix(no_docs).count() == 0
     blank = spark.createDataFrame([(1, None, "a"), (2, " ", None)], "doc_id long, text string, source string")
