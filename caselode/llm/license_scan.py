@@ -1,12 +1,15 @@
 """License scans by conditional compression.
 
 A notice that may speak of a license is compressed with Zstandard, alone and with every license
-template as a raw dictionary. Of the templates that save a large share of the bytes the one wins that the
-exact differences in wording bear out best: nearly all words occur in it in order, and no
-differing word names another license or version. Wording that several licenses share alike names them all.
+template as a raw dictionary, all in lower case. Templates are ranked by the bytes that they save. The first one
+wins that saves a large share and that the exact differences in wording confirm: nearly all words occur in it in
+order, and no differing word names another license or version. Templates with equal savings are told apart by what
+their wording has between; if nothing does, all of them are named.
 
 A notice is a line or clause with a trigger word together with those before and after it which read like a
-template, up to the end of the sentence or paragraph; so wrapped notices are compared as a whole.
+template, up to the end of the sentence or paragraph; so wrapped notices are compared as a whole. A notice that
+several licenses share is judged together with the paragraphs next to it. The identifiers of an SPDX expression
+are notices of their own.
 """
 
 import bisect
@@ -24,7 +27,15 @@ from .common import id_and_text, map_batches
 #: Share of a sentence's compressed bytes that a template must save, and the share of the sentence's words
 #: that must be the template's.
 LEAST_SAVED, LEAST_SAME = 0.35, 0.8
+#: Savings that differ by no more bytes are equal: the same match costs more bits from a farther place in a template.
+EQUAL_SAVED = 2
 LEVEL = 3
+#: Words of everyday notices that speak for no license.
+FILLER = frozenset(
+    "this that these file files or later any code source project software work program library package module repository script is "
+    "are the a an and all by in of for to under see released licensed distributed provided available covered terms "
+    "details licence license v version".split()
+)
 #: Distinct sentences whose result a worker keeps; notices repeat a lot.
 KEPT_SENTENCES = 50_000
 
@@ -36,7 +47,9 @@ TEMPLATES = {
         "License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in "
         'writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR '
         "CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing "
-        "permissions and limitations under the License. SPDX-License-Identifier: Apache-2.0"
+        "permissions and limitations under the License. This file is licensed under the Apache License 2.0. License: Apache-2.0 "
+        "This project is licensed under the Apache License 2.0 - see the LICENSE file for details. "
+        "Apache License Version 2.0, January 2004 SPDX-License-Identifier: Apache-2.0"
     ),
     "MIT": (
         "Released under the MIT License. Licensed under the MIT license. Permission is hereby granted, free of charge, "
@@ -45,54 +58,75 @@ TEMPLATES = {
         "publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the "
         "Software is furnished to do so, subject to the following conditions: The above copyright notice and this "
         "permission notice shall be included in all copies or substantial portions of the Software. "
-        "SPDX-License-Identifier: MIT"
+        'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO '
+        "THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE "
+        "AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF "
+        "CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS "
+        "IN THE SOFTWARE. This project is licensed under the MIT License - see the LICENSE file for details. "
+        "License: MIT. The MIT License (MIT) SPDX-License-Identifier: MIT"
     ),
     "GPL-3.0": (
         "This work is licensed under the GNU General Public License, version 3. This program is free software: you "
         "can redistribute it and/or modify it under the terms of the GNU General Public License as published by the "
         "Free Software Foundation, either version 3 of the License, or (at your option) any later version. "
-        "SPDX-License-Identifier: GPL-3.0-only GPL-3.0-or-later"
+        "This project is licensed under the GPLv3 License - see the LICENSE file for details. This code is under GPLv3. "
+        "License: GPLv3 or later. Licensed under the GNU GPLv3. GNU GPL v3 GNU General Public License Version 3, 29 June 2007 "
+        "License: GPL-3.0 SPDX-License-Identifier: GPL-3.0-only GPL-3.0-or-later"
     ),
     "GPL-2.0": (
         "This work is licensed under the GNU General Public License, version 2. This program is free software; you "
         "can redistribute it and/or modify it under the terms of the GNU General Public License as published by the "
         "Free Software Foundation; either version 2 of the License, or (at your option) any later version. "
-        "SPDX-License-Identifier: GPL-2.0-only GPL-2.0-or-later"
+        "This project is licensed under the GPLv2 License - see the LICENSE file for details. This code is under GPLv2. "
+        "License: GPLv2 or later. Licensed under the GNU GPLv2. GNU GPL v2 GNU General Public License Version 2, June 1991 "
+        "License: GPL-2.0 SPDX-License-Identifier: GPL-2.0-only GPL-2.0-or-later"
     ),
     "LGPL-3.0": (
         "This work is licensed under the GNU Lesser General Public License, version 3. This library is free software; "
         "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as "
-        "published by the Free Software Foundation; either version 3 of the License. SPDX-License-Identifier: "
-        "LGPL-3.0-only LGPL-3.0-or-later"
+        "published by the Free Software Foundation; either version 3 of the License. License: LGPLv3 GNU LGPL v3 "
+        "GNU Lesser General Public License Version 3, 29 June 2007 License: LGPL-3.0 SPDX-License-Identifier: LGPL-3.0-only "
+        "LGPL-3.0-or-later"
     ),
     "LGPL-2.1": (
         "This work is licensed under the GNU Lesser General Public License, version 2.1. This library is free software; "
         "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as "
         "published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later "
-        "version. SPDX-License-Identifier: LGPL-2.1-only LGPL-2.1-or-later"
+        "version. License: LGPLv2.1 GNU LGPL v2.1 GNU Lesser General Public License Version 2.1, February 1999 "
+        "License: LGPL-2.1 SPDX-License-Identifier: LGPL-2.1-only LGPL-2.1-or-later"
     ),
     "AGPL-3.0": (
         "This work is licensed under the GNU Affero General Public License, version 3. you can redistribute it and/or "
         "modify it under the terms of the GNU Affero General Public License as published by the Free Software "
-        "Foundation, either version 3 of the License. SPDX-License-Identifier: AGPL-3.0-only AGPL-3.0-or-later"
+        "Foundation, either version 3 of the License. License: AGPLv3 GNU AGPL v3 GNU Affero General Public License Version "
+        "3, 19 November 2007 License: AGPL-3.0 SPDX-License-Identifier: AGPL-3.0-only AGPL-3.0-or-later"
     ),
     "BSD-2-Clause": (
         "Released under the BSD 2-Clause License. Redistribution and use in source and binary forms, with or without "
         "modification, are permitted provided that the following conditions are met: Redistributions of source code "
-        "must retain the above copyright notice, this list of conditions and the following disclaimer. "
-        "SPDX-License-Identifier: BSD-2-Clause"
+        "must retain the above copyright notice, this list of conditions and the following disclaimer. Redistributions in "
+        "binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in "
+        "the documentation and/or other materials provided with the distribution. "
+        'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED '
+        "WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR "
+        "PURPOSE ARE DISCLAIMED. License: BSD-2-Clause SPDX-License-Identifier: BSD-2-Clause"
     ),
     "BSD-3-Clause": (
         "Released under the BSD 3-Clause License. Redistribution and use in source and binary forms, with or without "
         "modification, are permitted provided that the following conditions are met: Redistributions of source code "
-        "must retain the above copyright notice, this list of conditions and the following disclaimer. Neither the "
+        "must retain the above copyright notice, this list of conditions and the following disclaimer. Redistributions in "
+        "binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in "
+        "the documentation and/or other materials provided with the distribution. Neither the "
         "name of the copyright holder nor the names of its contributors may be used to endorse or promote products "
-        "derived from this software without specific prior written permission. SPDX-License-Identifier: BSD-3-Clause"
+        "derived from this software without specific prior written permission. "
+        'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED '
+        "WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR "
+        "PURPOSE ARE DISCLAIMED. License: BSD-3-Clause SPDX-License-Identifier: BSD-3-Clause"
     ),
     "MPL-2.0": (
         "Licensed under the Mozilla Public License, version 2.0. This Source Code Form is subject to the terms of the "
         "Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one "
-        "at https://mozilla.org/MPL/2.0/. SPDX-License-Identifier: MPL-2.0"
+        "at https://mozilla.org/MPL/2.0/. Mozilla Public License 2.0 License: MPL-2.0 SPDX-License-Identifier: MPL-2.0"
     ),
     "CC-BY-4.0": (
         "Licensed under CC BY 4.0. This work is licensed under a Creative Commons Attribution 4.0 International License. "
@@ -108,6 +142,21 @@ TEMPLATES = {
         "International License. To view a copy of this license, visit http://creativecommons.org/licenses/by-nc/4.0/ "
         "SPDX-License-Identifier: CC-BY-NC-4.0"
     ),
+    "CC-BY-NC-SA-4.0": (
+        "Licensed under CC BY-NC-SA 4.0. This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike "
+        "4.0 International License. To view a copy of this license, visit "
+        "http://creativecommons.org/licenses/by-nc-sa/4.0/ SPDX-License-Identifier: CC-BY-NC-SA-4.0"
+    ),
+    "CC-BY-ND-4.0": (
+        "Licensed under CC BY-ND 4.0. This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 "
+        "International License. To view a copy of this license, visit http://creativecommons.org/licenses/by-nd/4.0/ "
+        "SPDX-License-Identifier: CC-BY-ND-4.0"
+    ),
+    "CC-BY-NC-ND-4.0": (
+        "Licensed under CC BY-NC-ND 4.0. This work is licensed under a Creative Commons Attribution-NonCommercial-"
+        "NoDerivatives 4.0 International License. To view a copy of this license, visit "
+        "http://creativecommons.org/licenses/by-nc-nd/4.0/ SPDX-License-Identifier: CC-BY-NC-ND-4.0"
+    ),
     "CC0-1.0": (
         "Released under CC0 1.0. To the extent possible under law, the author has dedicated all copyright and related "
         "and neighboring rights to this work to the public domain worldwide under CC0 1.0 Universal. "
@@ -127,26 +176,33 @@ TEMPLATES = {
 }
 #: Words that tell licenses and versions apart: none of them may differ.
 TELLING = frozenset(
-    "apache mit gnu gpl lesser lgpl affero agpl bsd clause mozilla mpl creative commons cc cc0 by nc nd sa isc unlicense "
+    "apache mit gnu gpl gplv lesser lgpl lgplv affero agpl agplv bsd clause mozilla mpl creative commons cc cc0 by nc nd sa isc unlicense "
     "noncommercial sharealike noderivatives attribution 1 2 3 4 0".split()
 )
-TRIGGERS = rb"licen[sc]|copyright|redistribut|public domain|spdx|creative commons|\bcc0?[ -](?:by|1\.0)"
+TRIGGERS = rb"licen[sc]|copyright|redistribut|public domain|spdx|creative commons|\bcc0?[ -](?:by|1\.0)|\bgnu [al]?gpl|\b[al]?gplv[23]"
 
 _TRIGGER = re.compile(TRIGGERS)
 _SENTENCE = re.compile(rb"[\n]|(?<=[.;:!?])[ \t]+")
 _WORD = re.compile(r"[a-z]+|[0-9]+")
+#: An SPDX expression, and the identifiers that it joins.
+_SPDX = re.compile(rb"(?i)spdx-license-identifier:[ \t]*([a-z0-9.+() \t-]*[a-z0-9.+)])")
+_SPDX_ID = re.compile(rb"(?i)(?<![a-z0-9.+-])(?!(?:or|and|with)\b)[a-z0-9][a-z0-9.+-]*")
+_SPDX_JOIN = re.compile(rb"(?i)[ \t](?:or|and|with)[ \t]")
 #: Comment marks at the start of a line, and a line end with those of the next line.
 _MARKS = rb"[ \t]*(?:(?:/{2,}|/?\*+|#+|;+|--+|%+|<!--|[>|])[ \t]*)?"
 _FIRST, _LINE_END = re.compile(rb"\A" + _MARKS), re.compile(rb"[ \t\r]*\n" + _MARKS)
 
+#: The number of a clause, on a line of its own behind the end of a clause.
+_NUMBER = re.compile(rb"(?i)(?<=[.:;\n])([ \t\r]*\n" + _MARKS + rb")[ \t]*\(?(?:[0-9]{1,2}|[a-z])[.)][ \t]+")
+
 
 def words_of(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
 
 def unwrapped(notice: bytes) -> bytes:
-    """A notice in one line, without comment marks."""
-    return _LINE_END.sub(b" ", _FIRST.sub(b"", notice))
+    """A notice in one line, without comment marks and numbers of clauses."""
+    return _LINE_END.sub(b" ", _FIRST.sub(b"", _NUMBER.sub(rb"\1", notice)))
 
 
 class Scanner:
@@ -164,7 +220,7 @@ class Scanner:
         self.alone = z.ZstdCompressor(compression_params=plain)
         self.given = [
             z.ZstdCompressor(
-                compression_params=plain, dict_data=z.ZstdCompressionDict(t.encode(), dict_type=z.DICT_TYPE_RAWCONTENT)
+                compression_params=plain, dict_data=z.ZstdCompressionDict(t.lower().encode(), dict_type=z.DICT_TYPE_RAWCONTENT)
             )
             for t in texts
         ]
@@ -174,23 +230,30 @@ class Scanner:
         self.most_words = int(max(map(len, self.words)) / LEAST_SAME)
         self.kept = {}
 
-    def saved(self, sentence: bytes) -> list[float]:
-        """The share of the compressed bytes that each template saves."""
+    def saved(self, sentence: bytes) -> tuple[int, list[int]]:
+        """The compressed size of a sentence in lower case, and the bytes of it that each template saves."""
+        sentence = sentence.lower()
         size = len(self.alone.compress(sentence))
-        return [(size - len(c.compress(sentence))) / size for c in self.given]
+        return size, [size - len(c.compress(sentence)) for c in self.given]
 
     def differences(self, sentence: str, template: int):
-        """(share of the sentence's words that are the template's in order, the other words, and how many
-        telling words of the template the sentence leaves out between others)."""
+        """(share of the sentence's words that are the template's in order, the other words, how many telling
+        words of the template the sentence leaves out between others, and how many words).
+
+        Words that speak for no license count for nothing in the share and are no differences."""
         own, known = words_of(sentence), self.words[template]
         match = difflib.SequenceMatcher(None, own, known, autojunk=False)
-        same, passed, last = np.zeros(len(own), bool), 0, None
+        same, passed, left_out, last = np.zeros(len(own), bool), 0, 0, None
         for block in match.get_matching_blocks():
             if block.size:
                 same[block.a : block.a + block.size] = True
-                passed += 0 if last is None else sum(x in TELLING for x in known[last : block.b])
+                if last is not None:
+                    passed += sum(x in TELLING for x in known[last : block.b])
+                    left_out += block.b - last
                 last = block.b + block.size
-        return float(same.mean()) if own else 0.0, [x for x, ok in zip(own, same) if not ok], passed
+        counts = np.array([x not in FILLER for x in own], bool)
+        share = float(same[counts].mean()) if counts.any() else 0.0
+        return share, [x for x, ok, c in zip(own, same, counts) if c and not ok], passed, left_out
 
     def reads_alike(self, part: bytes) -> bool:
         """Whether nearly all words of a part are a template's, but for the words that tell licenses apart."""
@@ -208,6 +271,11 @@ class Scanner:
         for parts in license_notices(text, self.reads_alike, self.most_words):
             n += 1
             start, end = parts[0][0], parts[-1][1]
+            line_end = text.find(b"\n", end)
+            named = self.identifiers(text, start, len(text) if line_end < 0 else line_end)
+            if named:
+                rows += named
+                continue
             won = self.winner(text[start:end])
             if won:
                 rows.append((won[0], start, end, *won[1:]))
@@ -217,7 +285,50 @@ class Scanner:
                     won = self.winner(text[a:b])
                     if won and not self.contradicted(won[0], text[start:end]):
                         rows.append((won[0], a, b, *won[1:]))
-        return n, rows
+        return n, self.joined(text, rows)
+
+    def identifiers(self, text: bytes, start: int, end: int):
+        """Rows for the identifiers of an SPDX expression of several; each is judged as an expression of its own."""
+        rows = []
+        for m in _SPDX.finditer(text, start, end):
+            if _SPDX_JOIN.search(m[1]):
+                for i in _SPDX_ID.finditer(text, *m.span(1)):
+                    won = self.winner(b"SPDX-License-Identifier: " + i[0])
+                    if won:
+                        rows.append((won[0], *i.span(), *won[1:]))
+        return rows
+
+    def joined(self, text: bytes, rows):
+        """`rows` with those that several licenses share joined to their neighbours, if these name one of them too and
+        nothing but numbers, marks and short conditions lies between."""
+        out = []
+        for row in rows:
+            names = set(row[0].split("|"))
+            while out:
+                name, start, end, saved, other = out[-1]
+                before = set(name.split("|"))
+                between = text[end : row[1]]
+                both = before & names
+                if not both or len(before) + len(names) < 3 or not (len(before) > 1 or len(names) > 1):
+                    break
+                if words_of(between.decode(errors="replace")) and not self.near(between, both):
+                    break
+                whole = self.winner(text[start : row[2]])
+                if whole and both >= set(whole[0].split("|")):
+                    row = (whole[0], start, row[2], *whole[1:])
+                else:
+                    kept = [n for n in self.names if n in both]
+                    row = ("|".join(kept), start, row[2], max(saved, row[3]), sorted({*other, *row[4]}))
+                names = set(row[0].split("|"))
+                out.pop()
+            out.append(row)
+        return out
+
+    def near(self, between: bytes, names) -> bool:
+        """Whether the words between two notices, but for numbers of clauses, are those of a license of them."""
+        own = [x for x in words_of(unwrapped(between).decode(errors="replace")) if len(x) > 1]
+        known = [self.known[self.names.index(n)] for n in names]
+        return len(own) <= self.most_words and any(sum(x in k for x in own) >= LEAST_SAME * len(own) for k in known)
 
     def winner(self, sentence: bytes):
         """(license, saved share, differing words) of the best template borne out by the words, or None.
@@ -231,20 +342,26 @@ class Scanner:
 
     def _winner(self, sentence):
         sentence = unwrapped(sentence)
-        saved = self.saved(sentence)
         text = sentence.decode(errors="replace")
-        ranks = {}
         if len(words_of(text)) > self.most_words:
             return None
-        for i in range(len(saved)):
-            if saved[i] >= LEAST_SAVED:
-                same, other, passed = self.differences(text, i)
-                if same >= LEAST_SAME and not TELLING.intersection(other):
-                    ranks.setdefault((passed, len(other)), []).append((i, other))
-        if not ranks:
-            return None
-        best = ranks[min(ranks)]
-        return "|".join(self.names[i] for i, _ in best), max(saved[i] for i, _ in best), best[0][1]
+        size, saved = self.saved(sentence)
+        enough = [i for i in range(len(saved)) if saved[i] >= LEAST_SAVED * size]
+        while enough:
+            most = max(saved[i] for i in enough)
+            ranks = {}
+            for i in enough:
+                if saved[i] >= most - EQUAL_SAVED:
+                    same, other, passed, left_out = self.differences(text, i)
+                    if same >= LEAST_SAME and not TELLING.intersection(other):
+                        ranks.setdefault((passed, len(other), left_out), []).append((i, other))
+            if ranks:
+                best = ranks[min(ranks)]
+                if 2 * len(best) > len(self.names):  # wording of most licenses speaks for none
+                    return None
+                return "|".join(self.names[i] for i, _ in best), max(saved[i] for i, _ in best) / size, best[0][1]
+            enough = [i for i in enough if saved[i] < most - EQUAL_SAVED]
+        return None
 
 
 _scanner = None
@@ -285,7 +402,7 @@ def license_scan(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame
 
     `found` lists the notices with a winner, in order: license, start and end in bytes of UTF-8,
     saved (share of the compressed bytes) and the differing words. A null or empty text has none.
-    Licenses that no word tells apart are one entry with | between their names. Rows that repeat give the same row each;
+    Templates with equal savings that no word tells apart are one entry with | between their names. Rows that repeat give the same row each;
     an empty table gives no rows; other columns are not read.
     """
     id_type = docs.schema[id_col].dataType.simpleString()
