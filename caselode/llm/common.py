@@ -27,6 +27,17 @@ def give_back_memory() -> None:
         pass
 
 
+def numbered_copies(df: DataFrame, copies: str, run=4_096) -> DataFrame:
+    """A row per copy of each row of `df`, with `number` from 0 to `copies` - 1 in its place.
+
+    Rows of many copies are cut into runs, which are spread, so no task makes more than a run of one row."""
+    step = F.lit(run).cast("long")
+    cut = df.withColumn("number", F.explode(F.sequence(F.lit(0).cast("long"), F.col(copies) - 1, step)))
+    last = F.least(F.col(copies), F.col("number") + run) - 1
+    spread = cut.withColumn("_last", last).repartition(F.xxhash64(*cut.columns))
+    return spread.withColumn("number", F.explode(F.sequence("number", "_last"))).drop("_last", copies)
+
+
 def map_batches(df: DataFrame, function, schema: str | T.StructType) -> DataFrame:
     """`function` takes a record batch and yields dicts of columns in the order of `schema`."""
     fields = T._parse_datatype_string(schema) if isinstance(schema, str) else schema

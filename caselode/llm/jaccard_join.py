@@ -183,15 +183,13 @@ def _marked(rows: DataFrame) -> DataFrame:
     return rows.withColumn("mark", F.xxhash64("id"))
 
 
-def _lists(described: DataFrame) -> DataFrame:
-    """(shingle, c, n, p) of the short lists with documents of two classes or more; p is the shingle's
-    place in the document's order."""
-    rows = described.filter("n > 0").select("c", "n", F.posexplode("shingles").alias("p", "shingle"))
-    by = Window.partitionBy("shingle")
-    return (
-        rows.withColumn("one", F.min("c").over(by)).withColumn("other", F.max("c").over(by))
-        .filter("one != other").select("shingle", "c", "n", "p").distinct()
-    )
+def _lists(sets: DataFrame) -> DataFrame:
+    """(shingle, c, n, p) of the short lists with two classes or more; p is the shingle's place in the class's order.
+
+    `sets` has one row per class, so copies are in no list; a long list is one row until the join, which can be split."""
+    rows = sets.select("c", "n", F.posexplode("shingles").alias("p", "shingle"))
+    ends = rows.groupBy("shingle").agg(F.min("c").alias("one"), F.max("c").alias("other"))
+    return rows.join(_grows(ends.filter("one != other").select("shingle")), "shingle").select("shingle", "c", "n", "p")
 
 
 def _most_different(n, m):
@@ -464,8 +462,8 @@ def _with_components(rows: DataFrame) -> DataFrame:
     described = staged(_described(rows, _frequent(rows)), "described")
     some = described.filter("n > 0")
     classes = staged(some.groupBy("c").agg(F.min(F.struct(F.isnull("id"), "id", "mark")).alias("x")).select("c", "x.id", "x.mark"), "classes")
-    sets = staged(some.select("c", "n", "bits", "wide").dropDuplicates(["c"]), "sets")
-    lists = staged(_lists(described), "lists")
+    sets = staged(some.select("c", "n", "bits", "wide", "shingles").dropDuplicates(["c"]), "sets")
+    lists = staged(_lists(sets), "lists")
     roots = None
     for _ in range(STAR_ROUNDS):
         pairs = staged(_open_pairs(_star_pairs(lists, roots), sets), "star-pairs")

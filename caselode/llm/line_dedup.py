@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from caselode.session import staged
 
 from . import words as w
-from .common import id_and_text, map_batches
+from .common import id_and_text, map_batches, numbered_copies
 
 WIDTH = 3
 _TABLE = w.space_words()
@@ -67,19 +67,11 @@ def line_dedup(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
     )
     later = found.join(repeated, "h").filter(~place.eqNullSafe(F.col("first")))
     lines = later.groupBy("id", "mark").agg(F.sort_array(F.collect_set("line")).alias("lines"))
-    # texts that several rows without an id have; a text's windows begin with its line 0
-    copied = staged(
-        found.filter("id is null and line = 0").groupBy("mark").count().filter("count > 1").select("mark"), "copied-texts"
-    )
-    copies = None
-    if not copied.isEmpty():
-        again = F.col("id").isNull()
-        kept = rows.join(copied.hint("shuffle_hash"), "mark", "left_anti").select("id", "text", "mark")
-        copies = rows.filter(again).join(copied.hint("shuffle_hash"), "mark").groupBy("mark").agg(
-            F.first("text").alias("text"), F.count("*").alias("copies")
-        ).select(F.lit(None).cast(id_type).alias("id"), "text", "mark", "copies")
-        named = rows.filter(~again).join(copied.hint("shuffle_hash"), "mark", "left_semi")
-        rows = kept.union(named.select("id", "text", "mark")).union(copies.drop("copies"))
+    # rows without an id are one row per text, counted, from here on; equal texts meet before the shuffle
+    nameless = rows.filter(F.col("id").isNull()).groupBy("mark").agg(
+        F.first("text").alias("text"), F.count("*").alias("copies")
+    ).withColumn("id", F.lit(None).cast(id_type))
+    rows = rows.filter(F.col("id").isNotNull()).select("id", "text", "mark").union(nameless.select("id", "text", "mark"))
     joined = rows.alias("d").join(
         lines.hint("shuffle_hash").alias("l"),
         F.col("d.id").eqNullSafe(F.col("l.id")) & (F.col("d.mark") == F.col("l.mark")), "left",
@@ -106,24 +98,25 @@ def line_dedup(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
 
     schema = f"id {id_type}, n_lines long, n_removed long, text string"
     out = map_batches(joined, cut, schema)
-    if copies is not None:
-        # what is left of a copy are its lines without words, so only they are repeated
-        def without_lines(batch):
-            for a, b, data, borders in w.pieces(batch.column("text")):
-                words = w.Words(data, borders, _TABLE)
-                start, end, text = words.lines()
-                first = np.searchsorted(text, np.arange(len(borders)))
-                of = lambda t: slice(first[t], first[t + 1])  # noqa: E731, B023
-                left = [_without(data, borders[t], borders[t + 1], start[of(t)], end[of(t)]) for t in range(b - a)]
-                n = np.diff(first)
-                yield {
-                    "id": batch.column("id")[a:b], "n_lines": n, "n_removed": n, "text": left,
-                    "copies": batch.column("copies")[a:b],
-                }
-
-        gone = map_batches(copies, without_lines, schema + ", copies long")
-        gone = gone.withColumn("copy", F.explode(F.sequence(F.lit(2).cast("long"), "copies"))).drop("copies", "copy")
-        out = out.union(gone)
+
+    # what is left of a copy are its lines without words, so only they are repeated
+    def without_lines(batch):
+        for a, b, data, borders in w.pieces(batch.column("text")):
+            words = w.Words(data, borders, _TABLE)
+            start, end, text = words.lines()
+            first = np.searchsorted(text, np.arange(len(borders)))
+            of = lambda t: slice(first[t], first[t + 1])  # noqa: E731, B023
+            left = [_without(data, borders[t], borders[t + 1], start[of(t)], end[of(t)]) for t in range(b - a)]
+            has = np.asarray(batch.column("text")[a:b].is_valid())
+            n = np.diff(first)
+            yield {
+                "id": batch.column("id")[a:b], "n_lines": n, "n_removed": n, "text": pa.array(left, mask=~has),
+                "copies": batch.column("copies")[a:b],
+            }
+
+    again = nameless.filter("copies > 1").withColumn("copies", F.col("copies") - 1)
+    gone = numbered_copies(map_batches(again, without_lines, schema + ", copies long"), "copies").drop("number")
+    out = out.union(gone)
     return out.withColumnsRenamed({"id": id_col, "text": text_col})
 
 

@@ -581,3 +581,14 @@ def test_pipeline_stages_follow_from_each_other(spark, folder):
     for s in steps[1:]:
         s.unpersist()
     assert json.dumps([n for n, _ in pipeline.STAGES])
+
+
+def test_copies_are_made_again_in_runs(spark):
+    from caselode.llm.common import numbered_copies
+
+    rows = [("a", 1), (None, 10), ("b", 3), ("c", 4)]
+    got = numbered_copies(spark.createDataFrame(rows, "x string, copies long"), "copies", run=3)
+    assert collections.Counter((r.x, r.number) for r in got.collect()) == collections.Counter(
+        (x, i) for x, n in rows for i in range(n)
+    )
+    assert got.columns == ["x", "number"]
