@@ -10,7 +10,7 @@ from caselode.operators import (
     classify, corpus, evaluate, features, inverted, knn, linear, quality, represent, reuse, vectors,
 )
 from caselode.plans import views
-from caselode.session import shared_folder, staged
+from caselode.session import own_folder, staged
 from caselode.sources import readers, schemas, writers
 from caselode.sources.readers import spread, table
 from caselode.streaming.incremental import forget_last_commit, run_available, unrecorded
@@ -785,7 +785,7 @@ def f1_series_svm(spark, folder):
 
 
 def _new_folder(spark):
-    return f"{shared_folder(spark)}/caselode/out-{uuid.uuid4().hex}"
+    return own_folder(spark, "out")
 
 
 @query

@@ -45,6 +45,13 @@ def shared_folder(spark: SparkSession) -> str:
     raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
 
 
+def own_folder(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder for files that this process deletes at its end."""
+    path = f"{shared_folder(spark)}/caselode/{name}-{uuid.uuid4().hex}"
+    _staged.append(path)
+    return path
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write a stage's result once and go on from the files.
 
@@ -52,8 +59,7 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     then processed once, and a lost executor costs a re-read, not a re-run.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/caselode/{name}-{uuid.uuid4().hex}"
-    _staged.append(path)
+    path = own_folder(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
