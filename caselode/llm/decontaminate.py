@@ -1,12 +1,11 @@
 """Benchmark decontamination by a broadcast set of the benchmark's word windows.
 
 Every run of 13 words of every document is looked up by its hash; a hit is verified word by word
-before it counts. The benchmark is taken in blocks of bounded size, nearly always one, so neither
-the driver nor a broadcast grows with it; each block is one more scan of the documents.
+before it counts. The benchmark is taken in blocks of bounded size, nearly always one, and one after
+the other, so neither the driver, a broadcast nor a plan grows with it; each block is one more scan of the documents.
 """
 
 import hashlib
-import itertools
 from dataclasses import dataclass
 
 import numpy as np
@@ -14,6 +13,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from caselode.session import own_folder, staged
+
 from . import words as w
 from .common import id_and_text, map_batches
 
@@ -104,20 +105,30 @@ def items_digest(items) -> str:
     return hashlib.sha256(",".join(sorted(items)).encode()).hexdigest()
 
 
+def _n_blocks(bench: DataFrame, text_col) -> int:
+    total = bench.agg(F.sum(F.octet_length(F.col(f"`{text_col}`")))).first()[0] or 0
+    return -(-total // BLOCK_BYTES) or 1
+
+
 def _blocks(bench: DataFrame, id_col, text_col):
-    """The benchmark's rows in lists of bounded size."""
-    rows = id_and_text(bench, id_col, text_col)
-    total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = -(-total // BLOCK_BYTES) or 1
-    block = F.pmod(F.xxhash64("id", "text"), F.lit(n))
+    """The benchmark's rows in lists of bounded size, each read when it is asked for."""
+    n, rows = _n_blocks(bench, text_col), id_and_text(bench, id_col, text_col)
+    if n > 1:  # written in order of blocks, so that reading one passes over the others
+        block = F.pmod(F.xxhash64("id", "text"), F.lit(n))
+        rows = staged(rows.withColumn("block", block).repartitionByRange("block").sortWithinPartitions("block"), "benchmark")
     for i in range(n):
-        part = rows if n == 1 else rows.filter(block == i)
+        part = rows if n == 1 else rows.filter(F.col("block") == i)
         yield [(r["id"], r["text"]) for r in part.orderBy("id", "text").collect()]
 
 
-def _scanned(docs: DataFrame, found: Windows) -> DataFrame:
+def _shared(docs: DataFrame, block):
+    """The windows of a block, broadcast."""
+    windows = benchmark_windows([i for i, _ in block], [t for _, t in block], WINDOW)
+    return docs.sparkSession.sparkContext.broadcast(windows)
+
+
+def _scanned(docs: DataFrame, shared) -> DataFrame:
     """(id, mark, n_words, hit_from, hit_to, items) of every row; hits are runs of word numbers."""
-    shared = docs.sparkSession.sparkContext.broadcast(found)
 
     def measure(batch):
         known = shared.value
@@ -157,13 +168,11 @@ def scan_benchmark(
     if its id is the same. Rows of `docs` that repeat give the same row each. Other columns are not read.
     """
     rows = id_and_text(docs, id_col, text_col)
-    parts = []
-    for block in _blocks(bench, item_col, item_text_col):
-        windows = benchmark_windows([i for i, _ in block], [t for _, t in block], WINDOW)
-        parts.append(_scanned(rows, windows))
-    out = parts[0]
-    if len(parts) > 1:
-        out = _together(parts)
+    blocks = _blocks(bench, item_col, item_text_col)
+    if _n_blocks(bench, item_text_col) == 1:
+        out = _scanned(rows, _shared(rows, next(blocks)))
+    else:
+        out = _in_turn(rows, blocks)
     n_hit = F.aggregate(
         F.zip_with("hit_to", "hit_from", lambda a, b: (a - b).cast("long")), F.lit(0).cast("long"), lambda x, y: x + y
     )
@@ -177,42 +186,51 @@ def scan_benchmark(
     )
 
 
-def _together(parts) -> DataFrame:
-    """Hits of several blocks: runs are joined, row by row. Rows of one id and text are alike."""
-    first, *others = parts
-    key = lambda d: [d["id"].eqNullSafe(first["id"]), d["mark"].eqNullSafe(first["mark"])]
-    out = first
-    for i, part in enumerate(others):
-        hits = part.filter(F.size("items") > 0).dropDuplicates(["id", "mark"]).alias(f"b{i}")
-        out = out.alias("a").join(
-            hits, F.col("a.id").eqNullSafe(F.col(f"b{i}.id")) & F.col("a.mark").eqNullSafe(F.col(f"b{i}.mark")), "left"
-        )
-        runs = F.arrays_zip(
-            F.concat("a.hit_from", F.coalesce(f"b{i}.hit_from", F.array().cast("array<int>"))).alias("x"),
-            F.concat("a.hit_to", F.coalesce(f"b{i}.hit_to", F.array().cast("array<int>"))).alias("y"),
-        )
-        # runs in order; one that starts within the last is joined to it
-        joined_runs = F.aggregate(
-            F.array_sort(runs),
-            F.array().cast("array<struct<x:int,y:int>>"),
-            lambda acc, r: F.when(
-                (F.size(acc) > 0) & (F.element_at(acc, -1)["y"] >= r["x"]),
-                F.concat(
-                    F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))),
-                    F.array(
-                        F.struct(
-                            F.element_at(acc, -1)["x"].alias("x"),
-                            F.greatest(F.element_at(acc, -1)["y"], r["y"]).alias("y"),
-                        )
-                    ),
-                ),
-            ).otherwise(F.concat(acc, F.array(F.struct(r["x"].alias("x"), r["y"].alias("y"))))),
-        )
-        out = out.select(
-            "a.id", "a.mark", "a.n_words", joined_runs.alias("runs"),
-            F.concat("a.items", F.coalesce(f"b{i}.items", F.array().cast("array<string>"))).alias("items"),
-        ).select("id", "mark", "n_words", F.col("runs.x").alias("hit_from"), F.col("runs.y").alias("hit_to"), "items")
-    return out
+def _in_turn(rows: DataFrame, blocks) -> DataFrame:
+    """As `_scanned`, for the benchmark's blocks one after the other, and their hits put together once.
+
+    The hits of a block are written before the next block is read, so one block is in the driver and in the
+    broadcast at a time, and no plan holds more than one scan. Rows of one id and text are alike.
+    """
+    spark, folder, base = rows.sparkSession, own_folder(rows.sparkSession, "hits"), None
+    for i, block in enumerate(blocks):
+        shared = _shared(rows, block)
+        found = _scanned(rows, shared)
+        if base is None:
+            found = base = staged(found, "scanned")
+        hits = found.filter(F.size("items") > 0).withColumn("block", F.lit(i))
+        hits.write.mode("append").parquet(folder)
+        shared.destroy()
+    once = spark.read.schema(hits.schema).parquet(folder).dropDuplicates(["id", "mark", "block"])
+    every = [F.flatten(F.collect_list(c)).alias(c) for c in ("hit_from", "hit_to", "items")]  # a list per block at most
+    together = once.groupBy("id", "mark").agg(*every)
+
+    def merge(batch):
+        runs = [_merged(a.values, b.values) for a, b in zip(batch.column("hit_from"), batch.column("hit_to"))]
+        yield {c: batch.column(c) for c in ("id", "mark", "items")} | {
+            "hit_from": [a for a, _ in runs], "hit_to": [b for _, b in runs]
+        }
+
+    id_type = rows.schema["id"].dataType.simpleString()
+    schema = f"id {id_type}, mark long, hit_from array<int>, hit_to array<int>, items array<string>"
+    merged = map_batches(together, merge, schema)
+    filled = [
+        F.coalesce(f"m.{c}", F.array().cast(t)).alias(c)
+        for c, t in (("hit_from", "array<int>"), ("hit_to", "array<int>"), ("items", "array<string>"))
+    ]
+    alike = F.col("d.id").eqNullSafe(F.col("m.id")) & F.col("d.mark").eqNullSafe(F.col("m.mark"))
+    some = base.filter("n_words > 0").select("id", "mark", "n_words").alias("d").join(merged.alias("m"), alike, "left")
+    columns = ["id", "mark", "n_words", "hit_from", "hit_to", "items"]
+    return some.select("d.id", "d.mark", "n_words", *filled).union(base.filter("n_words = 0").select(*columns))
+
+
+def _merged(start, end):
+    """Runs in order, with those joined that overlap or touch."""
+    start, end = np.asarray(start), np.asarray(end)
+    order = np.argsort(start, kind="stable")
+    start, reach = start[order], np.maximum.accumulate(end[order])
+    apart = start[1:] > reach[:-1]
+    return start[np.append(True, apart)], reach[np.append(apart, True)]
 
 
 def decontaminate(
@@ -227,15 +245,11 @@ def decontaminate(
     """
     if remove not in ("documents", "spans"):
         raise ValueError("remove is 'documents' or 'spans'")
+    if _n_blocks(bench, item_text_col) == 1:
+        shared = _shared(docs, next(_blocks(bench, item_col, item_text_col)))
+        return (_without_spans if remove == "spans" else _without_documents)(docs, shared, text_col)
     if remove == "spans":
-        blocks = list(itertools.islice(_blocks(bench, item_col, item_text_col), 2))
-        if len(blocks) == 1:
-            return _without_spans(docs, blocks[0], text_col)
         return _without_found_spans(docs, bench, text_col, item_col, item_text_col)
-    blocks = list(_blocks(bench, item_col, item_text_col))
-    if len(blocks) == 1:
-        windows = benchmark_windows([i for i, _ in blocks[0]], [t for _, t in blocks[0]], WINDOW)
-        return _without_documents(docs, windows, text_col)
     bad = scan_benchmark(
         docs.select(F.xxhash64(text_col).alias("_mark"), F.col(f"`{text_col}`").alias("text")), bench, "_mark", "text",
         item_col, item_text_col,
@@ -243,9 +257,7 @@ def decontaminate(
     return docs.join(bad, F.xxhash64(docs[text_col]) == bad["_mark"], "left_anti")
 
 
-def _without_documents(docs, windows, text_col):
-    shared = docs.sparkSession.sparkContext.broadcast(windows)
-
+def _without_documents(docs, shared, text_col):
     def run(batches):
         known = shared.value
         for batch in batches:
@@ -259,10 +271,7 @@ def _without_documents(docs, windows, text_col):
     return docs.mapInArrow(run, docs.schema)
 
 
-def _without_spans(docs, block, text_col):
-    windows = benchmark_windows([i for i, _ in block], [t for _, t in block], WINDOW)
-    shared = docs.sparkSession.sparkContext.broadcast(windows)
-
+def _without_spans(docs, shared, text_col):
     def run(batches):
         known = shared.value
         for batch in batches:

@@ -199,6 +199,28 @@ def test_spans_are_cut_alike_in_one_and_many_blocks(spark, monkeypatch):
     assert cut() == one
 
 
+def test_blocks_of_a_benchmark_are_scanned_one_by_one(spark, monkeypatch):
+    """Twenty blocks and more: one is in the driver at a time, one scan is in a plan, hits are merged once."""
+    rng = random.Random(3)
+    said = [f"w{i}" for i in range(400)]
+    items = [(i, " ".join(said[i * 7 : i * 7 + rng.randint(5, 30)])) for i in range(50)]
+    texts = [(i % 7 if i % 5 else None, " ".join(said[a : a + 60]) + " x" * (i % 3)) for i in range(60) for a in [rng.randint(0, 390)]]
+    texts += [(None, None), (None, ""), (1, "clean"), texts[0], texts[0]]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    want = collections.Counter(plain_hits(texts, items))
+    runs = lambda: [(r.doc_id, r.n_words, r.hit_from, r.hit_to, r["items"]) for r in decon.scan_benchmark(docs, bench).collect()]
+    key = lambda r: str(r)
+    one = sorted(runs(), key=key)
+    monkeypatch.setattr(decon, "BLOCK_BYTES", 200)
+    assert decon._n_blocks(bench, "text") >= 20
+    got = decon.scan_benchmark(docs, bench)
+    assert collections.Counter((r.doc_id, r.n_words, r.n_hit, tuple(r["items"]), r.contaminated) for r in got.collect()) == want
+    assert sorted(runs(), key=key) == one
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") <= 6 and plan.count("Join") <= 4
+
+
 def test_empty_tables_are_clean(edge_docs, no_docs, spark):
     none = spark.createDataFrame([], "item_id long, text string")
     assert decon.scan_benchmark(edge_docs, none).filter("n_hit > 0 or contaminated").count() == 0
