@@ -1,6 +1,7 @@
 """Quality classifier by co-training of two views.
 
-One classifier sees the text's content, one the page's metadata (source, language, length). Both start from
+One classifier sees the text's content: its shape, and what its words and word pairs say. One sees the page's
+metadata (source, language, length). Both start from
 the labelled documents; in every round each hands the documents of which it is confident, with the label
 it gives them, to the other, unless that is as sure of the opposite. In the end each view is calibrated on labelled documents kept out of
 training, and the calibrated views are combined to score all documents.
@@ -34,6 +35,12 @@ CONFIDENT = 0.95
 THRESHOLD = 0.5
 META_FEATURES = 512
 ITERATIONS = 25
+#: Words are counted in so many buckets, and word pairs in as many.
+BUCKETS = 1 << 16
+#: A bucket starts as this many documents that say nothing; log-odds of fewer standard errors than NOISE count as 0.
+BELIEF, NOISE = 2.0, 2.0
+
+_TABLE, _FOLD = w.letter_words(), w.lower_case()
 
 
 def text_features(data, borders) -> np.ndarray:
@@ -50,18 +57,97 @@ def text_features(data, borders) -> np.ndarray:
     return np.stack([*shares, *map(np.sqrt, shares), *sizes], 1).astype(np.float32)
 
 
-def described(docs: DataFrame, columns: dict[str, str], id_col, text_col, meta_cols) -> DataFrame:
-    """Some columns of `docs` under given names, with `features` of the text and `meta` features."""
+def _buckets(data, borders, size):
+    """(bucket, text) of every word, and of every pair of neighbouring words, in the `size` buckets behind."""
+    words = w.Words(data, borders, _TABLE, _FOLD)
+    hashes, text = words.hashes(), words.text_of_word()
+    pairs, first = w.windows(hashes, words.first, 2)
+    shift = np.uint64(65 - size.bit_length())
+    return ((hashes >> shift).astype(np.int64), text), ((pairs >> shift).astype(np.int64) + size, text[first])
+
+
+def _half(id_col: str) -> Column:
+    """Which of two halves a document is in: what a half's words say is learnt from the other half."""
+    return F.pmod(F.xxhash64(F.col(id_col), F.lit("half")), F.lit(2)).cast("int")
+
+
+def log_odds(good, bad, n_good, n_bad) -> np.ndarray:
+    """Log-odds that a document is good if it has a bucket, against those of all; 0 where that may be chance."""
+    if not n_good or not n_bad:
+        return np.zeros(len(good))
+    share = n_good / (n_good + n_bad)
+    g, b = good + BELIEF * share, bad + BELIEF * (1 - share)
+    odds = np.log(g / b) - np.log(share / (1 - share))
+    return np.where(np.abs(odds) >= NOISE * np.sqrt(1 / g + 1 / b), odds, 0.0)
+
+
+def learn_words(docs: DataFrame, labels: DataFrame, id_col, text_col) -> np.ndarray | None:
+    """For each half of the documents the log-odds of every bucket, from the labelled documents of the other half.
+
+    `labels` (id, label) as for cotrain(). Counted are the documents that have a bucket, of those that train; tasks add
+    up arrays of fixed size, of which only sums reach the driver. None without any labelled document.
+    """
+    ids = docs.select(F.col(f"`{id_col}`").alias("_own"))
+    known = _known(labels).withColumnRenamed("_label_id", "_id")
+    known = staged(known.join(ids, F.col("_id") == F.col("_own"), "left_semi").filter(~_held_out()), "labelled")
+    n_known = known.count()
+    if not n_known:
+        return None
+    few = _sampled(known, n_known, LABELLED_ROWS).select("_id", F.col("label").cast("int").alias("label"))
+    rows = docs.select(F.col(f"`{id_col}`").alias("_own"), F.col(f"`{text_col}`").alias("_text"))
+    rows = rows.join(F.broadcast(few), F.col("_own") == F.col("_id")).select(
+        "_text", (2 * _half("_own") + F.col("label")).alias("_group")
+    )
+    size, width = BUCKETS, 2 * BUCKETS
+
+    def count(batches):
+        total = np.zeros((4, width + 1), np.int64)
+        for batch in batches:
+            group = np.asarray(batch.column("_group"))
+            for a, b, data, borders in w.pieces(batch.column("_text")):
+                for bucket, text in _buckets(data, borders, size):
+                    pairs = np.unique(text * width + bucket)
+                    np.add.at(total, (group[a:b][pairs // width], pairs % width), 1)
+            total[:, width] += np.bincount(group, minlength=4)
+        flat = total.ravel()
+        place = np.flatnonzero(flat)
+        yield pa.RecordBatch.from_arrays([pa.array(place), pa.array(flat[place])], names=["place", "n"])
+
+    # at most four times the number of buckets, and four
+    sums = rows.mapInArrow(count, "place long, n long").groupBy("place").agg(F.sum("n").alias("n")).toArrow()
+    total = np.zeros(4 * (width + 1))
+    total[np.asarray(sums["place"])] = np.asarray(sums["n"])
+    total = total.reshape(2, 2, width + 1)
+    return np.stack([log_odds(t[1, :-1], t[0, :-1], t[1, -1], t[0, -1]) for t in total[::-1]])
+
+
+def word_features(data, borders, odds, half) -> np.ndarray:
+    """One row per text: the mean and the bounded sum of what its words say, and of what its word pairs say."""
+    n, out = len(borders) - 1, []
+    for bucket, text in _buckets(data, borders, odds.shape[1] // 2):
+        said = np.bincount(text, odds[half[text], bucket], n)
+        out += [said / np.maximum(np.bincount(text, minlength=n), 1), np.clip(said / 10, -2, 2)]
+    return np.stack(out, 1).astype(np.float32)
+
+
+def described(docs: DataFrame, columns: dict[str, str], id_col, text_col, meta_cols, odds=None) -> DataFrame:
+    """Some columns of `docs` under given names, with `features` of the text, those of its words if `odds` (of
+    learn_words(), broadcast) are given, and `meta` features."""
     used = [id_col, text_col, *meta_cols]
     # a column that is passed on anyway is not sent twice
     names = columns | {c: f"_c{i}" for i, c in enumerate(used) if c not in columns}
     own = [names[c] for c in used]
     chosen = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()])
     keep = [f for f in chosen.schema.fields if f.name != own[1] or text_col in columns]
+    if odds is not None:
+        chosen = chosen.withColumn("_half", _half(own[0]))
 
     def measure(batch):
         for a, b, data, borders in w.pieces(batch.column(own[1])):
             x = text_features(data, borders)
+            if odds is not None:
+                half = np.asarray(batch.column("_half"))[a:b]
+                x = np.concatenate([x, word_features(data, borders, odds.value, half)], 1)
             cut = pa.array(np.arange(0, x.size + 1, x.shape[1]), pa.int32())
             rest = {f.name: batch.column(f.name)[a:b] for f in keep}
             yield rest | {"features": pa.ListArray.from_arrays(cut, pa.array(x.ravel()))}
@@ -133,6 +219,16 @@ def _sampled(rows: DataFrame, n_rows: int, most: int) -> DataFrame:
     return rows.filter(F.pmod(F.xxhash64("_id", F.lit("pool")), F.lit(1_000_000)) < int(1e6 * most / n_rows))
 
 
+def _known(labels: DataFrame) -> DataFrame:
+    """(_label_id, label) of the ids whose labels agree."""
+    known = labels.groupBy("id").agg(F.min("label").alias("label"), F.max("label").alias("other"))
+    return known.filter("label = other").select(F.col("id").alias("_label_id"), F.col("label").cast("double").alias("label"))
+
+
+def _held_out() -> Column:
+    return F.pmod(F.xxhash64("_id", F.lit("fold")), F.lit(100)) < HELD_OUT
+
+
 def cotrain(rows: DataFrame, labels: DataFrame, rounds=ROUNDS) -> CoTrained:
     """Fit on `rows` of described() and labels (id, label 0 or 1).
 
@@ -140,11 +236,9 @@ def cotrain(rows: DataFrame, labels: DataFrame, rounds=ROUNDS) -> CoTrained:
     the training part there is nothing to tell apart: the model then scores every document with the
     share of good labels, or 1 without any labels.
     """
-    known = labels.groupBy("id").agg(F.min("label").alias("label"), F.max("label").alias("other"))
-    known = known.filter("label = other").select(F.col("id").alias("_label_id"), F.col("label").cast("double").alias("label"))
-    held_out = F.pmod(F.xxhash64("_id", F.lit("fold")), F.lit(100)) < HELD_OUT
+    known = _known(labels)
     joined = rows.select("_id", "_2", "_3", "_4", "features").join(known, F.col("_id") == F.col("_label_id"), "left")
-    joined = joined.withColumn("held_out", held_out).drop("_label_id")
+    joined = joined.withColumn("held_out", _held_out()).drop("_label_id")
     n_known = joined.agg(F.count("label")).first()[0]
     base = staged(
         _sampled(joined.filter("label is not null"), n_known, LABELLED_ROWS).union(
@@ -209,17 +303,25 @@ def _labels(labels: DataFrame, label_id, label_col):
     return labels.select(F.col(f"`{label_id}`").alias("id"), F.col(f"`{label_col}`").alias("label")).dropna()
 
 
+def _odds(docs, labels, id_col, text_col):
+    odds = learn_words(docs, labels, id_col, text_col)
+    return None if odds is None else docs.sparkSession.sparkContext.broadcast(odds)
+
+
 def score_quality(
     docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text", source_col="source", lang_col="lang",
     chars_col="n_chars", label_id="doc_id", label_col="quality",
 ) -> DataFrame:
     """One row per row of `docs`: id, text_score, meta_score, score (that it is good), kept.
 
-    Null texts count as empty, null metadata as a value of its own. Rows that repeat are scored alike.
-    A score of exactly the threshold keeps the document. An empty table gives no rows.
+    Null texts count as empty, null metadata as a value of its own. Texts are read whole, however long. Rows that
+    repeat are scored alike. A score of exactly the threshold keeps the document. An empty table gives no rows;
+    other columns, whatever their names, are not read.
     """
-    rows = staged(described(docs, {}, id_col, text_col, [source_col, lang_col, chars_col]), "quality-features")
-    model = cotrain(rows, _labels(labels, label_id, label_col))
+    known = _labels(labels, label_id, label_col)
+    meta = [source_col, lang_col, chars_col]
+    rows = staged(described(docs, {}, id_col, text_col, meta, _odds(docs, known, id_col, text_col)), "quality-features")
+    model = cotrain(rows, known)
     return model.scored(rows).select(
         F.col("_id").alias(id_col), "text_score", "meta_score", "score", (F.col("score") >= THRESHOLD).alias("kept")
     )
@@ -230,10 +332,11 @@ def keep_good(
     chars_col="n_chars", label_id="doc_id", label_col="quality",
 ) -> DataFrame:
     """The rows of `docs` that are kept, with all their columns."""
-    meta = [source_col, lang_col, chars_col]
-    rows = staged(described(docs, {}, id_col, text_col, meta), "quality-features")
-    model = cotrain(rows, _labels(labels, label_id, label_col))
+    known = _labels(labels, label_id, label_col)
+    meta, odds = [source_col, lang_col, chars_col], _odds(docs, known, id_col, text_col)
+    rows = staged(described(docs, {}, id_col, text_col, meta, odds), "quality-features")
+    model = cotrain(rows, known)
     names = {c: f"c{i}" for i, c in enumerate(docs.columns)}
     # scored anew in the pass that filters, so that rows need no key
-    kept = model.scored(described(docs, names, id_col, text_col, meta)).filter(F.col("score") >= THRESHOLD)
+    kept = model.scored(described(docs, names, id_col, text_col, meta, odds)).filter(F.col("score") >= THRESHOLD)
     return kept.select(*[F.col(n).alias(c) for c, n in names.items()])

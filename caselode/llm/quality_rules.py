@@ -150,7 +150,8 @@ def quality_rules(docs: DataFrame, id_col="doc_id", text_col="text", threshold=0
     `base_failed` holds for fewer than 10 words, or more than 20 % of the words in windows that
     repeat; such documents are not kept. The others are kept from `threshold` on. A null text
     counts as empty. Repeated rows are judged and counted each; an empty table gives no rows.
-    Other columns of `docs` are not read. Ties do not arise: the verdict is a comparison.
+    Other columns of `docs` are not read. A document on which all rules abstain has a posterior of
+    exactly 0.5; a posterior that equals `threshold` keeps it.
     """
 
     def measure(batch):
