@@ -60,7 +60,8 @@ def write_archives(pages: DataFrame, path: str, id_col="page_id", url_col="url",
     Of equal payloads of at least `min_bytes` bytes, the one with the smallest id is a response,
     the others revisits without payload; rows that repeat the smallest id are all responses.
     Null html is an empty payload; a null url has no target header. A null id counts as greater
-    than all others; if a payload has null ids only, all are responses. Line ends in urls are
+    than all others; if a payload has null ids only, all are responses. Record ids follow from id and payload;
+    those of pages without an id also from their place in the writing task. An empty id is an id. Line ends in urls are
     percent-encoded. Other columns are not written. An empty table writes archives without records.
     """
     body = F.coalesce(F.col(f"`{html_col}`"), F.lit(""))
@@ -77,10 +78,12 @@ def write_archives(pages: DataFrame, path: str, id_col="page_id", url_col="url",
         revisits.alias("r"),
         F.col("p.id").eqNullSafe(F.col("r.id")) & (F.col("p.digest") == F.col("r.digest")),
         "left",
-    ).select("p.*", "r.first")
+    ).select("p.*", "r.first").withColumn("row", F.monotonically_increasing_id())
 
     text = lambda c: F.url_encode(F.col(c).cast("string"))
-    own = record_id("response", text("id"), F.col("digest"))
+    # pages without an id have record ids of their own, so that equal ones are not one group when read
+    name = F.coalesce(text("id"), F.concat(F.lit("null:"), F.col("row").cast("string")))
+    own = record_id("response", name, F.col("digest"))
     uri = F.replace(F.replace("url", F.lit("\r"), F.lit("%0D")), F.lit("\n"), F.lit("%0A"))
     shared = {"WARC-Target-URI": uri, "WARC-Date": F.lit(DATE)}
     is_revisit = F.col("first").isNotNull()
@@ -107,7 +110,7 @@ def write_archives(pages: DataFrame, path: str, id_col="page_id", url_col="url",
         "request",
         shared
         | {
-            "WARC-Record-ID": record_id("request", text("id"), F.col("digest")),
+            "WARC-Record-ID": record_id("request", name, F.col("digest")),
             "WARC-Concurrent-To": own,
             "Content-Type": F.lit("application/http; msgtype=request"),
         },
@@ -117,11 +120,11 @@ def write_archives(pages: DataFrame, path: str, id_col="page_id", url_col="url",
         "metadata",
         shared
         | {
-            "WARC-Record-ID": record_id("metadata", text("id"), F.col("digest")),
+            "WARC-Record-ID": record_id("metadata", name, F.col("digest")),
             "WARC-Concurrent-To": own,
             "Content-Type": F.lit("application/warc-fields"),
         },
-        F.concat(F.lit("page: "), F.coalesce(text("id"), F.lit("")), F.lit(CRLF)),
+        F.coalesce(F.concat(F.lit("page: "), text("id"), F.lit(CRLF)), F.lit("")),
     )
     # the writer adds the second line end after the last record
     value = F.concat(F.concat_ws(CRLF * 2, request, response, metadata), F.lit(CRLF))
@@ -226,7 +229,7 @@ def read_records(spark: SparkSession, path: str, with_payload=True) -> DataFrame
                         payload = body.decode() if with_payload else None
                 elif kind == "metadata":
                     fields = dict(x.split(": ", 1) for x in block.decode().split(CRLF) if ": " in x)
-                    page = unquote(fields["page"].replace("+", " ")) if fields.get("page") else None
+                    page = unquote(fields["page"].replace("+", " ")) if "page" in fields else None
                 held += len(payload or "")
                 for name, value in zip(rows, (
                     headers.get("warc-concurrent-to", headers["warc-record-id"]), kind, headers["warc-record-id"],
