@@ -1,12 +1,10 @@
 """Registered queries of the subpackage: thin uses of the operators on the tables of a folder."""
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import decontaminate as decon
-from caselode.session import shared_folder, staged
+from caselode.session import own_folder, staged
 
 from . import hard_negatives, jaccard_join, license_scan, line_dedup, merkle, mixing, pii, secrets, token_output, warc
 from . import quality_classifier as classifier
@@ -51,7 +49,7 @@ def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op6_token_output(spark: SparkSession, folder: str) -> DataFrame:
-    path = f"{shared_folder(spark)}/caselode/tokens-{uuid.uuid4().hex}"
+    path = own_folder(spark, "tokens")
     token_output.write_tokens(table(spark, folder, "documents"), path, tokenizer_file())
     return token_output.token_digests(spark, path)
 
@@ -87,7 +85,7 @@ def op8_pii(spark: SparkSession, folder: str) -> DataFrame:
 
 def op9_warc(spark: SparkSession, folder: str) -> DataFrame:
     pages = table(spark, folder, "pages")
-    path = f"{shared_folder(spark)}/caselode/warc-{uuid.uuid4().hex}"
+    path = own_folder(spark, "warc")
     warc.write_archives(pages, path)
     found = staged(warc.captures(warc.read_records(spark, path, with_payload=False)), "captures")
     rows = warc.with_referred_pages(found)

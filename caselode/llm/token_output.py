@@ -28,6 +28,8 @@ BLOCK_IDS, LEAST_BLOCK_IDS, SEGMENT_IDS = 4096, 512, range_coder.LANES * 4096
 KEPT_PIECES = 1_000_000
 #: Bytes of text that are encoded together.
 TEXT_BYTES = 2 << 20
+#: First characters of a text that, after its id, decide which task writes it; its order goes by the whole text.
+PLACE_CHARS = 64
 
 _HEAD = struct.Struct("<8sQI")  # magic, ids, blocks
 _BLOCK = struct.Struct("<III")  # ids, bytes, checksum of the ids
@@ -198,7 +200,8 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, id_col="doc_id
 
     The table has a row per segment: part and segment (their order is the order of the documents),
     doc_ids, sizes (ids of each document with its end) and payload. A null text is an empty one.
-    Rows that repeat an id are written each, next to each other, in the order of their texts. An
+    Rows that repeat an id are written each, next to each other, in the order of their texts; they are spread
+    over tasks by their first characters, so only rows that agree in id and PLACE_CHARS characters share one. An
     empty table writes no segment. `tokenizer_path` must be readable on every executor.
     """
     rows = id_and_text(docs, id_col, text_col)
@@ -235,7 +238,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, id_col="doc_id
         if held:
             yield row()
 
-    ordered = rows.repartitionByRange("id").sortWithinPartitions("id", "text")
+    ordered = rows.repartitionByRange("id", F.substring("text", 1, PLACE_CHARS)).sortWithinPartitions("id", "text")
     ordered.mapInArrow(encode, schema).write.option("compression", "none").parquet(path)
 
 
