@@ -440,3 +440,24 @@ def test_solutions_fall_back_over_three_columns(spark):
     rows = [(" x ", "f", "l"), ("", " f", "l"), (None, None, "l"), (" ", "\n", " "), (None, None, None)]
     df = spark.createDataFrame(rows, "amar string, facts string, label string")
     assert [r[0] for r in df.select(reuse.solution_text("amar", "facts", "label")).collect()] == ["x", "f", "l", "", ""]
+
+
+def test_neighbours_meet_without_copies(spark, monkeypatch):
+    monkeypatch.setattr(knn, "QUERY_BLOCK", 8)
+    monkeypatch.setattr(knn, "DOC_BLOCK", 20)
+    monkeypatch.setattr(knn, "SLICE", 7)
+    monkeypatch.setattr(knn, "HELD", 2)
+    rng = np.random.default_rng(5)
+    x = np.repeat(rng.normal(size=(30, 8)).astype(np.float32), 2, axis=0)  # every vector comes twice
+    rows = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "doc_id long, embedding array<float>")
+    unit = x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
+    for limit, join in ("-1", "CartesianProduct"), ("10m", "BroadcastNestedLoopJoin"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        try:
+            near = knn.top_k(rows.withColumnRenamed("doc_id", "query_id"), rows, dense=True, exclude_self=True)
+            plan = near._jdf.queryExecution().toString()
+            assert ranked(near) == brute_top(unit @ unit.T, 5, True)
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        # blocks are read where they meet: no row is laid out once per block of the other side
+        assert join in plan and "Generate" not in plan and "FlatMapCoGroups" not in plan
