@@ -461,3 +461,26 @@ def test_neighbours_meet_without_copies(spark, monkeypatch):
             spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         # blocks are read where they meet: no row is laid out once per block of the other side
         assert join in plan and "Generate" not in plan and "FlatMapCoGroups" not in plan
+
+
+def test_svm_passes_send_each_sum_once(spark, monkeypatch, tmp_path):
+    rng = np.random.default_rng(11)
+    rows = []
+    for i in range(400):
+        indices = sorted(set(np.minimum(rng.zipf(1.3, 12) - 1, 59).tolist()))
+        value = rng.random(len(indices)) + 0.1
+        rows.append((int(sum(indices) % 3 == 0), indices, (value / np.linalg.norm(value)).tolist()))
+    df = spark.createDataFrame(rows, "code int, indices array<int>, values array<double>")
+    df.repartition(4).write.parquet(f"{tmp_path}/rows")
+    df = spark.read.parquet(f"{tmp_path}/rows")
+    assert df.rdd.getNumPartitions() > 1
+    kind, sent = type(df), []
+    real = kind.toArrow
+    monkeypatch.setattr(kind, "toArrow", lambda self: sent.append(real(self)) or sent[-1])
+    w, objective, _, passes = linear.solve(df, 2, 60, 1.0)
+    for code in (0, 1):
+        plain = plain_svm([(i, v, c == code) for c, i, v in rows], 60, 1.0)
+        assert objective[code] == pytest.approx(plain[1], rel=1e-6)
+    # the driver gets one number per place of the model from all tasks together
+    assert len(sent) == passes
+    assert all(len(set(t.column("at").to_pylist())) == t.num_rows for t in sent)
