@@ -405,6 +405,22 @@ def test_inverted_lists_compare_few_pairs_without_python(spark):
     assert inverted.candidates(lists, floor, posted).count() < 0.3 * 50 * 1000
 
 
+def test_inverted_lists_shuffle_no_pairs(spark, monkeypatch):
+    asked, known = sparse_rows(spark, "query_id", 40, 3), sparse_rows(spark, "doc_id", 200, 4, copies=20)
+    posted = inverted.postings(known.withColumn("d", F.monotonically_increasing_id()).repartition(5, "d"))
+    terms = posted.groupBy("idx").agg(F.count("*").alias("df"))
+    lists = asked.select(F.col("query_id").alias("q"), F.inline(F.arrays_zip("indices", "values")))
+    lists = lists.select("q", F.col("indices").alias("idx"), F.col("values").alias("wq")).join(terms, "idx")
+    floor = lists.select("q", F.lit(0.3).alias("floor")).distinct()
+    pairs = inverted.candidates(lists, floor, posted)
+    pairs.count()
+    assert "hashpartitioning(q#" not in pairs._jdf.queryExecution().executedPlan().toString().split("BroadcastExchange")[0]
+    # blocks of queries, one after the other, give what one block gives
+    monkeypatch.setattr(inverted, "BLOCK_TERMS", 30, raising=False)
+    rows = lambda df: sorted((r.query_id, r["rank"], r.doc_id, round(r.sim, 8)) for r in df.collect())
+    assert rows(inverted.top_k(asked, known)) == rows(knn.top_k(asked, known))
+
+
 def test_projections_find_most_neighbours(spark):
     rng = np.random.default_rng(5)
     spots = rng.normal(size=(40, 16))
