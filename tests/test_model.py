@@ -421,6 +421,17 @@ def test_inverted_lists_shuffle_no_pairs(spark, monkeypatch):
     assert rows(inverted.top_k(asked, known)) == rows(knn.top_k(asked, known))
 
 
+def test_projections_lay_out_no_pairs(spark):
+    rows = [(i, [1.0, 2.0, 0.5] if i % 2 else [float(i + 1), -1.0, 3.0]) for i in range(300)]
+    known = spark.createDataFrame(rows, "doc_id long, embedding array<double>")
+    asked = known.filter("doc_id < 9").withColumnRenamed("doc_id", "query_id")
+    found = knn.approximate_top_k(asked, known, exclude_self=True)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and "HashAggregate" not in plan
+    of_copies = [r.doc_id for r in found.filter("query_id = 3").orderBy("rank").collect()]
+    assert of_copies == [1, 5, 7, 9, 11]
+
+
 def test_projections_find_most_neighbours(spark):
     rng = np.random.default_rng(5)
     spots = rng.normal(size=(40, 16))
