@@ -430,6 +430,9 @@ def test_projections_lay_out_no_pairs(spark):
     assert "Generate" not in plan and "HashAggregate" not in plan
     of_copies = [r.doc_id for r in found.filter("query_id = 3").orderBy("rank").collect()]
     assert of_copies == [1, 5, 7, 9, 11]
+    # rows that come twice are one
+    twice = knn.approximate_top_k(asked.union(asked), known.union(known), exclude_self=True)
+    assert sorted(map(tuple, twice.collect())) == sorted(map(tuple, found.collect()))
 
 
 def test_projections_find_most_neighbours(spark):
