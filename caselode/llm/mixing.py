@@ -3,8 +3,9 @@
 Every source is a queue of its documents in shuffled order, served at a rate in proportion to its
 target. A document's virtual finish time is its source's words up to its end, divided by the
 source's target; with targets that add up to the budget, the budget is used up at virtual time 1.
-A queue that ends before is served again from its start. The document in service at the cut is
-truncated, so every source gives its target to the word.
+A queue that ends before is served again from its start. The documents of all sources are sorted by
+finish time, their words are added up in that order, and the order is cut where the budget is used
+up. What each source has in service at the cut is truncated, so every source gives its target to the word.
 """
 
 import functools
@@ -145,6 +146,52 @@ def numbered(rows: DataFrame, names) -> DataFrame:
     )
 
 
+def turns(rows: DataFrame) -> DataFrame:
+    """A row per time that a row's turn can come, `copy` from 0, with `start`, the words of its source that are served
+    before, repeats counted, and `finish`, its virtual finish time. Documents without words have no turn."""
+    start = F.col("before") + F.col("copy") * F.col("source_size")
+    copies = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(COPIES - 1).cast("long")))
+    return rows.filter("size > 0 and target > 0").withColumn("copy", copies).withColumn("start", start).withColumn(
+        "finish", (F.col("start") + F.col("size")) / F.col("target")
+    )
+
+
+def in_order(own: DataFrame) -> DataFrame:
+    """`own` (turns) in the order of finish times over all sources, with `served`: the words of all turns up to and with this one.
+
+    The order is a range sort; its words are added up range by range, then inside each range."""
+    place = ("finish", "source", "start")
+    ranges = staged(own.repartitionByRange(*place).withColumn("part", F.spark_partition_id()), "finish")
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    # one row per range
+    offsets = ranges.groupBy("part").agg(F.sum("size").alias("words")).select(
+        "part", F.coalesce(F.sum("words").over(earlier), F.lit(0)).alias("offset")
+    )
+    sum_to = F.sum("size").over(Window.partitionBy("part").orderBy(*place).rowsBetween(Window.unboundedPreceding, 0))
+    return ranges.join(offsets, "part").withColumn("served", F.col("offset") + sum_to).drop("part", "offset")
+
+
+def cut(order: DataFrame, goal: DataFrame) -> DataFrame:
+    """`order` with `taken`: the words that each turn gets until the budget, the whole words of all targets, is used up.
+
+    When a turn ends at virtual time f, all sources together have been served f times their targets. Turns that end
+    before this is more than the targets are taken whole. What they leave of the budget goes to the documents in service at
+    the cut, the first of each source behind it; each gets what its source is short of.
+    """
+    budget, rate = (x or 0 for x in goal.agg(F.sum(F.floor("target")), F.sum("target")).first())
+    order = order.withColumn("whole", F.col("finish") * F.lit(float(rate)) <= F.lit(float(rate)))
+    used = order.filter("whole").agg(F.max("served")).first()[0] or 0
+    # one row per source
+    parts = order.filter("not whole").groupBy("source").agg(F.min(F.struct("finish", "start", "target")).alias("t"))
+    parts = staged(parts.select("source", "t.start", (F.floor("t.target") - F.col("t.start")).cast("long").alias("part")), "cut")
+    rest = parts.agg(F.sum("part")).first()[0] or 0
+    if used + rest != budget:
+        raise ValueError(f"{used} words before the cut and {rest} in service are not the budget of {budget}")
+    taken = F.when(F.col("whole"), F.col("size")).otherwise(F.coalesce("part", F.lit(0)))
+    served = order.alias("o").join(parts.alias("p"), _alike("o", "p", ["source", "start"]), "left")
+    return served.select("o.*", taken.cast("long").alias("taken")).drop("whole")
+
+
 def words_taken(copy=0) -> Column:
     """Words of a document's copy that are served before virtual time 1."""
     start = F.col("before") + copy * F.col("source_size")
@@ -160,13 +207,19 @@ def mix_sizes(docs: DataFrame, id_col="doc_id", text_col="text", source_col="sou
     gives no rows.
     """
     sizes = staged(with_sizes(docs, {id_col: "id", source_col: "source"}, text_col), "sizes")
-    classes = queue(sizes, targets(sizes))
+    goal = staged(targets(sizes), "goal")
     # rows that agree are made again from their number
-    rows = numbered_copies(classes, "copies", RUN)
+    rows = numbered_copies(queue(sizes, goal), "copies", RUN)
     rows = rows.withColumn("before", F.col("before") + F.col("number") * F.col("size"))
-    return rows.select(
-        F.col("id").alias(id_col), "size", "source_size", "target", (words_taken(0) + words_taken(1)).alias("taken")
+    rows = rows.select("id", "source", "size", "source_size", "target", "before")
+    served = cut(in_order(turns(rows)), goal)
+    # the turns of a row are those of its place in its queue
+    taken = served.groupBy("source", "before").agg(
+        *[F.first(c).alias(c) for c in ("id", "size", "source_size", "target")], F.sum("taken").alias("taken")
     )
+    columns = ["id", "size", "source_size", "target", "taken"]
+    idle = rows.filter("not (size > 0 and target > 0)").withColumn("taken", F.lit(0).cast("long"))
+    return taken.select(columns).unionByName(idle.select(columns)).withColumnRenamed("id", id_col)
 
 
 def mix(docs: DataFrame, id_col="doc_id", text_col="text", source_col="source") -> DataFrame:

@@ -3,7 +3,9 @@
 import base64
 import collections
 import hashlib
+import itertools
 import json
+import math
 import random
 import re
 import uuid
@@ -222,6 +224,26 @@ def test_mix_meets_its_targets(spark, folder, edge_docs, monkeypatch, source):
     assert +words == +want
 
 
+def test_mix_is_cut_in_the_order_of_finish_times(spark):
+    rows = [(i, "w " * (i % 9), "abc"[i % 3] if i % 31 else None) for i in range(400)] + [(900, "w " * 300, "a"), (901, "w " * 300, "b")]
+    sizes = mixing.with_sizes(spark.createDataFrame(rows, "id long, text string, source string"), {"id": "id", "source": "source"}, "text")
+    goal = mixing.targets(sizes)
+    order = mixing.in_order(mixing.turns(mixing.queue(sizes, goal)))
+    turns = sorted(order.collect(), key=lambda r: (r.finish, r.source or "", r.start))
+    assert len(turns) == 2 * sum(len(t) > 0 for _, t, _ in rows)
+    assert [r.served for r in turns] == list(itertools.accumulate(r["size"] for r in turns))
+    got = {(r.source, r.start): r.taken for r in mixing.cut(order, goal).collect()}
+    budget = sum(math.floor(r.target) for r in goal.collect())
+    # whole documents up to the cut, one document in service per source behind it, and nothing of the others
+    n_whole = next(i for i, r in enumerate(turns) if got[r.source, r.start] < r["size"])
+    assert all(r.finish <= 1 for r in turns[:n_whole]) and all(r.finish > 1 for r in turns[n_whole:])
+    behind = collections.defaultdict(list)
+    for r in turns[n_whole:]:
+        behind[r.source].append(got[r.source, r.start])
+    assert not any(n for queue in behind.values() for n in queue[1:])
+    assert turns[n_whole - 1].served + sum(queue[0] for queue in behind.values()) == sum(got.values()) == budget
+
+
 def test_mix_of_rows_that_agree(spark, monkeypatch):
     monkeypatch.setattr(mixing, "RUN", 16)
     rows = [(None, "same words here", "a", i) for i in range(120)] + [(7, f"other {i}", "a", i) for i in range(90)]
