@@ -107,6 +107,34 @@ def test_tfidf_equals_the_matrix(spark, parts):
     assert len(rows) == len(docs) and np.allclose(got, m)
 
 
+@pytest.mark.parametrize("min_df", [1, 2, 3])
+def test_fitted_vectors_equal_those_of_all_counts(spark, min_df):
+    rows = [(i % 30, t) for i, t in enumerate(texts(50) + ["", "x", "dua kata", None, "kata kata kata"])]
+    rows += [(None, "satu tanpa nomor"), (None, "satu tanpa nomor lagi"), (None, None), (77, "hanya di sini hanya di sini")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    counts = vectors.term_counts(df, "doc_id", "text")
+    want = vectors.vocabulary(counts, len(rows), min_df, 40)
+    vocab, vecs = vectors.fitted(df, "doc_id", "text", len(rows), min_df, 40)
+    columns = ["term", "idx", "df", "cf", "idf"]
+    assert sorted(map(tuple, vocab.select(columns).collect())) == sorted(map(tuple, want.select(columns).collect()))
+
+    def by_id(found):
+        return {r.doc_id: (r.indices, [round(x, 12) for x in r["values"]]) for r in found.collect()}
+
+    old = by_id(vectors.vectors(counts, want, "doc_id"))
+    assert vecs.count() == len(old) == 32 and by_id(vecs) == old
+    assert by_id(vectors.transformed(df, vocab, "doc_id", "text")) == old
+
+
+def test_terms_outside_the_vocabulary_are_not_shuffled(spark):
+    df = table(spark, texts(60))
+    vocab, vecs = vectors.fitted(df, "doc_id", "text", 60, max_features=5)
+    plan = vectors.known_terms(df, vocab, "doc_id", "text")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1  # the texts
+    # no exchange behind the counts
+    assert "Exchange hashpartitioning" not in vecs._jdf.queryExecution().executedPlan().toString()
+
+
 def brute_top(sims, k, skip_self):
     out = {}
     for q, row in enumerate(np.round(sims, 9)):
