@@ -542,3 +542,22 @@ def test_svm_passes_send_each_sum_once(spark, monkeypatch, tmp_path):
     # the driver gets one number per place of the model from all tasks together
     assert len(sent) == passes
     assert all(len(set(t.column("at").to_pylist())) == t.num_rows for t in sent)
+
+
+def test_svm_shows_the_hessian_by_rows_that_count(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(linear, "OWN_ROWS", 150)
+    rng = np.random.default_rng(3)
+    rows = []
+    for i in range(3000):
+        easy = i % 4 < 3  # rows with a word of their class soon count no more
+        indices = sorted(set(np.minimum(rng.zipf(1.3, 8) + 1, 79).tolist()) | ({i % 2} if easy else set()))
+        value = rng.random(len(indices)) + 0.1
+        value[: int(easy)] += 3
+        rows.append((not easy, i % 2, indices, (value / np.linalg.norm(value)).tolist()))
+    df = spark.createDataFrame(rows, "hard boolean, code int, indices array<int>, values array<double>")
+    df.repartition(3).sortWithinPartitions("hard").drop("hard").write.parquet(f"{tmp_path}/rows")
+    w, objective, _, passes = linear.solve(spark.read.parquet(f"{tmp_path}/rows"), 2, 80, 1.0)
+    for code in (0, 1):
+        plain = plain_svm([(i, v, c == code) for _, c, i, v in rows], 80, 1.0)
+        assert objective[code] == pytest.approx(plain[1], rel=1e-5)
+    assert passes <= 100
