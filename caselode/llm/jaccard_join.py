@@ -154,29 +154,42 @@ def _frequent(rows: DataFrame):
     return keys[order], (len(keys) - np.arange(len(keys)))[order]
 
 
+def _classed(rows: DataFrame) -> DataFrame:
+    """(id, mark, text_mark, n, c): set size and class of every row."""
+
+    def classed(batch):
+        for a, b, data, borders in w.pieces(batch.column("text")):
+            keys, first = shingle_sets(data, borders)
+            own = {k: batch.column(k)[a:b] for k in ("id", "mark", "text_mark")}
+            yield own | {"n": np.diff(first), "c": set_class(keys, first)}
+
+    id_type = rows.schema["id"].dataType.simpleString()
+    schema = f"id {id_type}, mark long, text_mark long, n int, c long"
+    return map_batches(_marked(rows).withColumn("text_mark", F.xxhash64("text")), classed, schema)
+
+
 def _described(rows: DataFrame, frequent) -> DataFrame:
-    """(id, mark, text_mark, n, c, shingles, bits, wide): set size, class, short-list shingles and bits of every row."""
+    """(c, n, shingles, bits, wide): class, size, short-list shingles and bits of every row.
+
+    These are ten times a row of ``_classed``. They are found in a reading of their own, so only those of one row
+    per class are written.
+    """
     shared = rows.sparkSession.sparkContext.broadcast(frequent)
 
     def describe(batch):
         known, ranks = shared.value
-        for a, b, data, borders in w.pieces(batch.column("text")):
+        for _, _, data, borders in w.pieces(batch.column("text")):
             keys, first = shingle_sets(data, borders)
             short, cut = short_lists(keys, first, known, ranks)
             yield {
-                "id": batch.column("id")[a:b],
-                "mark": batch.column("mark")[a:b],
-                "text_mark": batch.column("text_mark")[a:b],
-                "n": np.diff(first),
                 "c": set_class(keys, first),
+                "n": np.diff(first),
                 "shingles": pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(short.view(np.int64))),
                 "bits": _binary(parity_bits(keys, first, BITS)),
                 "wide": _binary(parity_bits(keys, first, WIDE_BITS)),
             }
 
-    id_type = rows.schema["id"].dataType.simpleString()
-    schema = f"id {id_type}, mark long, text_mark long, n int, c long, shingles array<long>, bits binary, wide binary"
-    return map_batches(_marked(rows).withColumn("text_mark", F.xxhash64("text")), describe, schema)
+    return map_batches(rows.select("text"), describe, "c long, n int, shingles array<long>, bits binary, wide binary")
 
 
 def _marked(rows: DataFrame) -> DataFrame:
@@ -459,10 +472,10 @@ def jaccard_join(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame
 
 def _with_components(rows: DataFrame) -> DataFrame:
     """(id, text_mark, n, root, component_id) of every row; rows without shingles have no root."""
-    described = staged(_described(rows, _frequent(rows)), "described")
-    some = described.filter("n > 0")
+    classed = staged(_classed(rows), "classed")
+    some = classed.filter("n > 0")
     classes = staged(some.groupBy("c").agg(F.min(F.struct(F.isnull("id"), "id", "mark")).alias("x")).select("c", "x.id", "x.mark"), "classes")
-    sets = staged(some.select("c", "n", "bits", "wide", "shingles").dropDuplicates(["c"]), "sets")
+    sets = staged(_described(rows, _frequent(rows)).filter("n > 0").dropDuplicates(["c"]), "sets")
     lists = staged(_lists(sets), "lists")
     roots = None
     for _ in range(STAR_ROUNDS):
@@ -475,7 +488,7 @@ def _with_components(rows: DataFrame) -> DataFrame:
     )
     least = named.groupBy("root").agg(F.min("id").alias("component_id"))
     named = named.join(least, "root").select("c", "root", "component_id")
-    alone = described.filter("n = 0").select("id", "text_mark", "n", F.lit(None).cast("long"), "id")
+    alone = classed.filter("n = 0").select("id", "text_mark", "n", F.lit(None).cast("long"), "id")
     return (
         some.select("id", "text_mark", "n", "c").join(named, "c")
         .select("id", "text_mark", "n", "root", "component_id").union(alone)

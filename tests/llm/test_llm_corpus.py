@@ -110,6 +110,22 @@ def test_patterned_texts_are_told_apart(spark):
         assert ids[cut[i] : cut[i + 1]].tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_jaccard_join_writes_lists_and_bits_once_per_class(spark, monkeypatch):
+    real, written = jaccard_join.staged, {}
+
+    def staged(df, name):
+        written[name] = real(df, name)
+        return written[name]
+
+    monkeypatch.setattr(jaccard_join, "staged", staged)
+    text = " ".join(f"w{i}" for i in range(40))
+    docs = spark.createDataFrame([(i, f"{text} v{i % 2}") for i in range(30)] + [(30, None)], "doc_id long, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.jaccard_join(docs).collect()}
+    assert got == {i: (38, 0) for i in range(30)} | {30: (0, 30)}
+    heavy = {name: df.count() for name, df in written.items() if {"shingles", "bits", "wide"} & set(df.columns)}
+    assert heavy == {"sets": 2}  # two texts, thirty rows
+
+
 def test_one_of_each_component_stays(edge_docs, no_docs):
     kept = jaccard_join.keep_one(edge_docs)
     assert kept.columns == edge_docs.columns
