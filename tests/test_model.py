@@ -561,3 +561,19 @@ def test_svm_shows_the_hessian_by_rows_that_count(spark, monkeypatch, tmp_path):
         plain = plain_svm([(i, v, c == code) for _, c, i, v in rows], 80, 1.0)
         assert objective[code] == pytest.approx(plain[1], rel=1e-5)
     assert passes <= 100
+
+
+def test_svm_passes_do_not_grow_with_tasks(spark, tmp_path):
+    rng = np.random.default_rng(5)
+    rows = []
+    for i in range(2400):
+        indices = sorted(set(np.minimum(rng.zipf(1.25, 14) - 1, 299).tolist()))
+        value = rng.random(len(indices)) + 0.1
+        rows.append((int(sum(indices) % 3 == 0), indices, (value / np.linalg.norm(value)).tolist()))
+    df = spark.createDataFrame(rows, "code int, indices array<int>, values array<double>")
+    df.repartition(8).write.parquet(f"{tmp_path}/rows")
+    w, objective, steps, passes = linear.solve(spark.read.parquet(f"{tmp_path}/rows"), 2, 300, 10.0)
+    # all active rows are shown at once, so a step needs few products; solutions of every task's own rows took 30 passes
+    assert passes <= 20
+    for code in (0, 1):
+        assert objective[code] == pytest.approx(plain_svm([(i, v, c == code) for c, i, v in rows], 300, 10.0)[1], rel=1e-5)
