@@ -577,3 +577,39 @@ def test_svm_passes_do_not_grow_with_tasks(spark, tmp_path):
     assert passes <= 20
     for code in (0, 1):
         assert objective[code] == pytest.approx(plain_svm([(i, v, c == code) for c, i, v in rows], 300, 10.0)[1], rel=1e-5)
+
+
+@pytest.mark.parametrize("widths", [(0,), (3,), (64,)])
+def test_few_similarities_are_found_exactly_pair_by_pair(monkeypatch, widths):
+    import pyarrow as pa
+
+    monkeypatch.setattr(knn, "MATRIX_TERMS", widths)
+    monkeypatch.setattr(knn, "LAID_OUT", 500)
+    rng = np.random.default_rng(2)
+    x = np.zeros((640, 50))
+    for row in x:
+        at = np.unique(np.minimum(rng.zipf(1.3, 9) - 1, 49))
+        row[at] = rng.integers(1, 4, len(at))
+    x[::97] = 0  # without terms
+    x[300:330] = x[5]  # copies are as near: the smaller id wins
+    x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
+
+    def table(name, ids):
+        some = [np.flatnonzero(x[i]) for i in ids]
+        lists = pa.array([a.tolist() for a in some], pa.list_(pa.int32())), pa.array([x[i][a].tolist() for i, a in zip(ids, some)], pa.list_(pa.float64()))
+        return pa.table({name: [f"c{i:03d}" for i in ids], "indices": lists[0], "values": lists[1]})
+
+    score, best, pairs = knn._sparse_scores(table("query_id", range(40))), None, []
+    for ids in np.array_split(rng.permutation(640), 4):
+        docs = table("doc_id", ids)
+        found = score(docs)
+        real = found.exact
+        monkeypatch.setattr(found, "exact", lambda q, d, real=real: pairs.append(len(q)) or real(q, d))
+        some = knn._best(docs, 6, found, knn._bound(best, 40, 6))
+        best = some if best is None else knn._merged(best, some, 6)
+    sims = np.round(x[:40] @ x.T, knn.DIGITS)
+    want = [(q, f"c{d:03d}") for q in range(40) for d in np.lexsort((np.arange(640), -sims[q]))[:6]]
+    assert list(zip(best["q"].to_pylist(), best["doc_id"].to_pylist())) == want
+    assert best["sim"].to_pylist() == pytest.approx([sims[q, int(d[1:])] for q, d in want], abs=2e-9)
+    # every similarity of every pair was found exactly before
+    assert 0 < sum(pairs) < 0.2 * 40 * 640
